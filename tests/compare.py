@@ -1,0 +1,51 @@
+"""Row comparison between a Spark query and its DuckDB SQL."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for name in TABLES:
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
+    return con
+
+
+def _value(v):
+    if isinstance(v, float):
+        return None if math.isnan(v) else v + 0.0
+    return v
+
+
+def _bag(columns: list[str], rows) -> tuple[list[str], Counter]:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return [columns[i] for i in order], Counter(
+        tuple(_value(row[i]) for i in order) for row in rows
+    )
+
+
+def differences(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> tuple[int, list[str]]:
+    """Rows found by Spark, and what differs (empty when equal)."""
+    got_columns, got = _bag(spark_df.columns, spark_df.collect())
+    cursor = con.execute(sql)
+    want_columns, want = _bag([d[0] for d in cursor.description], cursor.fetchall())
+    if got_columns != want_columns:
+        return sum(got.values()), [f"columns {got_columns} != {want_columns}"]
+    out = [f"only spark x{n}: {row}" for row, n in (got - want).items()]
+    out += [f"only duckdb x{n}: {row}" for row, n in (want - got).items()]
+    types_got = [type(v) for v in next(iter(got), ())]
+    types_want = [type(v) for v in next(iter(want), ())]
+    if not out and [t for t in types_got if t.__name__ != "NoneType"] and len(types_got) != len(
+        types_want
+    ):
+        out.append("row width differs")
+    return sum(got.values()), out
