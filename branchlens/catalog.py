@@ -84,6 +84,12 @@ def _facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int | None]:
     return shift_fact(fx.shifts(spark, sf_dir), stores, fx.AS_OF, store_rows=rows), groups
 
 
+def _staged_facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int | None]:
+    """The shift fact as a written table, for reports that read it twice."""
+    facts, groups = _facts(spark, sf_dir)
+    return replace_table(facts, fresh_path(spark, "shift_fact")), groups
+
+
 @query
 def shift_fact_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(_facts(spark, sf_dir)[0])
@@ -107,19 +113,19 @@ def slot_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sales_dip_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts, groups = _facts(spark, sf_dir)
+    facts, groups = _staged_facts(spark, sf_dir)
     return shown(reports.sales_dip_anomalies(facts, fx.AS_OF, max_groups=groups))
 
 
 @query
 def sales_dip_anomalies_k1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts, groups = _facts(spark, sf_dir)
+    facts, groups = _staged_facts(spark, sf_dir)
     return shown(reports.sales_dip_anomalies(facts, fx.AS_OF, k_sigma=1.0, max_groups=groups))
 
 
 @query
 def sales_dip_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(reports.sales_dip_window(_facts(spark, sf_dir)[0], fx.AS_OF, k_sigma=1.0))
+    return shown(reports.sales_dip_window(_staged_facts(spark, sf_dir)[0], fx.AS_OF, k_sigma=1.0))
 
 
 @query
@@ -129,7 +135,7 @@ def summary_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def granular_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts, groups = _facts(spark, sf_dir)
+    facts, groups = _staged_facts(spark, sf_dir)
     return shown(reports.granular_sales(facts, fx.AS_OF, max_groups=groups))
 
 
@@ -149,10 +155,10 @@ def item_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ratio(spark: SparkSession, sf_dir: str, k_sigma: float) -> DataFrame:
     stores, rows, groups = _stores(spark, sf_dir)
+    sold = reports.shift_items(fx.shifts(spark, sf_dir), fx.receipts(spark, sf_dir), fx.AS_OF)
     return shown(
         reports.ratio_anomalies(
-            fx.shifts(spark, sf_dir),
-            fx.receipts(spark, sf_dir),
+            replace_table(sold, fresh_path(spark, "shift_items")),
             stores,
             fx.AS_OF,
             k_sigma=k_sigma,
@@ -175,7 +181,7 @@ def ratio_anomalies_k1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def report_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sales-dip report through the report files."""
-    facts, groups = _facts(spark, sf_dir)
+    facts, groups = _staged_facts(spark, sf_dir)
     report = shown_numbers(reports.sales_dip_anomalies(facts, fx.AS_OF, max_groups=groups))
     folder = fresh_path(spark, "reports")
     written = report_sink.write_report(report, folder, reports.SALES_DIP)
@@ -490,8 +496,8 @@ def attendance_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fx.payloads(spark, sf_dir)
     first = raw.where(F.col("load_dt") < F.expr("TIMESTAMP_NTZ '2024-01-20 00:00:00'"))
     second = raw.where(F.col("load_dt") >= F.expr("TIMESTAMP_NTZ '2024-01-15 00:00:00'"))
-    target = attendance.parse_payloads(first).withColumn("activity", F.lit("Earlier"))
-    return shown(attendance.attendance_upsert(target, second))
+    target = attendance.stage_payloads(first).withColumn("activity", F.lit("Earlier"))
+    return shown(attendance.attendance_upsert(target, attendance.stage_payloads(second)))
 
 
 @query
@@ -502,10 +508,10 @@ def attendance_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "payload",
         F.regexp_replace("payload", '"Activity":"Shift"', '"Activity":"Again"'),
     )
-    target = attendance.parse_payloads(
+    target = attendance.stage_payloads(
         raw.where(F.col("load_dt") < F.expr("TIMESTAMP_NTZ '2024-01-20 00:00:00'"))
     )
-    both = raw.unionByName(again)
+    both = attendance.stage_payloads(raw.unionByName(again))
     return shown(attendance.attendance_upsert(target, both, on_duplicate="latest"))
 
 

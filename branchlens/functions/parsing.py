@@ -9,21 +9,29 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from branchlens.functions.clock import LOCAL_TZ, instant_to_utc, to_utc
 
-_ZONED = r"(?i)(z|utc|gmt|[+-]\d{1,2}(:?\d{2})?)$"
-_HAS_TIME = r"\d{1,2}:\d{2}"
+# A clock time followed by a zone name or offset at the end of the text.
+_ZONED = r"(?i)\d:\d{2}.*?(z|utc|gmt|[+-]\d{1,2}(:?\d{2})?)$"
+# The two accepted date layouts, year-month-day and day/month/year.
+_ISO_DATE = r"^\d{4}-\d{1,2}-\d{1,2}$"
+_DAY_FIRST = r"^(\d{1,2})/(\d{1,2})/(\d{4})$"
 
 
 def has_zone(text: Column) -> Column:
     """Whether a time text names its offset."""
-    return text.rlike(_HAS_TIME) & text.rlike(_ZONED)
+    return text.endswith("Z") | text.rlike(_ZONED)
 
 
-def json_text(payload: Column, key: str) -> Column:
-    """Scalar text under a top-level key; keys may contain spaces."""
-    return F.get_json_object(payload, f"$['{key}']")
+def json_texts(payload: Column, keys: tuple[str, ...]) -> Column:
+    """Struct of the scalar texts under top-level keys, parsed in one go.
+
+    Keys may contain spaces; a missing key or a malformed payload gives null.
+    """
+    schema = T.StructType([T.StructField(key, T.StringType()) for key in keys])
+    return F.from_json(payload, schema)
 
 
 def attendance_key(
@@ -41,8 +49,13 @@ def attendance_key(
 
 
 def multi_format_date(text: Column) -> Column:
-    """ISO first, then day/month/year, else null."""
-    return F.coalesce(F.try_to_date(text, "y-M-d"), F.try_to_date(text, "d/M/y"))
+    """ISO first, then day/month/year, else null.
+
+    Both layouts go through one cast: date patterns would throw and catch an
+    exception for every text that does not match.
+    """
+    iso = F.regexp_replace(text, _DAY_FIRST, "$3-$2-$1")
+    return F.when(iso.rlike(_ISO_DATE), iso.try_cast("date"))
 
 
 def local_text_timestamp(date_text: Column, time_text: Column, tz: str = LOCAL_TZ) -> Column:
@@ -64,13 +77,14 @@ def hms_to_seconds(text: Column) -> Column:
 def seconds_to_hms(seconds: Column) -> Column:
     """Seconds to ``HH:MM:SS``; hours may pass 24, null stays null."""
     whole = seconds.cast("bigint")
-    text = F.format_string(
-        "%02d:%02d:%02d",
-        F.floor(whole / 3600),
-        F.floor((whole % 3600) / 60),
-        whole % 60,
-    )
-    return F.when(whole.isNotNull(), text)
+
+    def padded(number: Column) -> Column:
+        digits = number.cast("bigint").cast("string")
+        return F.when(number < 10, F.concat(F.lit("0"), digits)).otherwise(digits)
+
+    colon = F.lit(":")
+    hours, minutes = F.floor(whole / 3600), F.floor((whole % 3600) / 60)
+    return F.concat(padded(hours), colon, padded(minutes), colon, padded(whole % 60))
 
 
 def coerce_timestamp(text: Column) -> Column:

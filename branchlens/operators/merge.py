@@ -5,6 +5,8 @@ target rows always stay. Columns are matched by name.
 
 Whole rows are only ever joined to a table with one row per source key, which
 is combined on the map side first, so repeated keys do not pile up in a task.
+A source is read more than once (its keys, then its rows); stage it as a table
+when it is costly to compute.
 """
 
 from __future__ import annotations
@@ -52,10 +54,12 @@ def upsert(
     one target row raise when the result is computed; ``on_duplicate="latest"``
     keeps the greatest ``order_by`` per key instead.
     """
+    keys = _key_copies(source, key)
     if on_duplicate == "latest":
         if order_by is None:
             raise ValueError("on_duplicate='latest' needs order_by")
         source = latest_per_key(source, key, order_by)
+        keys = keys.withColumn(_COPIES, F.lit(1))
     elif on_duplicate != "error":
         raise ValueError(f"unknown on_duplicate: {on_duplicate}")
 
@@ -65,7 +69,7 @@ def upsert(
         )
     ).cast("boolean")
     untouched = (
-        join_per_key(target, _key_copies(source, key), key, "left", SALTS)
+        join_per_key(target, keys, key, "left", SALTS)
         .where(F.when(F.col(_COPIES) > 1, clash).otherwise(F.col(_COPIES).isNull()))
         .select(*target.columns)
     )

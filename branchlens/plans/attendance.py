@@ -8,8 +8,15 @@ from pyspark.sql import functions as F
 from branchlens import schemas
 from branchlens.functions import clock, parsing
 from branchlens.operators.merge import upsert
+from branchlens.session import fresh_path
 from branchlens.sources.landing import read_envelopes
-from branchlens.sources.tables import append_table
+from branchlens.sources.tables import append_table, replace_table
+
+# Keys of a raw attendance payload.
+PAYLOAD_KEYS = (
+    "Date", "Full Name", "Group", "EntryType", "Time", "Duration", "Activity", "Kiosk Name",
+    "Created On", "Last Edited On",
+)
 
 
 def normalise_entries(entries: DataFrame, tz: str = clock.LOCAL_TZ) -> DataFrame:
@@ -49,57 +56,46 @@ def append_entries(spark: SparkSession, landing: str, raw_path: str) -> DataFram
 
 def parse_payloads(raw: DataFrame, tz: str = clock.LOCAL_TZ) -> DataFrame:
     """Raw rows (``payload`` JSON text, ``load_dt``) as typed attendance rows."""
-    payload = F.col("payload")
-
-    def field(key: str) -> Column:
-        return parsing.json_text(payload, key)
-
-    read = raw.where(payload.isNotNull()).select(
-        clock.utc_wall(raw, "load_dt").alias("_loaded"),
-        field("Date").alias("_date"),
-        field("Full Name").alias("full_name"),
-        field("Group").alias("group"),
-        field("EntryType").alias("entry_type"),
-        field("Time").alias("_time"),
-        field("Duration").alias("_duration"),
-        field("Activity").alias("activity"),
-        field("Kiosk Name").alias("kiosk_name"),
-        field("Created On").alias("_created"),
-        field("Last Edited On").alias("_edited"),
+    fields = parsing.json_texts(F.col("payload"), PAYLOAD_KEYS)
+    read = (
+        raw.where(F.col("payload").isNotNull())
+        .select(clock.utc_wall(raw, "load_dt").alias("_loaded"), fields.alias("_p"))
+        .select("_loaded", "_p.*")
     )
+    date_text, time_text = F.col("Date"), F.col("Time")
+    name, kind, kiosk = F.col("Full Name"), F.col("EntryType"), F.col("Kiosk Name")
     return read.select(
-        parsing.attendance_key(
-            F.col("_date"), F.col("full_name"), F.col("entry_type"), F.col("_time"),
-            F.col("kiosk_name"),
-        ).alias("attn_id"),
-        parsing.multi_format_date(F.col("_date")).alias("date"),
-        "full_name",
-        "group",
-        "entry_type",
-        parsing.local_text_timestamp(F.col("_date"), F.col("_time"), tz).alias("time_ts"),
-        parsing.hms_to_seconds(F.col("_duration")).alias("duration_sec"),
-        "activity",
-        "kiosk_name",
+        parsing.attendance_key(date_text, name, kind, time_text, kiosk).alias("attn_id"),
+        parsing.multi_format_date(date_text).alias("date"),
+        name.alias("full_name"),
+        F.col("Group").alias("group"),
+        kind.alias("entry_type"),
+        parsing.local_text_timestamp(date_text, time_text, tz).alias("time_ts"),
+        parsing.hms_to_seconds(F.col("Duration")).alias("duration_sec"),
+        F.col("Activity").alias("activity"),
+        kiosk.alias("kiosk_name"),
         F.coalesce(
-            parsing.strict_timestamp(F.col("_edited")),
-            parsing.strict_timestamp(F.col("_created")),
+            parsing.strict_timestamp(F.col("Last Edited On")),
+            parsing.strict_timestamp(F.col("Created On")),
             F.col("_loaded"),
         ).alias("updated_at"),
     )
 
 
+def stage_payloads(
+    raw: DataFrame, path: str | None = None, tz: str = clock.LOCAL_TZ
+) -> DataFrame:
+    """Parse raw rows once into a staging table, which the merge then reads."""
+    path = path or fresh_path(raw.sparkSession, "attendance_staged")
+    return replace_table(parse_payloads(raw, tz), path)
+
+
 def attendance_upsert(
-    target: DataFrame, raw: DataFrame, tz: str = clock.LOCAL_TZ, on_duplicate: str = "error"
+    target: DataFrame, staged: DataFrame, on_duplicate: str = "error"
 ) -> DataFrame:
-    """Upsert parsed payloads into the final attendance table.
+    """Upsert staged attendance rows into the final table.
 
     The raw table is appended to without deduplication; ``"latest"`` keeps the
     last update of a repeated key, the default refuses it.
     """
-    return upsert(
-        target,
-        parse_payloads(raw, tz),
-        schemas.MERGE_KEYS["attendance"],
-        on_duplicate,
-        "updated_at",
-    )
+    return upsert(target, staged, schemas.MERGE_KEYS["attendance"], on_duplicate, "updated_at")

@@ -302,12 +302,10 @@ def ratio_columns(items: tuple[str, str]) -> dict[str, str]:
 
 
 def ratio_anomalies(
-    shifts: DataFrame,
-    receipts: DataFrame,
+    sold: DataFrame,
     stores: DataFrame,
     as_of: datetime,
     items: tuple[str, str] = ITEMS,
-    baseline_days: int = BASELINE_DAYS,
     analysis_days: int = ANALYSIS_DAYS,
     k_sigma: float = K_SIGMA,
     ratio_limit: float = RATIO_LIMIT,
@@ -316,10 +314,14 @@ def ratio_anomalies(
     store_rows: int | None = None,
     max_groups: int | None = None,
 ) -> DataFrame:
-    """Recent shifts with too much of one item against the other, or too little of the other."""
+    """Recent shifts with too much of one item against the other, or too little of the other.
+
+    ``sold`` is the table of :func:`shift_items`. It is read twice, once for the
+    baseline and once for the tested shifts, so stage it first: otherwise the
+    receipts are joined twice.
+    """
     top, bottom = items
     names = ratio_columns(items)
-    sold = shift_items(shifts, receipts, as_of, items, baseline_days, tz)
     named = lookup_with_default(
         sold, stores, "store_id", "store_name", UNKNOWN_STORE, store_rows
     )
@@ -367,19 +369,18 @@ def ratio_anomalies(
 
 
 def all_reports(
-    shifts: DataFrame,
-    receipts: DataFrame,
-    stores: DataFrame,
     facts: DataFrame,
+    sold: DataFrame,
+    stores: DataFrame,
     as_of: datetime,
     store_rows: int | None = None,
     max_groups: int | None = None,
 ) -> dict[str, DataFrame]:
-    """The four reports by tab name; ``facts`` is shared by three of them."""
+    """The four reports by name, from the staged shift fact and item table."""
     return {
         SALES_DIP: sales_dip_anomalies(facts, as_of, max_groups=max_groups),
         RATIO: ratio_anomalies(
-            shifts, receipts, stores, as_of, store_rows=store_rows, max_groups=max_groups
+            sold, stores, as_of, store_rows=store_rows, max_groups=max_groups
         ),
         SUMMARY: summary_sales(facts, as_of),
         GRANULAR: granular_sales(facts, as_of, max_groups=max_groups),
