@@ -363,7 +363,34 @@ def schema_project(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def ingest_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = landed(fx.conversation_pages(spark, sf_dir))
-    return _receipt_columns(ingest.stage(spark, "receipts", path, fresh_path(spark, "staging")))
+    staged, _ = ingest.stage(spark, "receipts", path, fresh_path(spark, "staging"))
+    return _receipt_columns(staged)
+
+
+@query
+def pos_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping pulls: landed, staged and upserted into a day-partitioned table."""
+    target = fresh_path(spark, "receipts")
+    for first, last, added in (("2024-01-01", "2024-01-20", 0), ("2024-01-15", "2024-02-01", 1)):
+        pages = fx.receipt_pages(spark, sf_dir, added).where(
+            (F.col("ts") >= F.lit(first).cast("timestamp_ntz"))
+            & (F.col("ts") < F.lit(last).cast("timestamp_ntz"))
+        )
+        staged, rows = ingest.stage(spark, "receipts", landed(pages), fresh_path(spark, "staging"))
+        if rows:
+            ingest.merge_days(spark, "receipts", staged, target)
+    return shown(
+        ingest.read_days(spark, "receipts", target).select(
+            "receipt_number",
+            "store_id",
+            "created_at",
+            "total_money",
+            "customer_id",
+            F.get_json_object(F.try_element_at("line_items", F.lit(1)), "$.item_name").alias(
+                "item_name"
+            ),
+        )
+    )
 
 
 @query

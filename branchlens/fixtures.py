@@ -189,7 +189,7 @@ def conversation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(
             F.lit("2024-01-01T00:00:"), F.lpad(F.col("turn").cast("string"), 2, "0"), F.lit("Z")
         ).alias("created_at"),
-        F.lit("yesterday").alias("updated_at"),
+        F.lit("not a time").alias("updated_at"),
         F.length(line).cast("double").alias("total_money"),
         F.struct(
             F.col("conv_id").cast("string").alias("id"),
@@ -212,6 +212,25 @@ def conversation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def receipt_pages(spark: SparkSession, sf_dir: str, added: int = 0) -> DataFrame:
+    """One receipts page per event, its total raised by ``added``."""
+    moment = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z"))
+    record = F.struct(
+        F.concat(F.lit("R"), F.col("event_id")).alias("receipt_number"),
+        moment.alias("created_at"),
+        moment.alias("updated_at"),
+        (F.col("value") + added).alias("total_money"),
+        F.array(
+            F.struct(F.col("event_type").alias("item_name"), quantity().alias("quantity"))
+        ).alias("line_items"),
+        F.col("user_id").cast("string").alias("customer_id"),
+        store_of().alias("store_id"),
+    )
+    return table(spark, sf_dir, "events").select(
+        F.to_json(F.struct(F.array(record).alias("receipts"))).alias("value"), "ts"
+    )
+
+
 def time_entry_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One time-entry page per event, with alternate names and gaps."""
     started = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))

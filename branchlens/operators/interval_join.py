@@ -109,15 +109,15 @@ def interval_sum(
     therefore do not multiply the points: one open for 90 days meets some 130
     totals. Null values count as 0, yet their point still makes the row appear.
     """
-    # One explicit shuffle feeds both branches, so the points are read once.
-    # Both branches use the same columns; that is what lets Spark reuse it.
-    spread = _bucketed_points(
-        points.select(key, at, group, F.coalesce(value, F.lit(0.0)).alias(_VALUE)),
-        key,
-        at,
-        bucket_seconds,
-        salt,
-    ).repartition(key, _BUCKET, SALT)
+    # One explicit shuffle feeds all branches, so the points are read once. The
+    # branches use the same columns and null checks; that lets Spark reuse it.
+    block_of = F.floor(F.col(_BUCKET) / block)
+    valued = points.select(key, at, group, F.coalesce(value, F.lit(0.0)).alias(_VALUE))
+    spread = (
+        _bucketed_points(valued, key, at, bucket_seconds, salt)
+        .where(block_of.isNotNull())
+        .repartition(key, _BUCKET, SALT)
+    )
     bounded = _bounded_intervals(intervals, key, start, end, bucket_seconds)
 
     ends = (
@@ -134,7 +134,7 @@ def interval_sum(
     totals = spread.groupBy(key, _BUCKET, group).agg(
         F.sum(_VALUE).alias(_VALUE), F.max(at).alias(_SEEN_TO)
     )
-    block_totals = totals.groupBy(key, F.floor(F.col(_BUCKET) / block).alias(_BUCKET), group).agg(
+    block_totals = totals.groupBy(key, block_of.alias(_BUCKET), group).agg(
         F.sum(_VALUE).alias(_VALUE), F.max(_SEEN_TO).alias(_SEEN_TO)
     )
     first, last = F.col(_FIRST), F.col(_LAST)

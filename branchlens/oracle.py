@@ -373,6 +373,13 @@ SELECT receipt_number, CAST(conv_id AS VARCHAR) AS customer_id, role AS customer
 """,
     "schema_project": STAGED,
     "ingest_stage": STAGED,
+    "pos_ingest": f"""
+SELECT 'R' || event_id AS receipt_number, CAST(user_id % 30 AS VARCHAR) AS store_id,
+       {_t('ts')} AS created_at,
+       round(value + CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 0 ELSE 1 END, 6) AS total_money,
+       CAST(user_id AS VARCHAR) AS customer_id, event_type AS item_name
+FROM events
+""",
     "array_to_json_strings": """
 SELECT conv_id, turn, replace(text, chr(10), '|') AS lines, true AS keeps_null,
        turn || ',' || conv_id AS numbers, CAST(0 AS BIGINT) AS from_document,

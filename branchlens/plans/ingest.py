@@ -2,32 +2,43 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from branchlens import schemas
 from branchlens.functions import clock
 from branchlens.functions.nested import array_to_json_strings, flatten_structs
-from branchlens.operators.merge import insert_only_by_day, upsert
+from branchlens.operators.merge import insert_only, insert_only_by_day, upsert
 from branchlens.session import fresh_path
 from branchlens.sources.landing import read_envelopes
-from branchlens.sources.tables import day_shards, read_or_empty, replace_table
+from branchlens.sources.tables import (
+    day_shards,
+    read_or_empty,
+    refresh_partitions,
+    replace_table,
+)
 
-INGEST_TIME = "created_at"
+# When a record came to be; never changes for a key, so it also places the
+# record in its day partition.
+MOMENT = {"receipts": "created_at", "shifts": "opened_at"}
+DAY = "ds"
 
 
-def window_filter(
-    records: DataFrame, window: tuple[datetime, datetime], column: str = INGEST_TIME
-) -> DataFrame:
+def window_filter(records: DataFrame, window: tuple[datetime, datetime], column: str) -> DataFrame:
     """Records created within an ingest window, both ends included."""
     return records.where(clock.in_window(records, column, window))
 
 
 def landed_records(
-    spark: SparkSession, path: str, key: str, schema: T.StructType, record: T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    key: str,
+    schema: T.StructType,
+    record: T.StructType | None = None,
 ) -> DataFrame:
     """Landed records flattened and projected onto a fixed schema.
 
@@ -43,42 +54,80 @@ def stage(
     landing: str,
     staging: str,
     window: tuple[datetime, datetime] | None = None,
-) -> DataFrame:
-    """Replace the staging table of ``entity`` by the landed records of a window."""
+) -> tuple[DataFrame, int]:
+    """Replace the staging table of ``entity`` by its landed records; also their number.
+
+    The rows are counted while they are written.
+    """
     schema = schemas.SCHEMAS[entity]
     records = landed_records(spark, landing, entity, schema)
-    time_columns = [c for c in (INGEST_TIME, "opened_at") if c in schema.fieldNames()]
     if window is not None:
-        records = window_filter(records, window, time_columns[0])
-    return replace_table(records, staging)
+        records = window_filter(records, window, MOMENT[entity])
+    loaded = Observation()
+    staged = replace_table(records.observe(loaded, F.count(F.lit(1)).alias("rows")), staging)
+    return staged, loaded.get["rows"]
+
+
+def _merge(entity: str, mode: str, on_duplicate: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    key = schemas.MERGE_KEYS[entity]
+    order_by = "updated_at" if entity == "receipts" else MOMENT[entity]
+
+    def merged(target: DataFrame, source: DataFrame) -> DataFrame:
+        if mode == "insert":
+            return insert_only(target, source, key)
+        return upsert(target, source, key, on_duplicate, order_by)
+
+    return merged
+
+
+def merge_days(
+    spark: SparkSession,
+    entity: str,
+    staged: DataFrame,
+    target_path: str,
+    mode: str = "upsert",
+    on_duplicate: str = "error",
+    work_path: str | None = None,
+) -> None:
+    """Merge a staged batch into a day-partitioned table, creating it if absent.
 
+    Only the days in the batch are read and rewritten. ``mode="insert"`` leaves
+    existing rows alone.
+    """
+    day = F.to_date(MOMENT[entity])
+    refresh_partitions(
+        spark,
+        target_path,
+        staged.withColumn(DAY, day),
+        DAY,
+        _merge(entity, mode, on_duplicate),
+        work_path or fresh_path(spark, f"{entity}_merged"),
+    )
 
-def merge_staged(
+
+def merge_table(
     spark: SparkSession,
     entity: str,
     staged: DataFrame,
     current: str,
     target: str,
+    mode: str = "upsert",
     on_duplicate: str = "error",
-) -> bool:
-    """Upsert a staged batch into the table at ``current``, written to ``target``.
+) -> DataFrame:
+    """Merge a staged batch into the table at ``current``, written whole to ``target``.
 
-    The target is a new path, since Parquet cannot be overwritten while it is
-    read. A missing current table counts as empty; an empty batch does nothing.
+    For tables without day partitions. The target is a new path, since Parquet
+    cannot be overwritten while it is read.
     """
-    if staged.isEmpty():
-        return False
+    rows = read_or_empty(spark, current, schemas.SCHEMAS[entity])
+    return replace_table(_merge(entity, mode, on_duplicate)(rows, staged), target)
+
+
+def read_days(spark: SparkSession, entity: str, path: str) -> DataFrame:
+    """The day-partitioned table of ``entity``, without its partition column."""
     schema = schemas.SCHEMAS[entity]
-    order_by = "updated_at" if "updated_at" in schema.fieldNames() else None
-    merged = upsert(
-        read_or_empty(spark, current, schema),
-        staged,
-        schemas.MERGE_KEYS[entity],
-        on_duplicate,
-        order_by,
-    )
-    replace_table(merged, target)
-    return True
+    with_day = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
+    return read_or_empty(spark, path, with_day).select(*schema.fieldNames())
 
 
 # --- back-fill of daily shards --------------------------------------------
