@@ -15,7 +15,7 @@ from branchlens.plans import attendance, ingest, reports
 from branchlens.plans.shift_fact import shift_fact
 from branchlens.session import build_session, fresh_path
 from branchlens.sources.report_sink import write_report
-from branchlens.sources.tables import read_or_empty, replace_table
+from branchlens.sources.tables import read_or_empty, replace_table, require_new_path
 
 STORE_COLUMNS = "store_id string, store_name string"
 
@@ -65,6 +65,7 @@ def run_attendance(
     spark: SparkSession, raw: DataFrame, current: str, target: str, on_duplicate: str = "error"
 ) -> None:
     """Parse raw attendance rows and upsert them into a new version of the final table."""
+    require_new_path(current, target)
     final = read_or_empty(spark, current, schemas.ATTENDANCE)
     staged = attendance.stage_payloads(raw)
     replace_table(attendance.attendance_upsert(final, staged, on_duplicate), target)
@@ -149,6 +150,7 @@ def main() -> None:
         attendance.append_entries(spark, args.landing, args.raw)
     else:
         shards = spark.read.parquet(args.shards)
+        require_new_path(args.current, args.target)
         current = spark.read.parquet(args.current)
         run_backfill(current, shards, ingest.DAY, args.first, args.last, args.target)
     print(json.dumps(done))

@@ -20,6 +20,7 @@ from branchlens.sources.tables import (
     read_or_empty,
     refresh_partitions,
     replace_table,
+    require_new_path,
 )
 
 # When a record came to be; never changes for a key, so it also places the
@@ -119,6 +120,7 @@ def merge_table(
     For tables without day partitions. The target is a new path, since Parquet
     cannot be overwritten while it is read.
     """
+    require_new_path(current, target)
     rows = read_or_empty(spark, current, schemas.SCHEMAS[entity])
     return replace_table(_merge(entity, mode, on_duplicate)(rows, staged), target)
 

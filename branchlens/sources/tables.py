@@ -30,10 +30,17 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_SUCCESS")
 
 
+def require_new_path(current: str, target: str) -> None:
+    """Refuse to write a new table version over the one it is computed from."""
+    if current.rstrip("/") == target.rstrip("/"):
+        raise ValueError(f"cannot overwrite the table being read: {target}")
+
+
 def replace_table(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
     """Overwrite ``path`` with ``df`` and return the written table.
 
-    Never point this at a path ``df`` itself reads from.
+    Never point this at a path ``df`` itself reads from: the old files are
+    deleted before the new ones are computed. See :func:`require_new_path`.
     """
     if partition_by is None:
         df.write.mode("overwrite").parquet(path)
@@ -87,7 +94,9 @@ def touched_partitions(target: DataFrame, source: DataFrame, partition_by: str)
     values = source.select(partition_by).distinct()
     listed = [row[0] for row in values.limit(LISTED_PARTITIONS + 1).collect()]
     if len(listed) > LISTED_PARTITIONS:
-        return target.join(values, partition_by, "left_semi")
+        touched = values.withColumnRenamed(partition_by, "_touched")
+        same = F.col(partition_by).eqNullSafe(F.col("_touched"))
+        return target.join(touched, same, "left_semi")
     wanted = F.col(partition_by).isin([v for v in listed if v is not None])
     return target.where(wanted | F.col(partition_by).isNull() if None in listed else wanted)
 
