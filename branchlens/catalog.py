@@ -313,6 +313,26 @@ def sharded_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def shard_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily shift shards; a second load replaces the days since the 15th."""
+    path = fresh_path(spark, "shift_shards")
+    local_15th = F.lit("2024-01-14 16:00:00").cast("timestamp_ntz")
+    ingest.stage_shards(spark, landed(fx.shift_pages(spark, sf_dir)), path)
+    later = fx.shift_pages(spark, sf_dir, added=1).where(F.col("ts") >= local_15th)
+    shards = ingest.stage_shards(spark, landed(later), path)
+    return shown(
+        shards.select(
+            "id",
+            "ds",
+            "opened_at",
+            F.size("cash_movements").alias("movements"),
+            nested.json_array_sum(F.col("cash_movements"), "money_amount").alias("moved"),
+            F.try_element_at("taxes", F.lit(1)).alias("tax"),
+        )
+    )
+
+
 # --- landing and projection -----------------------------------------------
 
 

@@ -231,6 +231,26 @@ def receipt_pages(spark: SparkSession, sf_dir: str, added: int = 0) -> DataFrame
     )
 
 
+def shift_pages(spark: SparkSession, sf_dir: str, added: int = 0) -> DataFrame:
+    """One shifts page per event; some movements are no list of objects."""
+    movement = F.to_json(F.struct((F.col("value") + added).alias("money_amount")))
+    movements = F.when(
+        F.col("event_type") == "error", F.concat(F.lit("["), movement, F.lit(",1]"))
+    ).otherwise(F.concat(F.lit("["), movement, F.lit(",{}]")))
+    record = F.struct(
+        F.concat(F.lit("S"), F.col("event_id")).alias("id"),
+        store_of().alias("store_id"),
+        F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("Z")).alias(
+            "opened_at"
+        ),
+        F.parse_json(movements).alias("cash_movements"),
+        F.array(quantity()).alias("taxes"),
+    )
+    return table(spark, sf_dir, "events").select(
+        F.to_json(F.struct(F.array(record).alias("shifts"))).alias("value"), "ts"
+    )
+
+
 def time_entry_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One time-entry page per event, with alternate names and gaps."""
     started = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))

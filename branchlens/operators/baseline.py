@@ -21,7 +21,7 @@ def slot_baseline(facts: DataFrame, value: str = "total_sales") -> DataFrame:
 
 
 def item_pivot(
-    item_sums: DataFrame, shift_columns: list[str], items: tuple[str, ...], value: str = "quantity"
+    sold: DataFrame, shift_columns: list[str], items: tuple[str, ...], value: str = "quantity"
 ) -> DataFrame:
     """One row per shift, one column per item, 0 where the item is missing.
 
@@ -32,7 +32,7 @@ def item_pivot(
     for column in shift_columns:
         present = present & F.col(column).isNotNull()
     return (
-        item_sums.where(present)
+        sold.where(present)
         .groupBy(*shift_columns)
         .agg(
             *[

@@ -16,7 +16,7 @@ from branchlens.operators.skew import SALT, all_salts, row_salt
 
 HOUR = 3600
 _FIRST, _LAST, _BUCKET = "_first_bucket", "_last_bucket", "_bucket"
-_VALUE, _SEEN_TO = "_value", "_seen_to"
+_VALUE, _WHOLE = "_value", "_whole"
 
 
 def time_bucket(at: Column, seconds: int) -> Column:
@@ -86,7 +86,7 @@ def _run(first: Column, last: Column) -> Column:
     )
 
 
-def interval_sum(
+def interval_parts(
     points: DataFrame,
     intervals: DataFrame,
     key: str,
@@ -100,14 +100,14 @@ def interval_sum(
     block: int = 24,
     salt: int = 4,
 ) -> DataFrame:
-    """Sum of ``value`` per interval and ``group``, over the points it contains.
+    """Partial sums of ``value`` per interval and ``group``, several rows per pair.
 
-    Same result as grouping :func:`interval_join` by ``interval_columns`` and
-    ``group``, but an interval meets single points only in its first and last
-    bucket. Buckets between enter as one total each, and whole blocks of
+    Summed up, they equal :func:`interval_join` grouped by ``interval_columns``
+    and ``group``. But an interval meets single points only in its first and
+    last bucket. Buckets between enter as one total each, and whole blocks of
     ``block`` buckets as one total per block. Long or many overlapping intervals
     therefore do not multiply the points: one open for 90 days meets some 130
-    totals. Null values count as 0, yet their point still makes the row appear.
+    totals. Null values count as 0, yet their point still makes a row appear.
     """
     # One explicit shuffle feeds all branches, so the points are read once. The
     # branches use the same columns and null checks; that lets Spark reuse it.
@@ -125,17 +125,15 @@ def interval_sum(
         .withColumn(SALT, all_salts(salt))
         .hint("merge")
     )
-    at_ends = (
-        spread.join(ends, [key, _BUCKET, SALT])
-        .where(F.col(at).between(F.col(start), F.col(end)))
-        .select(*interval_columns, group, _VALUE)
+    at_ends = spread.join(ends, [key, _BUCKET, SALT]).where(
+        F.col(at).between(F.col(start), F.col(end))
     )
 
-    totals = spread.groupBy(key, _BUCKET, group).agg(
-        F.sum(_VALUE).alias(_VALUE), F.max(at).alias(_SEEN_TO)
-    )
-    block_totals = totals.groupBy(key, block_of.alias(_BUCKET), group).agg(
-        F.sum(_VALUE).alias(_VALUE), F.max(_SEEN_TO).alias(_SEEN_TO)
+    sums = [F.sum(_VALUE).alias(_VALUE), F.max(at).alias(at)]
+    per_bucket = spread.groupBy(key, _BUCKET, group).agg(*sums)
+    per_block = per_bucket.groupBy(key, block_of.alias(_BUCKET), group).agg(*sums)
+    totals = per_bucket.withColumn(_WHOLE, F.lit(False)).unionByName(
+        per_block.withColumn(_WHOLE, F.lit(True))
     )
     first, last = F.col(_FIRST), F.col(_LAST)
     first_block, last_block = F.floor(first / block), F.floor(last / block)
@@ -147,17 +145,40 @@ def interval_sum(
     ).otherwise(_run(first + 1, last - 1))
     blocks = _run(first_block + 1, last_block - 1)
 
-    def covered(buckets: Column, sums: DataFrame) -> DataFrame:
-        inner = bounded.withColumn(_BUCKET, F.explode(buckets)).hint("merge")
-        return (
-            sums.join(inner, [key, _BUCKET])
-            .where(F.col(_SEEN_TO) <= F.col(end))
-            .select(*interval_columns, group, _VALUE)
+    def marked(numbers: Column, whole: bool) -> Column:
+        return F.transform(
+            numbers, lambda n: F.struct(F.lit(whole).alias(_WHOLE), n.alias(_BUCKET))
         )
 
-    return (
-        at_ends.unionByName(covered(singles, totals))
-        .unionByName(covered(blocks, block_totals))
-        .groupBy(*interval_columns, group)
-        .agg(F.sum(_VALUE).alias(value))
+    inner = (
+        bounded.withColumn(
+            "_cover", F.explode(F.concat(marked(singles, False), marked(blocks, True)))
+        )
+        .select("*", "_cover.*")
+        .hint("merge")
+    )
+    # The last point seen lies inside too, which the bucket numbers imply.
+    between = totals.join(inner, [key, _WHOLE, _BUCKET]).where(F.col(at) <= F.col(end))
+
+    columns = [*interval_columns, group, F.col(_VALUE).alias(value)]
+    return at_ends.select(*columns).unionByName(between.select(*columns))
+
+
+def interval_sum(
+    points: DataFrame,
+    intervals: DataFrame,
+    group: str,
+    value: str,
+    interval_columns: list[str],
+    **options,
+) -> DataFrame:
+    """Sum of ``value`` per interval and ``group``; options as :func:`interval_parts`."""
+    parts = interval_parts(
+        points,
+        intervals,
+        group=group,
+        value=value,
+        interval_columns=interval_columns,
+        **options,
     )
+    return parts.groupBy(*interval_columns, group).agg(F.sum(value).alias(value))

@@ -364,6 +364,16 @@ SELECT strftime(ds, '%Y-%m-%d') AS ds, id, {_t('ts')} AS opened_at,
        round(value, 6) AS starting_cash, round(value + 12, 6) AS surcharge,
        'PAY_IN' AS first_type, true AS keeps_null, round(value * 3, 6) AS moved
 FROM shard
+""",
+    "shard_replace": f"""
+SELECT 'S' || event_id AS id, strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS ds,
+       {_t('ts')} AS opened_at,
+       CAST(CASE event_type WHEN 'error' THEN 0 ELSE 2 END AS BIGINT) AS movements,
+       CASE event_type WHEN 'error' THEN 0 ELSE
+         round(value + CASE WHEN ts < TIMESTAMP '2024-01-14 16:00:00' THEN 0 ELSE 1 END, 6)
+         END AS moved,
+       CAST(json_extract_string(props, '$.k') AS BIGINT) AS tax
+FROM events
 """,
     "json_envelope_explode": LINES + "SELECT receipt_number, line AS note FROM named",
     "struct_flatten": LINES

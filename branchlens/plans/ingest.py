@@ -11,7 +11,12 @@ from pyspark.sql import types as T
 
 from branchlens import schemas
 from branchlens.functions import clock
-from branchlens.functions.nested import array_to_json_strings, flatten_structs
+from branchlens.functions.nested import (
+    array_int_or_empty,
+    array_struct_or_empty,
+    array_to_json_strings,
+    flatten_structs,
+)
 from branchlens.operators.merge import insert_only, insert_only_by_day, upsert
 from branchlens.session import fresh_path
 from branchlens.sources.landing import read_envelopes
@@ -19,6 +24,7 @@ from branchlens.sources.tables import (
     day_shards,
     read_or_empty,
     refresh_partitions,
+    replace_partitions,
     replace_table,
     require_new_path,
 )
@@ -69,6 +75,36 @@ def stage(
     return staged, loaded.get["rows"]
 
 
+def stage_shards(
+    spark: SparkSession,
+    landing: str,
+    path: str,
+    window: tuple[datetime, datetime] | None = None,
+    tz: str = clock.LOCAL_TZ,
+) -> DataFrame:
+    """Older shift staging: one partition per local day, replaced as a whole.
+
+    Only the days of the landed records are overwritten. Here ``taxes`` are
+    numbers, and ``cash_movements`` count only if all of them are objects.
+    """
+    record = schemas.landing_schema(schemas.SHIFTS)
+    raw = flatten_structs(read_envelopes(spark, landing, "shifts", record))
+    repaired = raw.withColumns(
+        {
+            "taxes": array_int_or_empty(F.col("taxes"), raw.schema["taxes"].dataType),
+            "cash_movements": array_struct_or_empty(
+                F.col("cash_movements"), raw.schema["cash_movements"].dataType
+            ),
+        }
+    )
+    moment = MOMENT["shifts"]
+    records = schemas.conform(repaired, schemas.SHIFTS_SHARD)
+    if window is not None:
+        records = window_filter(records, window, moment)
+    by_day = records.withColumn(DAY, F.to_date(clock.to_local(F.col(moment), tz)))
+    return replace_partitions(by_day, path, DAY)
+
+
 def _merge(entity: str, mode: str, on_duplicate: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
     key = schemas.MERGE_KEYS[entity]
     order_by = "updated_at" if entity == "receipts" else MOMENT[entity]

@@ -19,7 +19,7 @@ from branchlens.operators.baseline import (
     slot_baseline,
     slot_baseline_by_day,
 )
-from branchlens.operators.interval_join import interval_join, interval_sum
+from branchlens.operators.interval_join import interval_join, interval_parts
 from branchlens.operators.lookup import UNKNOWN_STORE, lookup_with_default, with_group_stats
 from branchlens.plans.shift_fact import (
     ANALYSIS_DAYS,
@@ -267,7 +267,7 @@ def shift_items(
 
     Only shifts that sold at least one of the items appear.
     """
-    sums = interval_sum(
+    parts = interval_parts(
         receipt_items(receipts, as_of, items, baseline_days),
         open_intervals(shifts, as_of, baseline_days, tz),
         key="store_id",
@@ -278,7 +278,7 @@ def shift_items(
         value="quantity",
         interval_columns=["shift_number", "opened_at", "store_id"],
     ).withColumnRenamed("opened_at", "shift_opening_time")
-    return item_pivot(sums, ["shift_number", "shift_opening_time", "store_id"], items)
+    return item_pivot(parts, ["shift_number", "shift_opening_time", "store_id"], items)
 
 
 def _slug(item: str) -> str:

@@ -44,6 +44,13 @@ SHIFTS = T.StructType(
     + columns(T.DoubleType(), "expected_cash actual_cash")
     + columns(_TEXTS, "cash_movements payments taxes")
 )
+# The daily shift shard of the older ingest: taxes are numbers.
+SHIFTS_SHARD = T.StructType(
+    [
+        T.StructField(f.name, T.ArrayType(T.LongType())) if f.name == "taxes" else f
+        for f in SHIFTS.fields
+    ]
+)
 # The wide daily shard of the older generation, arrays as stored after repair.
 SHIFTS_WIDE = T.StructType(
     strings("id store_id pos_device_id")

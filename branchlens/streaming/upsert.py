@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from branchlens.operators.merge import upsert
+from branchlens.operators.merge import insert_only, upsert
 from branchlens.sources.tables import refresh_partitions
 
 
@@ -22,6 +22,7 @@ def stream_upsert(
     partition_by: str,
     work_path: str,
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
+    mode: str = "upsert",
     on_duplicate: str = "error",
     order_by: str | None = None,
     files_per_batch: int = 1_000,
@@ -31,10 +32,14 @@ def stream_upsert(
     Each micro-batch rewrites only the partitions it touches. Batches are
     staged under their number, so a batch replayed after a failure publishes
     the rows already staged instead of merging twice. ``work_path`` must be the
-    same in every run: it holds the stream's checkpoint.
+    same in every run: it holds the stream's checkpoint. ``mode="insert"`` adds
+    new keys only; it looks them up in the table, so no state grows with the
+    number of keys.
     """
 
     def merge(target: DataFrame, source: DataFrame) -> DataFrame:
+        if mode == "insert":
+            return insert_only(target, source, key)
         return upsert(target, source, key, on_duplicate, order_by)
 
     def write(batch: DataFrame, number: int) -> None:

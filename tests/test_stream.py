@@ -35,3 +35,18 @@ def test_available_now_equals_batch(spark, tmp_path):
     assert bag(run(), "id", "day", "v") == bag(want, "id", "day", "v")
     kept = spark.read.parquet(target_path).where(F.col("day") == "d9")
     assert kept.count() == 1
+
+
+def test_insert_mode_leaves_rows_alone(spark, tmp_path):
+    target_path, landing = str(tmp_path / "target"), str(tmp_path / "landing")
+    history = spark.createDataFrame([("a", "d1", 1)], SCHEMA)
+    replace_table(history, target_path, "day")
+    spark.createDataFrame([("a", "d1", 9), ("n", "d1", 2), ("n", "d1", 2)], SCHEMA).coalesce(
+        1
+    ).write.json(landing)
+    stream_upsert(
+        spark, landing, history.schema, target_path, "id", "day", str(tmp_path / "work"),
+        mode="insert",
+    ).awaitTermination()
+    got = spark.read.schema(history.schema).parquet(target_path)
+    assert bag(got, "id", "v") == {("a", 1): 1, ("n", 2): 2}
