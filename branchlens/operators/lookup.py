@@ -12,7 +12,7 @@ from branchlens.operators.skew import (
     SALT,
     all_salts,
     bounded_count,
-    join_per_key,
+    join_salted,
     row_salt,
 )
 
@@ -46,7 +46,7 @@ def lookup_with_default(
     if dim_rows is not None and dim_rows <= BROADCAST_ROWS:
         joined = rows.join(F.broadcast(dim), key, "left")
     else:
-        joined = join_per_key(rows, dim, key, "left", salt)
+        joined = join_salted(rows, dim, key, "left", salt)
     joined = joined.select(*rows.columns, value)
     return joined.withColumn(value, F.coalesce(value, F.lit(default)))
 

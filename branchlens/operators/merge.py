@@ -4,7 +4,7 @@ Null keys never match: null-key source rows are always added and null-key
 target rows always stay. Columns are matched by name.
 
 Whole rows are only ever joined to a table with one row per source key, which
-is combined on the map side first, so repeated keys do not pile up in a task.
+is combined on the map side first; see ``operators.skew`` for repeated keys.
 A source is read more than once (its keys, then its rows); stage it as a table
 when it is costly to compute.
 """
@@ -14,10 +14,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from branchlens.operators.skew import join_per_key
+from branchlens.operators.skew import join_repeated, join_unique
 
-_COPIES, _FIRST, _NEW = "_copies", "_first", "_new"
-SALTS = 8
+_COPIES, _FIRST = "_copies", "_first"
 
 
 def latest_per_key(source: DataFrame, key: str, order_by: str) -> DataFrame:
@@ -69,7 +68,7 @@ def upsert(
         )
     ).cast("boolean")
     untouched = (
-        join_per_key(target, keys, key, "left", SALTS)
+        join_unique(target, keys, key, "left")
         .where(F.when(F.col(_COPIES) > 1, clash).otherwise(F.col(_COPIES).isNull()))
         .select(*target.columns)
     )
@@ -82,12 +81,10 @@ def insert_only(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     Duplicates inside the source are all added.
     """
     known = target.where(F.col(key).isNotNull()).select(key)
-    new_keys = (
-        _key_copies(source, key).select(key).join(known, key, "left_anti")
-    ).withColumn(_NEW, F.lit(True))
+    new_keys = _key_copies(source, key).join(known, key, "left_anti")
     fresh = (
-        join_per_key(source, new_keys, key, "left", SALTS)
-        .where(F.col(key).isNull() | F.col(_NEW).isNotNull())
+        join_repeated(source, new_keys, key, "left", _COPIES)
+        .where(F.col(key).isNull() | F.col(_COPIES).isNotNull())
         .select(*source.columns)
     )
     return target.unionByName(fresh)
@@ -103,11 +100,11 @@ def insert_only_by_day(target: DataFrame, shards: DataFrame, key: str, day: str)
     first_days = (
         shards.where(F.col(key).isNotNull())
         .groupBy(key)
-        .agg(F.min(day).alias(_FIRST))
+        .agg(F.min(day).alias(_FIRST), F.count("*").alias(_COPIES))
         .join(known, key, "left_anti")
     )
     fresh = (
-        join_per_key(shards, first_days, key, "left", SALTS)
+        join_repeated(shards, first_days, key, "left", _COPIES)
         .where(F.col(key).isNull() | (F.col(day) == F.col(_FIRST)))
         .select(*target.columns)
     )
@@ -116,7 +113,7 @@ def insert_only_by_day(target: DataFrame, shards: DataFrame, key: str, day: str)
 
 def merge_metrics(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """``metric, n``: rows on both sides, matched target rows and rows after an upsert."""
-    marked = join_per_key(target.select(key), _key_copies(source, key), key, "left", SALTS)
+    marked = join_unique(target.select(key), _key_copies(source, key), key, "left")
     sizes = marked.agg(F.count("*").alias("t"), F.count(_COPIES).alias("m")).selectExpr(
         "stack(2, 'target_rows', t, 'matched_rows', m) as (metric, n)"
     )

@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SALT = "_salt"
+SALT, _HOT = "_salt", "_hot"
+# Rows of one key from which on it is spread, and over how many salts.
+HOT_COPIES = 1_000_000
+SPREAD = 256
 # Rows a side may have to be broadcast. At well under 1 kB per row this stays
 # below 100 MB per executor.
 BROADCAST_ROWS = 100_000
@@ -32,16 +35,52 @@ def all_salts(parts: int) -> Column:
     return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint")))
 
 
-def join_per_key(rows: DataFrame, per_key: DataFrame, key: str, how: str, salt: int) -> DataFrame:
-    """Join rows to a side with one row per key, spreading hot and null keys.
+def join_salted(rows: DataFrame, small: DataFrame, key: str, how: str, salt: int) -> DataFrame:
+    """Join rows to a much smaller side with one row per key, repeated per salt."""
+    salted = rows.withColumn(SALT, row_salt(rows, salt))
+    return salted.join(small.withColumn(SALT, all_salts(salt)), [key, SALT], how).drop(SALT)
 
-    The one-row-per-key side is repeated per salt. Rows without key can never
-    match, so they get a wider salt of their own.
+
+def _null_spread(rows: DataFrame, key: str) -> Column:
+    """0 for real keys; null keys, which never match, go anywhere."""
+    return F.when(F.col(key).isNull(), row_salt(rows, SPREAD)).otherwise(_zero())
+
+
+def _zero() -> Column:
+    return F.lit(0).cast("bigint")
+
+
+def join_unique(rows: DataFrame, per_key: DataFrame, key: str, how: str) -> DataFrame:
+    """Join rows that have about one row per non-null key, such as a merged table.
+
+    ``per_key`` has one row per key and is not repeated. Should some key repeat
+    a lot after all, adaptive execution splits its partition.
+    """
+    left = rows.withColumn(SALT, _null_spread(rows, key))
+    # Exploded, since the planner would fold a constant out of the join key.
+    right = per_key.withColumn(SALT, F.explode(F.array(_zero())))
+    return left.join(right, [key, SALT], how).drop(SALT)
+
+
+def join_repeated(
+    rows: DataFrame, per_key: DataFrame, key: str, how: str, copies: str
+) -> DataFrame:
+    """Join rows whose keys may repeat without limit.
+
+    ``per_key`` has one row per key and tells in ``copies`` how many rows have
+    it. Rows of a key with over ``HOT_COPIES`` of them are spread over many
+    partitions, and only such keys are repeated per salt. Their list is
+    broadcast: it has at most one entry per ``HOT_COPIES`` rows.
     """
-    spread = F.when(F.col(key).isNull(), row_salt(rows, 64 * salt)).otherwise(row_salt(rows, salt))
-    salted = rows.withColumn(SALT, spread)
-    copies = per_key.withColumn(SALT, all_salts(salt))
-    return salted.join(copies, [key, SALT], how).drop(SALT)
+    is_hot = F.col(copies) > HOT_COPIES
+    hot = per_key.where(is_hot).select(key, F.lit(True).alias(_HOT))
+    marked = rows.join(F.broadcast(hot), key, "left")
+    spread = F.when(F.col(_HOT), row_salt(rows, SPREAD)).otherwise(_null_spread(rows, key))
+    salts = F.when(is_hot, F.sequence(_zero(), F.lit(SPREAD - 1).cast("bigint"))).otherwise(
+        F.array(_zero())
+    )
+    left = marked.withColumn(SALT, spread).drop(_HOT)
+    return left.join(per_key.withColumn(SALT, F.explode(salts)), [key, SALT], how).drop(SALT)
 
 
 def bounded_count(df: DataFrame, limit: int) -> int | None:

@@ -4,7 +4,7 @@ import pytest
 from helpers import bag, final_plan
 from pyspark.sql import functions as F
 
-from branchlens.operators import merge
+from branchlens.operators import merge, skew
 
 SCHEMA = "id string, v int, w string"
 
@@ -111,18 +111,31 @@ def test_metrics(spark, target):
     assert merge.upsert(target, source, "id").count() == 5
 
 
-def test_hot_and_null_keys_are_spread(spark):
-    # A third of the rows share one key, a third have none; all must survive.
-    rows = spark.range(9000).select(
+@pytest.mark.parametrize("hot_copies", [1_000_000, 100])
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_hot_and_null_keys(spark, monkeypatch, hot_copies, broadcast):
+    monkeypatch.setattr(skew, "HOT_COPIES", hot_copies)
+    # A third of the rows share one key and are exact copies, a third have none.
+    rows = spark.range(0, 9000, 1, 6).select(
         F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string"))
         .alias("id"),
         F.lit(1).alias("v"),
         F.lit("w").alias("w"),
+        F.when(F.col("id") % 2 == 0, "d1").otherwise("d2").alias("ds"),
     )
-    target = frame(spark, [("other", 1, "x")])
-    assert merge.insert_only(target, rows, "id").count() == 9001
-    latest = merge.latest_per_key(rows, "id", "v")
-    assert latest.count() == 3000 + 1 + 3000
+    target = frame(spark, [("other", 1, "x"), ("1", 5, "x")])
+    source = rows.drop("ds")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        added = merge.insert_only(target, source, "id")
+        assert bag(added) == bag(target) + bag(source.where("id IS NULL OR id <> '1'"))
+        by_day = merge.insert_only_by_day(target, rows, "id", "ds")
+        first = rows.where("id IS NULL OR (id <> '1' AND (id <> 'hot' OR ds = 'd1'))").drop("ds")
+        assert bag(by_day) == bag(target) + bag(first)
+        latest = merge.latest_per_key(source, "id", "v")
+        assert latest.count() == 3000 + 1 + 3000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_upsert_without_broadcast(spark, target):
@@ -133,6 +146,9 @@ def test_upsert_without_broadcast(spark, target):
         merged = merge.upsert(target, source, "id")
         text = final_plan(merged)
         assert "SortMergeJoin" in text and "NestedLoop" not in text
+        # Null keys are spread: the salt is part of the shuffle key.
+        joins = [line for line in text.splitlines() if "SortMergeJoin" in line]
+        assert all("_salt" in line.split("LeftOuter")[0] for line in joins)
         assert bag(merged) == want
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
