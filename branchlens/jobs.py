@@ -15,7 +15,12 @@ from branchlens.plans import attendance, ingest, reports
 from branchlens.plans.shift_fact import shift_fact
 from branchlens.session import build_session, fresh_path
 from branchlens.sources.report_sink import write_report
-from branchlens.sources.tables import read_or_empty, replace_table, require_new_path
+from branchlens.sources.tables import (
+    drop_staged,
+    read_or_empty,
+    replace_table,
+    require_new_path,
+)
 
 STORE_COLUMNS = "store_id string, store_name string"
 
@@ -31,14 +36,16 @@ def run_reports(
     spark = shifts.sparkSession
     groups = max_slot_groups(stores)
     store_rows = None if groups is None else groups // SLOTS_PER_STORE - 1
+    facts_path, sold_path = fresh_path(spark, "shift_fact"), fresh_path(spark, "shift_items")
     facts = replace_table(
-        shift_fact(shifts, stores, as_of, store_rows=store_rows), fresh_path(spark, "shift_fact")
-    )
-    sold = replace_table(
-        reports.shift_items(shifts, receipts, as_of), fresh_path(spark, "shift_items")
+        shift_fact(shifts, stores, as_of, store_rows=store_rows), facts_path
     )
+    sold = replace_table(reports.shift_items(shifts, receipts, as_of), sold_path)
     built = reports.all_reports(facts, sold, stores, as_of, store_rows, groups)
-    return {name: write_report(df, folder, name) for name, df in built.items()}
+    written = {name: write_report(df, folder, name) for name, df in built.items()}
+    for path in (facts_path, sold_path):
+        drop_staged(spark, path)
+    return written
 
 
 def run_ingest(
@@ -67,8 +74,10 @@ def run_attendance(
     """Parse raw attendance rows and upsert them into a new version of the final table."""
     require_new_path(current, target)
     final = read_or_empty(spark, current, schemas.ATTENDANCE)
-    staged = attendance.stage_payloads(raw)
+    path = fresh_path(spark, "attendance_staged")
+    staged = attendance.stage_payloads(raw, path)
     replace_table(attendance.attendance_upsert(final, staged, on_duplicate), target)
+    drop_staged(spark, path)
 
 
 def run_backfill(

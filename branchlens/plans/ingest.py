@@ -22,6 +22,7 @@ from branchlens.session import fresh_path
 from branchlens.sources.landing import read_envelopes
 from branchlens.sources.tables import (
     day_shards,
+    drop_staged,
     read_or_empty,
     refresh_partitions,
     replace_partitions,
@@ -129,17 +130,21 @@ def merge_days(
     """Merge a staged batch into a day-partitioned table, creating it if absent.
 
     Only the days in the batch are read and rewritten. ``mode="insert"`` leaves
-    existing rows alone.
+    existing rows alone. A caller that may repeat the batch names a ``work_path``
+    and drops it when the batch is done for good.
     """
     day = F.to_date(MOMENT[entity])
+    staging = work_path or fresh_path(spark, f"{entity}_merged")
     refresh_partitions(
         spark,
         target_path,
         staged.withColumn(DAY, day),
         DAY,
         _merge(entity, mode, on_duplicate),
-        work_path or fresh_path(spark, f"{entity}_merged"),
+        staging,
     )
+    if work_path is None:
+        drop_staged(spark, staging)
 
 
 def merge_table(

@@ -207,8 +207,7 @@ def receipt_items(
     start = clock.moment_literal(
         receipts, "created_at", clock.as_utc(as_of) - timedelta(days=baseline_days)
     )
-    item = F.from_json("_item", "item_name string, quantity string")
-    quantity = F.col("_fields.quantity")
+    quantity = F.col("_quantity")
     return (
         receipts.where(F.col("created_at") >= start)
         .select(
@@ -216,12 +215,16 @@ def receipt_items(
             clock.utc_wall(receipts, "created_at").alias("created_at"),
             F.explode("line_items").alias("_item"),
         )
-        .withColumn("_fields", item)
-        .where(F.col("_fields.item_name").isin(*items))
         .select(
             "store_id",
             "created_at",
-            F.col("_fields.item_name").alias("name"),
+            F.json_tuple("_item", "item_name", "quantity").alias("name", "_quantity"),
+        )
+        .where(F.col("name").isin(*items))
+        .select(
+            "store_id",
+            "created_at",
+            "name",
             (quantity.try_cast("double") if tolerant else quantity.cast("double")).alias(
                 "quantity"
             ),

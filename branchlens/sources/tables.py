@@ -30,6 +30,12 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_SUCCESS")
 
 
+def drop_staged(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table once nothing reads it any more."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def require_new_path(current: str, target: str) -> None:
     """Refuse to write a new table version over the one it is computed from."""
     if current.rstrip("/") == target.rstrip("/"):

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from branchlens.operators.merge import insert_only, upsert
-from branchlens.sources.tables import refresh_partitions
+from branchlens.sources.tables import drop_staged, refresh_partitions
 
 
 def stream_upsert(
@@ -42,7 +42,12 @@ def stream_upsert(
             return insert_only(target, source, key)
         return upsert(target, source, key, on_duplicate, order_by)
 
+    def staged(number: int) -> str:
+        return f"{work_path}/staged/batch={number}"
+
     def write(batch: DataFrame, number: int) -> None:
+        # A batch starts only after the one before is committed for good.
+        drop_staged(batch.sparkSession, staged(number - 1))
         rows = prepare(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             refresh_partitions(
@@ -51,7 +56,7 @@ def stream_upsert(
                 rows,
                 partition_by,
                 merge,
-                f"{work_path}/staged/batch={number}",
+                staged(number),
             )
         finally:
             rows.unpersist()
