@@ -139,23 +139,27 @@ def granular_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(reports.granular_sales(facts, fx.AS_OF, max_groups=groups))
 
 
+def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wanted items as a written table: the receipts are read and parsed once."""
+    items = reports.receipt_items(fx.receipts(spark, sf_dir), fx.AS_OF)
+    return replace_table(items, fresh_path(spark, "sales"))
+
+
 @query
 def shift_item_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(
-        reports.shift_item_join(fx.shifts(spark, sf_dir), fx.receipts(spark, sf_dir), fx.AS_OF)
-    )
+    sales = _sales(spark, sf_dir)
+    return shown(reports.shift_item_join(fx.shifts(spark, sf_dir), sales, fx.AS_OF))
 
 
 @query
 def item_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(
-        reports.shift_items(fx.shifts(spark, sf_dir), fx.receipts(spark, sf_dir), fx.AS_OF)
-    )
+    sales = _sales(spark, sf_dir)
+    return shown(reports.shift_items(fx.shifts(spark, sf_dir), sales, fx.AS_OF))
 
 
 def _ratio(spark: SparkSession, sf_dir: str, k_sigma: float) -> DataFrame:
     stores, rows, groups = _stores(spark, sf_dir)
-    sold = reports.shift_items(fx.shifts(spark, sf_dir), fx.receipts(spark, sf_dir), fx.AS_OF)
+    sold = reports.shift_items(fx.shifts(spark, sf_dir), _sales(spark, sf_dir), fx.AS_OF)
     return shown(
         reports.ratio_anomalies(
             replace_table(sold, fresh_path(spark, "shift_items")),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 import json
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,7 +12,7 @@ from branchlens import schemas
 from branchlens.functions import clock
 from branchlens.operators.lookup import SLOTS_PER_STORE, max_slot_groups
 from branchlens.plans import attendance, ingest, reports
-from branchlens.plans.shift_fact import shift_fact
+from branchlens.plans.shift_fact import BASELINE_DAYS, shift_fact
 from branchlens.session import build_session, fresh_path
 from branchlens.sources.report_sink import write_report
 from branchlens.sources.tables import (
@@ -30,20 +30,21 @@ def run_reports(
 ) -> dict[str, bool]:
     """Write the four reports; tells for each whether it had rows.
 
-    The shift fact and the item table are written once to the shared folder and
-    feed all reports. One ``as_of`` serves every window.
+    The shift fact, the wanted items and the item table are written once to the
+    shared folder, so each source is read once. One ``as_of`` serves every window.
     """
     spark = shifts.sparkSession
     groups = max_slot_groups(stores)
     store_rows = None if groups is None else groups // SLOTS_PER_STORE - 1
-    facts_path, sold_path = fresh_path(spark, "shift_fact"), fresh_path(spark, "shift_items")
+    paths = {name: fresh_path(spark, name) for name in ("shift_fact", "sales", "shift_items")}
     facts = replace_table(
-        shift_fact(shifts, stores, as_of, store_rows=store_rows), facts_path
+        shift_fact(shifts, stores, as_of, store_rows=store_rows), paths["shift_fact"]
     )
-    sold = replace_table(reports.shift_items(shifts, receipts, as_of), sold_path)
+    sales = replace_table(reports.receipt_items(receipts, as_of), paths["sales"])
+    sold = replace_table(reports.shift_items(shifts, sales, as_of), paths["shift_items"])
     built = reports.all_reports(facts, sold, stores, as_of, store_rows, groups)
     written = {name: write_report(df, folder, name) for name, df in built.items()}
-    for path in (facts_path, sold_path):
+    for path in paths.values():
         drop_staged(spark, path)
     return written
 
@@ -139,9 +140,10 @@ def main() -> None:
     as_of = datetime.fromisoformat(args.as_of) if args.as_of else now
     done: dict[str, object] = {"job": args.job}
     if args.job == "reports":
+        horizon = clock.as_utc(as_of) - timedelta(days=BASELINE_DAYS)
         done["written"] = run_reports(
-            ingest.read_days(spark, "shifts", args.shifts),
-            ingest.read_days(spark, "receipts", args.receipts),
+            ingest.read_days(spark, "shifts", args.shifts, horizon),
+            ingest.read_days(spark, "receipts", args.receipts, horizon),
             spark.read.schema(STORE_COLUMNS).option("header", True).csv(args.stores),
             args.out,
             as_of,

@@ -2,8 +2,11 @@
 
 Both operators add a time bucket to the equality key. A point has one bucket,
 an interval one per bucket it touches, so no match is found twice, and a key
-that holds a third of all points is spread over its buckets. A salt from the
-row's own values spreads a single hot bucket further.
+that holds a third of all points is spread over its buckets. A bucket that is
+hot itself is salted further.
+
+The points are read more than once; stage them as a table when they are costly
+to compute.
 """
 
 from __future__ import annotations
@@ -12,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from branchlens.functions.clock import EPOCH_NTZ
-from branchlens.operators.skew import SALT, all_salts, row_salt
+from branchlens.operators.skew import SALT, salt_hot_groups
 
 HOUR = 3600
 _FIRST, _LAST, _BUCKET = "_first_bucket", "_last_bucket", "_bucket"
@@ -28,20 +31,11 @@ def time_bucket(at: Column, seconds: int) -> Column:
     )
 
 
-def _bucketed_points(
-    points: DataFrame, key: str, at: str, seconds: int, salt: int
-) -> DataFrame:
-    return (
-        points.withColumn(_BUCKET, time_bucket(F.col(at), seconds))
-        .where(F.col(key).isNotNull() & F.col(at).isNotNull() & F.col(_BUCKET).isNotNull())
-        .withColumn(SALT, row_salt(points, salt))
-        .where(F.col(SALT).isNotNull())
-    )
+def _bucketed(points: DataFrame, at: str, seconds: int) -> DataFrame:
+    return points.withColumn(_BUCKET, time_bucket(F.col(at), seconds))
 
 
-def _bounded_intervals(
-    intervals: DataFrame, key: str, start: str, end: str, seconds: int
-) -> DataFrame:
+def _bounded(intervals: DataFrame, key: str, start: str, end: str, seconds: int) -> DataFrame:
     """Intervals that can contain a point, with their first and last bucket."""
     return (
         intervals.where(F.col(key).isNotNull() & (F.col(start) <= F.col(end)))
@@ -50,6 +44,20 @@ def _bounded_intervals(
     )
 
 
+def _within(
+    points: DataFrame, intervals: DataFrame, key: str, at: str, start: str, end: str
+) -> DataFrame:
+    """Matches among points and intervals that share a bucket."""
+    left, right = salt_hot_groups(points, intervals, [key, _BUCKET])
+    # The planner does not see how many rows the buckets make of an interval,
+    # so it must not choose to broadcast them.
+    return (
+        left.join(right.hint("merge"), [key, _BUCKET, SALT])
+        .where(F.col(at).between(F.col(start), F.col(end)))
+        .drop(_BUCKET, SALT)
+    )
+
+
 def interval_join(
     points: DataFrame,
     intervals: DataFrame,
@@ -58,25 +66,17 @@ def interval_join(
     start: str,
     end: str,
     bucket_seconds: int = 6 * HOUR,
-    salt: int = 4,
 ) -> DataFrame:
     """Inner join where ``key`` is equal and ``start <= at <= end``.
 
     A point inside several intervals gives one row per interval.
     """
-    left = _bucketed_points(points, key, at, bucket_seconds, salt)
-    right = (
-        _bounded_intervals(intervals, key, start, end, bucket_seconds)
+    touched = (
+        _bounded(intervals, key, start, end, bucket_seconds)
         .withColumn(_BUCKET, F.explode(F.sequence(_FIRST, _LAST)))
-        .withColumn(SALT, all_salts(salt))
         .drop(_FIRST, _LAST)
-        .hint("merge")
-    )
-    return (
-        left.join(right, [key, _BUCKET, SALT])
-        .where(F.col(at).between(F.col(start), F.col(end)))
-        .drop(_BUCKET, SALT)
     )
+    return _within(_bucketed(points, at, bucket_seconds), touched, key, at, start, end)
 
 
 def _run(first: Column, last: Column) -> Column:
@@ -98,7 +98,6 @@ def interval_parts(
     interval_columns: list[str],
     bucket_seconds: int = HOUR,
     block: int = 24,
-    salt: int = 4,
 ) -> DataFrame:
     """Partial sums of ``value`` per interval and ``group``, several rows per pair.
 
@@ -109,29 +108,17 @@ def interval_parts(
     therefore do not multiply the points: one open for 90 days meets some 130
     totals. Null values count as 0, yet their point still makes a row appear.
     """
-    # One explicit shuffle feeds all branches, so the points are read once. The
-    # branches use the same columns and null checks; that lets Spark reuse it.
-    block_of = F.floor(F.col(_BUCKET) / block)
     valued = points.select(key, at, group, F.coalesce(value, F.lit(0.0)).alias(_VALUE))
-    spread = (
-        _bucketed_points(valued, key, at, bucket_seconds, salt)
-        .where(block_of.isNotNull())
-        .repartition(key, _BUCKET, SALT)
-    )
-    bounded = _bounded_intervals(intervals, key, start, end, bucket_seconds)
+    spread = _bucketed(valued, at, bucket_seconds)
+    bounded = _bounded(intervals, key, start, end, bucket_seconds)
 
-    ends = (
-        bounded.withColumn(_BUCKET, F.explode(F.array_distinct(F.array(_FIRST, _LAST))))
-        .withColumn(SALT, all_salts(salt))
-        .hint("merge")
-    )
-    at_ends = spread.join(ends, [key, _BUCKET, SALT]).where(
-        F.col(at).between(F.col(start), F.col(end))
-    )
+    ends = bounded.withColumn(_BUCKET, F.explode(F.array_distinct(F.array(_FIRST, _LAST))))
+    at_ends = _within(spread, ends, key, at, start, end)
 
-    sums = [F.sum(_VALUE).alias(_VALUE), F.max(at).alias(at)]
-    per_bucket = spread.groupBy(key, _BUCKET, group).agg(*sums)
-    per_block = per_bucket.groupBy(key, block_of.alias(_BUCKET), group).agg(*sums)
+    total = F.sum(_VALUE).alias(_VALUE)
+    per_bucket = spread.groupBy(key, _BUCKET, group).agg(total)
+    block_of = F.floor(F.col(_BUCKET) / block)
+    per_block = per_bucket.groupBy(key, block_of.alias(_BUCKET), group).agg(total)
     totals = per_bucket.withColumn(_WHOLE, F.lit(False)).unionByName(
         per_block.withColumn(_WHOLE, F.lit(True))
     )
@@ -150,15 +137,12 @@ def interval_parts(
             numbers, lambda n: F.struct(F.lit(whole).alias(_WHOLE), n.alias(_BUCKET))
         )
 
-    inner = (
-        bounded.withColumn(
-            "_cover", F.explode(F.concat(marked(singles, False), marked(blocks, True)))
-        )
-        .select("*", "_cover.*")
-        .hint("merge")
-    )
-    # The last point seen lies inside too, which the bucket numbers imply.
-    between = totals.join(inner, [key, _WHOLE, _BUCKET]).where(F.col(at) <= F.col(end))
+    # Buckets strictly between the first and the last lie inside as a whole.
+    covered = bounded.select(
+        *intervals.columns,
+        F.inline(F.concat(marked(singles, False), marked(blocks, True))),
+    ).hint("merge")
+    between = totals.join(covered, [key, _WHOLE, _BUCKET])
 
     columns = [*interval_columns, group, F.col(_VALUE).alias(value)]
     return at_ends.select(*columns).unionByName(between.select(*columns))

@@ -83,6 +83,36 @@ def join_repeated(
     return left.join(per_key.withColumn(SALT, F.explode(salts)), [key, SALT], how).drop(SALT)
 
 
+def salt_hot_groups(
+    rows: DataFrame, other: DataFrame, keys: list[str]
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides of an inner join on ``keys``, with a salt to join on as well.
+
+    The rows are counted per key first. Those of a group with over
+    ``HOT_COPIES`` rows are spread, and the other side is repeated for just
+    these groups. Their list is broadcast: at most one entry per ``HOT_COPIES``
+    rows. Null keys never match and are left out.
+    """
+    present = rows.dropna(subset=keys)
+    hot = (
+        present.groupBy(*keys)
+        .agg(F.count("*").alias("_n"))
+        .where(F.col("_n") > HOT_COPIES)
+        .select(*keys, F.lit(True).alias(_HOT))
+    )
+
+    def marked(side: DataFrame) -> DataFrame:
+        return side.join(F.broadcast(hot), keys, "left").select(*side.columns, _HOT)
+
+    spread = F.when(F.col(_HOT), row_salt(rows, SPREAD)).otherwise(_zero())
+    salts = F.when(F.col(_HOT), F.sequence(_zero(), F.lit(SPREAD - 1).cast("bigint"))).otherwise(
+        F.array(_zero())
+    )
+    left = marked(present).withColumn(SALT, spread).drop(_HOT)
+    right = marked(other).withColumn(SALT, F.explode(salts)).drop(_HOT)
+    return left, right
+
+
 def bounded_count(df: DataFrame, limit: int) -> int | None:
     """Row count of a small table, or None once it passes ``limit``."""
     rows = df.limit(limit + 1).count()

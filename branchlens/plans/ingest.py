@@ -166,11 +166,20 @@ def merge_table(
     return replace_table(_merge(entity, mode, on_duplicate)(rows, staged), target)
 
 
-def read_days(spark: SparkSession, entity: str, path: str) -> DataFrame:
-    """The day-partitioned table of ``entity``, without its partition column."""
+def read_days(
+    spark: SparkSession, entity: str, path: str, since: datetime | None = None
+) -> DataFrame:
+    """The day-partitioned table of ``entity``, without its partition column.
+
+    With ``since``, earlier days are not even listed; records of that first day
+    before the moment itself remain.
+    """
     schema = schemas.SCHEMAS[entity]
     with_day = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
-    return read_or_empty(spark, path, with_day).select(*schema.fieldNames())
+    table = read_or_empty(spark, path, with_day)
+    if since is not None:
+        table = table.where(F.col(DAY) >= F.lit(clock.as_utc(since).date()))
+    return table.select(*schema.fieldNames())
 
 
 # --- back-fill of daily shards --------------------------------------------

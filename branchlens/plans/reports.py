@@ -234,15 +234,17 @@ def receipt_items(
 
 def shift_item_join(
     shifts: DataFrame,
-    receipts: DataFrame,
+    sales: DataFrame,
     as_of: datetime,
-    items: tuple[str, str] = ITEMS,
     baseline_days: int = BASELINE_DAYS,
     tz: str = clock.LOCAL_TZ,
 ) -> DataFrame:
-    """One row per wanted item sold and shift it falls into."""
+    """One row per item sold and shift it falls into; ``sales`` as of :func:`receipt_items`.
+
+    The items are read twice, so stage them first.
+    """
     joined = interval_join(
-        receipt_items(receipts, as_of, items, baseline_days),
+        sales,
         open_intervals(shifts, as_of, baseline_days, tz),
         key="store_id",
         at="created_at",
@@ -260,7 +262,7 @@ def shift_item_join(
 
 def shift_items(
     shifts: DataFrame,
-    receipts: DataFrame,
+    sales: DataFrame,
     as_of: datetime,
     items: tuple[str, str] = ITEMS,
     baseline_days: int = BASELINE_DAYS,
@@ -268,10 +270,11 @@ def shift_items(
 ) -> DataFrame:
     """Quantity of each wanted item per shift, one column per item.
 
-    Only shifts that sold at least one of the items appear.
+    ``sales`` as of :func:`receipt_items`, staged, since it is read several
+    times. Only shifts that sold at least one of the items appear.
     """
     parts = interval_parts(
-        receipt_items(receipts, as_of, items, baseline_days),
+        sales,
         open_intervals(shifts, as_of, baseline_days, tz),
         key="store_id",
         at="created_at",

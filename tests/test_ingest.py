@@ -103,6 +103,9 @@ def test_merge_days_touches_only_its_days(spark, tmp_path):
         ("a", 1.0): 1, ("b", 20.0): 1, ("c", 3.0): 1, ("d", 4.0): 1, (None, 5.0): 1, ("n", 6.0): 1,
     }
     assert sorted((tmp_path / "target" / "ds=2024-01-01").glob("*.parquet")) == untouched
+    recent = ingest.read_days(spark, "receipts", target, at("2024-01-02 12:00:00"))
+    assert "PartitionFilters: [isnotnull(ds" in plan(recent)
+    assert ("a",) not in bag(recent, "receipt_number") and recent.count() == 4
     # Rows without a day are merged too.
     third = receipts(spark, [("n", None, 60.0)])
     ingest.merge_days(spark, "receipts", third, target)

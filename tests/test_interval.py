@@ -5,9 +5,10 @@ from collections import Counter
 from datetime import timedelta
 
 import pytest
-from helpers import at, bag, final_plan
+from helpers import at, bag, final_plan, plan
 from pyspark.sql import functions as F
 
+from branchlens.operators import skew
 from branchlens.operators.interval_join import interval_join, interval_sum
 
 START = at("2024-01-01 00:00:00")
@@ -51,27 +52,32 @@ KEYS = dict(key="store", at="at", start="opened", end="closed")
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("bucket, salt", [(3600, 1), (6 * 3600, 4), (86400, 3)])
-def test_join_equals_brute_force(spark, seed, bucket, salt):
+@pytest.mark.parametrize("bucket", [3600, 6 * 3600, 86400])
+@pytest.mark.parametrize("hot_copies", [1_000_000, 3])
+def test_join_equals_brute_force(spark, monkeypatch, seed, bucket, hot_copies):
+    monkeypatch.setattr(skew, "HOT_COPIES", hot_copies)
     left, right = sample(seed)
     got = interval_join(
         spark.createDataFrame(left, POINTS),
         spark.createDataFrame(right, SPANS),
-        **KEYS, bucket_seconds=bucket, salt=salt,
+        **KEYS, bucket_seconds=bucket,
     )
     want = Counter((s[0], p[1], p[2], p[3]) for p, s in brute(left, right))
     assert bag(got, "shift", "at", "item", "qty") == want
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("bucket, block, salt", [(3600, 24, 4), (1800, 4, 1), (7200, 2, 2)])
-def test_sum_equals_brute_force(spark, seed, bucket, block, salt):
+@pytest.mark.parametrize(
+    "bucket, block, hot_copies", [(3600, 24, 1_000_000), (1800, 4, 2), (7200, 2, 3)]
+)
+def test_sum_equals_brute_force(spark, monkeypatch, seed, bucket, block, hot_copies):
+    monkeypatch.setattr(skew, "HOT_COPIES", hot_copies)
     left, right = sample(seed)
     got = interval_sum(
         spark.createDataFrame(left, POINTS),
         spark.createDataFrame(right, SPANS),
         **KEYS, group="item", value="qty", interval_columns=["shift", "store"],
-        bucket_seconds=bucket, block=block, salt=salt,
+        bucket_seconds=bucket, block=block,
     )
     want = {}
     for p, s in brute(left, right):
@@ -81,7 +87,7 @@ def test_sum_equals_brute_force(spark, seed, bucket, block, salt):
     assert got.count() == len(want)
 
 
-def test_points_are_read_once(spark, tmp_path):
+def test_plan_has_no_pair_join(spark, tmp_path):
     left, right = sample(5)
     spark.createDataFrame(left, POINTS).write.parquet(str(tmp_path / "points"))
     got = interval_sum(
@@ -90,8 +96,9 @@ def test_points_are_read_once(spark, tmp_path):
         **KEYS, group="item", value="qty", interval_columns=["shift", "store"],
     )
     text = final_plan(got)
-    assert text.count("FileScan") == 1
     assert "NestedLoop" not in text and "Cartesian" not in text and "Python" not in text
+    joins = [line for line in plan(got).splitlines() if "SortMergeJoin" in line]
+    assert joins and all("_bucket" in line for line in joins)
 
 
 def test_open_span_over_ninety_days_stays_small(spark):

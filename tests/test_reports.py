@@ -196,8 +196,12 @@ def test_unmapped_stores_pool(spark, stores):
 OPEN = [("s1", "1", "2024-01-29 21:00:00", "2024-01-30 03:00:00", [])]
 
 
+def sales_of(spark, rows):
+    return reports.receipt_items(receipts_of(spark, rows), AS_OF)
+
+
 def ratio(spark, stores, shifts, receipts, **options):
-    sold = reports.shift_items(shifts_of(spark, shifts), receipts_of(spark, receipts), AS_OF)
+    sold = reports.shift_items(shifts_of(spark, shifts), sales_of(spark, receipts), AS_OF)
     return reports.ratio_anomalies(sold, stores, AS_OF, **options)
 
 
@@ -209,7 +213,7 @@ def test_items_on_both_ends_count_and_outside_do_not(spark):
         ("2", "2024-01-29 22:00:00", [("Americano", 50)]),
         ("1", "2024-01-29 22:00:00", [("americano", 50)]),
     ]
-    sold = reports.shift_items(shifts_of(spark, OPEN), receipts_of(spark, receipts), AS_OF)
+    sold = reports.shift_items(shifts_of(spark, OPEN), sales_of(spark, receipts), AS_OF)
     row = sold.collect()
     assert [(r["Americano"], r["Spanish Latte"]) for r in row] == [(1.0, 2.5)]
 
@@ -217,12 +221,12 @@ def test_items_on_both_ends_count_and_outside_do_not(spark):
 def test_item_in_overlapping_shifts_counts_in_each(spark):
     shifts = OPEN + [("s2", "1", "2024-01-29 22:00:00", None, [])]
     receipts = [("1", "2024-01-29 23:00:00", [("Americano", 3)])]
-    sold = reports.shift_items(shifts_of(spark, shifts), receipts_of(spark, receipts), AS_OF)
+    sold = reports.shift_items(shifts_of(spark, shifts), sales_of(spark, receipts), AS_OF)
     assert bag(sold, "shift_number", "Americano", "Spanish Latte") == {
         ("s1", 3.0, 0.0): 1, ("s2", 3.0, 0.0): 1,
     }
     pairs = reports.shift_item_join(
-        shifts_of(spark, shifts), receipts_of(spark, receipts), AS_OF
+        shifts_of(spark, shifts), sales_of(spark, receipts), AS_OF
     )
     assert pairs.count() == 2
 
@@ -283,7 +287,8 @@ def test_known_counts(spark, medium):
     shifts = fx.shifts(spark, medium, n_stores=25)
     named = fx.stores(spark, medium).where(F.col("store_id").cast("int") < 17)
     facts = shift_fact(shifts, named, fx.AS_OF).persist()
-    sold = reports.shift_items(shifts, fx.receipts(spark, medium, n_stores=25), fx.AS_OF).persist()
+    sales = reports.receipt_items(fx.receipts(spark, medium, n_stores=25), fx.AS_OF)
+    sold = reports.shift_items(shifts, sales, fx.AS_OF).persist()
     recent = reports.is_recent("shift_opening_time", fx.AS_OF)
     dips = {k: reports.sales_dip_anomalies(facts, fx.AS_OF, k_sigma=k) for k in (1.8, 1.0)}
     ratios = {k: reports.ratio_anomalies(sold, named, fx.AS_OF, k_sigma=k) for k in (1.8, 1.0)}
