@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from branchlens import fixtures as fx
 from branchlens.functions import clock, nested, parsing
+from branchlens.functions.sql import LOCAL_TIMESTAMP, SECONDS, register_functions
 from branchlens.operators import baseline, lookup, merge
 from branchlens.plans import attendance, ingest, reports
 from branchlens.plans.shift_fact import FACT_COLUMNS, add_slot, shift_fact, shift_fact_sql
@@ -599,6 +600,22 @@ def hms_to_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both attendance conversions called from SQL."""
+    register_functions(spark)
+    return shown(
+        spark.sql(
+            f"""
+            SELECT event_id, {LOCAL_TIMESTAMP}(date_text, time_text) AS time_ts,
+                   {SECONDS}(duration_text) AS duration_sec
+            FROM {{texts}}
+            """,
+            texts=fx.payload_texts(spark, sf_dir),
+        )
+    )
+
+
 @query
 def seconds_to_hms(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = fx.table(spark, sf_dir, "events")

@@ -463,6 +463,10 @@ SELECT {_attendance('activity')} FROM ranked WHERE attn_id IS NULL OR r = 1
     + "SELECT event_id, strftime(day, '%Y-%m-%d') AS date FROM parsed",
     "local_ts_parse": PAYLOAD + f"SELECT event_id, {_t('time_ts')} AS time_ts FROM parsed",
     "hms_to_seconds": PAYLOAD + "SELECT event_id, seconds AS duration_sec FROM parsed",
+    "sql_functions": PAYLOAD
+    + f"""
+SELECT event_id, {_t('time_ts')} AS time_ts, seconds AS duration_sec FROM parsed
+""",
     "seconds_to_hms": f"""
 WITH s AS (
   SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) * 3671 AS secs FROM events

@@ -117,3 +117,20 @@ def test_json_texts_with_spaces_in_keys(spark):
 def test_first_filled_skips_empty_text(spark):
     assert one(spark, parsing.first_filled(text(""), text(None), text("b"))) == "b"
     assert one(spark, parsing.first_filled(text(""), text(""))) is None
+
+
+def test_sql_functions_agree_with_the_column_forms(spark):
+    from branchlens.functions.sql import register_functions
+
+    register_functions(spark)
+    days = ["2025-06-01", "2025-6-1", "01/06/2025", "31/02/2025", "2025-06", "junk", "", None]
+    clocks = ["05:30:00", "05:30", "1:2", "a:b:c", "100:00:00", "1:2:3:4", "", None]
+    rows = spark.createDataFrame([(d, c) for d in days for c in clocks], "d string, c string")
+    got = rows.select(
+        F.expr("to_ph_ts(d, c)").alias("sql_ts"),
+        parsing.local_text_timestamp(F.col("d"), F.col("c")).alias("ts"),
+        F.expr("parse_hms_to_seconds(c)").alias("sql_sec"),
+        parsing.hms_to_seconds(F.col("c")).alias("sec"),
+    ).collect()
+    assert all(r.sql_ts == r.ts and r.sql_sec == r.sec for r in got)
+    assert any(r.ts for r in got) and any(r.sec for r in got)

@@ -251,6 +251,22 @@ def test_ratio_guards(spark, stores):
     assert row([("Americano", None), ("Spanish Latte", 4)]) is None
 
 
+def test_pivot_leaves_out_shifts_without_id(spark):
+    rows = [("s", "a", 1.0), ("s", "a", None), ("s", "c", 5.0), (None, "a", 7.0)]
+    sold = spark.createDataFrame(rows, "shift string, name string, quantity double")
+    got = baseline.item_pivot(sold, ["shift"], ("a", "b"))
+    assert bag(got) == {("s", 1.0, 0.0): 1}
+
+
+def test_scalar_texts_only(spark):
+    # A nested value is no number: it fails, or counts as nothing when tolerated.
+    receipts = [("1", "2024-01-29 22:00:00", [("Americano", {"n": 1})])]
+    made = receipts_of(spark, receipts)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        reports.receipt_items(made, AS_OF).collect()
+    assert reports.receipt_items(made, AS_OF, tolerant=True).first().quantity is None
+
+
 def test_both_reasons(spark, stores):
     weeks = range(6)
     shifts, receipts = [], []
