@@ -18,7 +18,7 @@ from branchlens.functions import clock, nested, parsing
 from branchlens.functions.sql import LOCAL_TIMESTAMP, SECONDS, register_functions
 from branchlens.operators import baseline, lookup, merge
 from branchlens.plans import attendance, ingest, reports
-from branchlens.plans.shift_fact import FACT_COLUMNS, add_slot, shift_fact, shift_fact_sql
+from branchlens.plans.shift_fact import add_slot, shift_fact, shift_fact_sql
 from branchlens.schemas import RECEIPTS, TIME_ENTRY, conform, landing_schema
 from branchlens.session import fresh_path
 from branchlens.sources import report_sink
@@ -36,7 +36,7 @@ SHARD_DAYS = ("2024-01-01", "2024-01-31")
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    QUERIES[function.__name__.removeprefix("q_")] = function
     return function
 
 
@@ -75,9 +75,7 @@ def landed(pages: DataFrame) -> str:
 def _stores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int | None, int | None]:
     """Store dimension, its checked size, and the bound on slot groups it implies."""
     stores = fx.stores(spark, sf_dir)
-    groups = lookup.max_slot_groups(stores)
-    rows = None if groups is None else groups // lookup.SLOTS_PER_STORE - 1
-    return stores, rows, groups
+    return stores, *lookup.store_bounds(stores)
 
 
 def _facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int | None]:
@@ -92,20 +90,16 @@ def _staged_facts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int | No
 
 
 @query
-def shift_fact_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_shift_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(_facts(spark, sf_dir)[0])
 
 
-QUERIES["shift_fact"] = QUERIES.pop("shift_fact_query")
-
 
 @query
-def shift_fact_sql_form(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_shift_fact_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(shift_fact_sql(fx.shifts(spark, sf_dir), fx.stores(spark, sf_dir), fx.AS_OF))
 
 
-QUERIES["shift_fact_sql"] = QUERIES.pop("shift_fact_sql_form")
-
 
 @query
 def slot_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -252,7 +246,7 @@ def load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def stream_upsert_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two landings, each followed by an available-now run, into a table by order year."""
     year = F.year("o_orderdate").cast("string")
     history, batch = fx.history_and_batch(spark, sf_dir)
@@ -276,8 +270,6 @@ def stream_upsert_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(spark.read.schema(history.schema).parquet(target).drop("o_year"))
 
 
-QUERIES["stream_upsert"] = QUERIES.pop("stream_upsert_query")
-
 
 @query
 def merge_cast_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -638,5 +630,3 @@ def ts_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = fx.table(spark, sf_dir, "events")
     return shown(events.select("event_id", parsing.coerce_timestamp(text).alias("moment")))
 
-
-__all__ = ["FACT_COLUMNS", "QUERIES"]

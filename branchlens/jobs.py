@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from branchlens import schemas
 from branchlens.functions import clock
-from branchlens.operators.lookup import SLOTS_PER_STORE, max_slot_groups
+from branchlens.operators.lookup import store_bounds
 from branchlens.plans import attendance, ingest, reports
 from branchlens.plans.shift_fact import BASELINE_DAYS, shift_fact
 from branchlens.session import build_session, fresh_path
@@ -34,8 +34,7 @@ def run_reports(
     shared folder, so each source is read once. One ``as_of`` serves every window.
     """
     spark = shifts.sparkSession
-    groups = max_slot_groups(stores)
-    store_rows = None if groups is None else groups // SLOTS_PER_STORE - 1
+    store_rows, groups = store_bounds(stores)
     paths = {name: fresh_path(spark, name) for name in ("shift_fact", "sales", "shift_items")}
     facts = replace_table(
         shift_fact(shifts, stores, as_of, store_rows=store_rows), paths["shift_fact"]

@@ -74,7 +74,10 @@ def with_group_stats(
     return joined.select(*rows.columns, *added)
 
 
-def max_slot_groups(dim: DataFrame) -> int | None:
-    """Upper bound on (store name, slot) groups, from the dimension's checked size."""
-    rows = bounded_count(dim, BROADCAST_ROWS // SLOTS_PER_STORE - 1)
-    return None if rows is None else (rows + 1) * SLOTS_PER_STORE
+def store_bounds(stores: DataFrame) -> tuple[int | None, int | None]:
+    """Checked size of the store dimension and the (store name, slot) groups it allows.
+
+    Both are None for a dimension that is too large to broadcast.
+    """
+    rows = bounded_count(stores, BROADCAST_ROWS)
+    return (None, None) if rows is None else (rows, (rows + 1) * SLOTS_PER_STORE)

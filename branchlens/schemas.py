@@ -85,15 +85,18 @@ SCHEMAS = {"receipts": RECEIPTS, "shifts": SHIFTS}
 
 
 def landing_schema(schema: T.StructType) -> T.StructType:
-    """Read schema for landed JSON: times as text, lists as variants.
+    """Read schema for landed JSON: times as text, whole numbers as doubles, lists as variants.
 
     A variant accepts any JSON value, so a record whose list field holds
-    something else still loads and is repaired by :func:`conform`.
+    something else still loads and is repaired by :func:`conform`. A whole
+    number may be landed as ``3.0``, which a bigint column would not read.
     """
 
     def relaxed(dtype: T.DataType) -> T.DataType:
         if isinstance(dtype, T.TimestampNTZType | T.TimestampType):
             return T.StringType()
+        if isinstance(dtype, T.LongType):
+            return T.DoubleType()
         if isinstance(dtype, T.ArrayType):
             return T.VariantType()
         return dtype

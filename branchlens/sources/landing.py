@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+_BROKEN = "_broken"
+
 
 def envelope_schema(key: str, record: T.StructType) -> T.StructType:
     return T.StructType(
@@ -21,5 +23,18 @@ def explode_envelopes(pages: DataFrame, key: str) -> DataFrame:
 def read_envelopes(
     spark: SparkSession, path: str, key: str, record: T.StructType
 ) -> DataFrame:
-    """Records of every page under ``path``, read with a fixed schema."""
-    return explode_envelopes(spark.read.schema(envelope_schema(key, record)).json(path), key)
+    """Records of every page under ``path``, read with a fixed schema.
+
+    A line that is no JSON raises instead of vanishing with all its records; a
+    single field of the wrong type only becomes null.
+    """
+    schema = envelope_schema(key, record).add(_BROKEN, T.StringType())
+    pages = (
+        spark.read.schema(schema).option("columnNameOfCorruptRecord", _BROKEN).json(path)
+    )
+    # Spark also marks pages where it could not convert a field; those parse.
+    broken = F.col(_BROKEN).isNotNull() & F.try_parse_json(_BROKEN).isNull()
+    refuse = F.raise_error(F.concat(F.lit("landed page is no JSON: "), F.col(_BROKEN)))
+    return explode_envelopes(
+        pages.where(F.when(broken, refuse.cast("boolean")).otherwise(True)), key
+    )

@@ -43,6 +43,23 @@ def test_envelopes(spark, tmp_path):
     assert sorted(r.receipt_number for r in got.collect()) == ["1", "2", "3"]
 
 
+def test_broken_pages_are_refused(spark, tmp_path):
+    path = land(tmp_path / "in", [{"receipts": [{"receipt_number": "1", "total_money": "x"}]}])
+    record = schemas.landing_schema(schemas.RECEIPTS)
+    # One field of the wrong type is only lost itself.
+    row = read_envelopes(spark, path, "receipts", record).first()
+    assert (row.receipt_number, row.total_money) == ("1", None)
+    (tmp_path / "in" / "cut.json").write_text('{"receipts": [{"receipt_number": "2"')
+    with pytest.raises(Exception, match="landed page is no JSON"):
+        read_envelopes(spark, path, "receipts", record).collect()
+
+
+def test_whole_numbers_landed_as_decimals(spark, tmp_path):
+    path = land(tmp_path / "in", [{"receipts": [dict(RECEIPT, points_earned=3.0), RECEIPT]}])
+    staged, _ = ingest.stage(spark, "receipts", path, str(tmp_path / "staging"))
+    assert sorted(str(r.points_earned) for r in staged.collect()) == ["3", "None"]
+
+
 def test_stage_repairs_and_counts(spark, tmp_path):
     path = land(tmp_path / "in", [{"receipts": [RECEIPT, {"receipt_number": "R2"}]}])
     staged, rows = ingest.stage(spark, "receipts", path, str(tmp_path / "staging"))

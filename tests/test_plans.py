@@ -48,7 +48,7 @@ def test_bounded_groups_leave_the_facts_unshuffled(spark, small, tmp_path):
     stores = fx.stores(spark, small)
     facts = shift_fact(fx.shifts(spark, small), stores, fx.AS_OF)
     staged = replace_table(facts, str(tmp_path / "facts"))
-    groups = lookup.max_slot_groups(stores)
+    _, groups = lookup.store_bounds(stores)
     text = final_plan(reports.sales_dip_anomalies(staged, fx.AS_OF, max_groups=groups))
     # The only shuffle is the baseline's own, on partial sums.
     assert text.count("Exchange hashpartitioning") == 1

@@ -79,6 +79,18 @@ def test_fact_columns_zones_and_defaults(spark, stores):
     assert bag(shift_fact_sql(shifts, stores, AS_OF)) == bag(shift_fact(shifts, stores, AS_OF))
 
 
+def test_store_names_from_a_mapping(spark):
+    stores = lookup.store_dimension(spark, {"1": "One"})
+    rows = spark.createDataFrame([("1",), ("2",), (None,)], "store_id string")
+    for checked in (1, None):
+        got = lookup.lookup_with_default(
+            rows, stores, "store_id", "store_name", lookup.UNKNOWN_STORE, checked
+        )
+        assert bag(got) == {
+            ("1", "One"): 1, ("2", "Unknown Store"): 1, (None, "Unknown Store"): 1,
+        }
+
+
 def test_fact_from_instants(spark, stores):
     shifts = shifts_of(spark, [("a", "1", "2024-01-06 20:30:00", "2024-01-07 04:00:00", [1])])
     instants = shifts.withColumn("opened_at", F.expr("TIMESTAMP_LTZ '2024-01-06 20:30:00Z'"))
@@ -150,18 +162,18 @@ def test_window_form_equals_join_form(spark, small):
         assert joined.count() > 0
 
 
-def test_broadcast_and_salted_joins_agree(spark, small):
+def test_broadcast_and_salted_joins_agree(spark, small, monkeypatch):
     stores = fx.stores(spark, small)
-    groups = lookup.max_slot_groups(stores)
-    assert groups == 26 * 14
-    rows = groups // lookup.SLOTS_PER_STORE - 1
+    rows, groups = lookup.store_bounds(stores)
+    assert (rows, groups) == (25, 26 * 14)
     plain = shift_fact(fx.shifts(spark, small), stores, fx.AS_OF)
     sent = shift_fact(fx.shifts(spark, small), stores, fx.AS_OF, store_rows=rows)
     assert bag(plain) == bag(sent)
     assert bag(reports.granular_sales(plain, fx.AS_OF)) == bag(
         reports.granular_sales(sent, fx.AS_OF, max_groups=groups)
     )
-    assert lookup.bounded_count(stores, 3) is None
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 3)
+    assert lookup.store_bounds(stores) == (None, None)
 
 
 def test_summary(spark, stores):
