@@ -19,7 +19,7 @@ from branchlens.functions.sql import LOCAL_TIMESTAMP, SECONDS, register_function
 from branchlens.operators import baseline, lookup, merge
 from branchlens.plans import attendance, ingest, reports
 from branchlens.plans.shift_fact import add_slot, shift_fact, shift_fact_sql
-from branchlens.schemas import RECEIPTS, TIME_ENTRY, conform, landing_schema
+from branchlens.schemas import RECEIPTS, conform, landing_schema
 from branchlens.session import fresh_path
 from branchlens.sources import report_sink
 from branchlens.sources.landing import read_envelopes
@@ -516,7 +516,7 @@ def ingest_window_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def time_entry_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = landed(fx.time_entry_pages(spark, sf_dir))
-    rows = attendance.normalise_entries(read_envelopes(spark, path, "data", TIME_ENTRY))
+    rows = attendance.normalise_entries(attendance.read_entries(spark, path))
     return rows.withColumn(
         "raw_payload", F.get_json_object("raw_payload", "$.createdAt")
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from branchlens import schemas
 from branchlens.functions import clock, parsing
@@ -19,8 +20,18 @@ PAYLOAD_KEYS = (
 )
 
 
+def read_entries(spark: SparkSession, landing: str) -> DataFrame:
+    """Landed time entries: the raw record as JSON text, and its known fields."""
+    raw = read_envelopes(spark, landing, "data", T.VariantType()).select(
+        F.to_json("record").alias("raw_payload")
+    )
+    return raw.select(
+        "raw_payload", F.from_json("raw_payload", schemas.TIME_ENTRY).alias("_e")
+    ).select("raw_payload", "_e.*")
+
+
 def normalise_entries(entries: DataFrame, tz: str = clock.LOCAL_TZ) -> DataFrame:
-    """Eleven flat fields per time entry, with the raw record kept as JSON.
+    """Eleven flat fields per time entry of :func:`read_entries`, the raw record last.
 
     Alternate field names fill in for null and for empty text. Date and time
     are read as written when the text has no zone, else in local time.
@@ -44,14 +55,13 @@ def normalise_entries(entries: DataFrame, tz: str = clock.LOCAL_TZ) -> DataFrame
         F.col("kiosk.name").alias("kiosk_name"),
         F.col("createdAt").alias("created_on"),
         text("updatedAt", "lastEditedOn").alias("last_edited_on"),
-        F.to_json(F.struct("*")).alias("raw_payload"),
+        "raw_payload",
     )
 
 
 def append_entries(spark: SparkSession, landing: str, raw_path: str) -> DataFrame:
     """Normalise landed time entries and append them to the raw table."""
-    entries = read_envelopes(spark, landing, "data", schemas.TIME_ENTRY)
-    return append_table(normalise_entries(entries), raw_path)
+    return append_table(normalise_entries(read_entries(spark, landing)), raw_path)
 
 
 def parse_payloads(raw: DataFrame, tz: str = clock.LOCAL_TZ) -> DataFrame:

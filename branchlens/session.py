@@ -29,21 +29,28 @@ def build_session(app: str = "branchlens", master: str | None = None, **extra: s
     return builder.getOrCreate()
 
 
+_local_dirs: dict[str, str] = {}
+
+
+def _checkpoint_dir(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
     Only a local master may go without that setting; it then gets one fresh
-    temporary folder per session.
+    temporary folder per application.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = _checkpoint_dir(spark)
     if base:
         return base.rstrip("/")
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    base = tempfile.mkdtemp(prefix="branchlens-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    app = spark.conf.get("spark.app.id")
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="branchlens-")
+    return _local_dirs[app]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

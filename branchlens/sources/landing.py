@@ -9,19 +9,25 @@ from pyspark.sql import types as T
 _BROKEN = "_broken"
 
 
-def envelope_schema(key: str, record: T.StructType) -> T.StructType:
+def envelope_schema(key: str, record: T.DataType) -> T.StructType:
     return T.StructType(
         [T.StructField(key, T.ArrayType(record)), T.StructField("cursor", T.StringType())]
     )
 
 
 def explode_envelopes(pages: DataFrame, key: str) -> DataFrame:
-    """All records of all pages; a page without the key adds none."""
-    return pages.select(F.explode(key).alias("_record")).select("_record.*")
+    """All records of all pages; a page without the key adds none.
+
+    Struct records become columns, others one column named ``record``.
+    """
+    records = pages.select(F.explode(key).alias("record"))
+    if isinstance(records.schema["record"].dataType, T.StructType):
+        return records.select("record.*")
+    return records
 
 
 def read_envelopes(
-    spark: SparkSession, path: str, key: str, record: T.StructType
+    spark: SparkSession, path: str, key: str, record: T.DataType
 ) -> DataFrame:
     """Records of every page under ``path``, read with a fixed schema.
 

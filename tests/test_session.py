@@ -1,0 +1,29 @@
+from __future__ import annotations
+
+import pytest
+
+from branchlens import session
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    named = spark.conf.get("spark.checkpoint.dir")
+    assert session.shared_dir(spark) == named.rstrip("/")
+    first, second = session.fresh_path(spark, "t"), session.fresh_path(spark, "t")
+    assert first != second and first.startswith(named)
+
+
+def test_local_fallback_is_one_folder(spark, monkeypatch):
+    monkeypatch.setattr(session, "_checkpoint_dir", lambda spark: None)
+    assert session.shared_dir(spark) == session.shared_dir(spark)
+
+
+def test_cluster_needs_the_setting(monkeypatch):
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+    class Cluster:
+        conf = Conf()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Cluster())
