@@ -1,4 +1,4 @@
-"""Batch entry points: ``python -m branchlens.jobs <reports|ingest|attendance|backfill>``."""
+"""Batch entry points: ``python -m branchlens.jobs <reports|ingest|shards|backfill|time-entries|attendance>``."""
 
 from __future__ import annotations
 
@@ -117,6 +117,13 @@ def _arguments() -> argparse.Namespace:
     job.add_argument("--mode", choices=["upsert", "insert"], default="upsert")
     job.add_argument("--on-duplicate", choices=["error", "latest"], default="error")
 
+    job = jobs.add_parser("shards")
+    for name in ("landing", "shards"):
+        job.add_argument(f"--{name}", required=True)
+    job.add_argument("--window", choices=["previous-day", "days", "all"], default="previous-day")
+    job.add_argument("--first")
+    job.add_argument("--last")
+
     job = jobs.add_parser("attendance")
     for name in ("raw", "current", "target"):
         job.add_argument(f"--{name}", required=True)
@@ -153,6 +160,9 @@ def main() -> None:
             spark, args.entity, args.landing, args.staging, args.target, window,
             args.mode, args.on_duplicate,
         )
+    elif args.job == "shards":
+        window = pull_window(args.window, as_of, args.first, args.last)
+        ingest.stage_shards(spark, args.landing, args.shards, window)
     elif args.job == "attendance":
         raw = spark.read.parquet(args.raw)
         run_attendance(spark, raw, args.current, args.target, args.on_duplicate)

@@ -15,6 +15,7 @@ from branchlens.functions.nested import (
     array_int_or_empty,
     array_struct_or_empty,
     array_to_json_strings,
+    empty_array,
     flatten_structs,
 )
 from branchlens.operators.merge import insert_only, insert_only_by_day, upsert
@@ -186,7 +187,11 @@ def read_days(
 
 
 def _as_json_strings(df: DataFrame, name: str) -> Column:
-    return array_to_json_strings(F.col(name), df.schema[name].dataType)
+    """The list as JSON texts; stored lists of text are JSON documents already."""
+    dtype = df.schema[name].dataType
+    if dtype == T.ArrayType(T.StringType()):
+        return F.coalesce(F.col(name), empty_array("string"))
+    return array_to_json_strings(F.col(name), dtype)
 
 
 def normalise_shards(

@@ -187,6 +187,35 @@ def test_normalise_moves_arrays_to_the_end(spark, small):
     assert all(isinstance(json.loads(t), int) for t in row.taxes)
 
 
+def test_daily_shards_flow_into_the_shift_table(spark, tmp_path):
+    def shift(number, day, **fields):
+        return {"id": number, "opened_at": f"2024-01-0{day}T02:00:00Z", **fields}
+
+    pages = [{"shifts": [
+        shift("a", 1, cash_movements=[{"money_amount": 1, "note": None}], taxes=[1, 2]),
+        shift("b", 1, cash_movements=[{"money_amount": 1}, 5], taxes="none"),
+        shift("a", 2, cash_movements=None),
+    ]}]
+    path = str(tmp_path / "shards")
+    shards = ingest.stage_shards(spark, land(tmp_path / "in", pages), path)
+    by_id = {(r.id, str(r.ds)): r for r in shards.collect()}
+    assert by_id["a", "2024-01-01"].taxes == [1, 2]
+    assert by_id["b", "2024-01-01"].taxes == []
+    assert by_id["b", "2024-01-01"].cash_movements == []  # not all of them objects
+
+    # Staging a day again replaces it and leaves the others.
+    redo = [{"shifts": [shift("c", 2)]}]
+    shards = ingest.stage_shards(spark, land(tmp_path / "redo", redo), path)
+    assert bag(shards, "id") == {("a",): 1, ("b",): 1, ("c",): 1}
+
+    target = schemas.conform(spark.sql("SELECT 'b' AS id, 'kept' AS store_id"), schemas.SHIFTS)
+    merged = ingest.backfill_shifts(target, shards, "ds", "2024-01-01", "2024-01-02")
+    rows = {r.id: r for r in merged.collect()}
+    assert sorted(rows) == ["a", "b", "c"] and rows["b"].store_id == "kept"
+    assert json.loads(rows["a"].cash_movements[0]) == {"money_amount": 1, "note": None}
+    assert rows["a"].taxes == ["1", "2"]
+
+
 def test_append_keeps_duplicates(spark, tmp_path):
     df = spark.createDataFrame([("a",)], "k string")
     for _ in range(2):
