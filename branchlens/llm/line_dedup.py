@@ -190,6 +190,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, keep: tuple[str, ...] = ()
         .where(F.char_length("key") >= min_chars)
         .select("doc", "th", "line", F.xxhash64("key").alias("h"), F.hash("key").alias("fp"))
     )
+    lines = staged(lines, "line-hashes")
     # Enough shards for every task, and few enough keys in each for its memory.
     about = lines.agg(F.approx_count_distinct("h"), F.count("*")).first()
     shards = max(4 * parts, -(-about[0] // SHARD_KEYS))
