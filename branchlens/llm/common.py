@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -109,6 +109,16 @@ def components(edges: DataFrame, name: str = "links") -> DataFrame:
         mark = seen
 
 
+_kept: dict[str, tuple] = {}
+
+
+def per_process(name: str, key: object, make: Callable[[], object]) -> object:
+    """What ``make`` gave for the last key; a Python worker keeps it for its next tasks."""
+    if name not in _kept or _kept[name][0] != key:
+        _kept[name] = (key, make())
+    return _kept[name][1]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit moves every output bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

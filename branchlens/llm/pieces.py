@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from dataclasses import dataclass
 
@@ -20,6 +21,7 @@ class Pieces:
     bytes_from: int | None  # id of byte 0, if unknown characters are spelled in bytes
     unknown: int
     texts: tuple[str, ...]
+    digest: str  # of the model file
 
     @property
     def unknown_score(self) -> float:
@@ -32,7 +34,9 @@ class Pieces:
 
 def load_pieces(path: str = MODEL) -> Pieces:
     """The pieces of a model file (some ten thousand short strings, bounded by the vocabulary)."""
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    with open(path, "rb") as file:
+        content = file.read()
+    model = sentencepiece.SentencePieceProcessor(model_proto=content)
     ids, scores, first_byte = {}, {}, None
     for i in range(model.vocab_size()):
         if model.is_byte(i):
@@ -43,7 +47,7 @@ def load_pieces(path: str = MODEL) -> Pieces:
     if any(SPACE in p.lstrip(SPACE) for p in ids):
         raise ValueError("pieces that go on after a space are not supported")
     texts = tuple(model.id_to_piece(i) for i in range(model.vocab_size()))
-    return Pieces(ids, scores, first_byte, model.unk_id(), texts)
+    return Pieces(ids, scores, first_byte, model.unk_id(), texts, hashlib.sha256(content).hexdigest())
 
 
 def pre_tokens(text: str | None) -> list[str]:

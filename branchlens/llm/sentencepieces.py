@@ -17,11 +17,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from branchlens.llm.common import chunks, read
+from branchlens.llm.common import chunks, per_process, read
 from branchlens.llm.pieces import MODEL, SPACE, Pieces, load_pieces, pre_tokens
 
-REMEMBERED = 250_000  # pre-tokens per task, then the memory starts anew
-LONG = 200  # longer pre-tokens are not remembered
+REMEMBERED = 300_000  # pre-tokens, then they become the older half of the memory
+LONG = 100  # longer pre-tokens are not remembered
+_WORST = float("-inf")
 
 
 class Encoder:
@@ -36,7 +37,9 @@ class Encoder:
         for piece, i in pieces.ids.items():
             self.automaton.add_word(piece, (len(piece), pieces.scores[piece], i))
         self.automaton.make_automaton()
-        self.memory: dict[str, tuple[int, ...]] = {}
+        self.single = frozenset(p for p in pieces.ids if len(p) == 1)
+        self.recent: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def _spell(self, char: str) -> list[int]:
         if self.pieces.bytes_from is None:
@@ -45,39 +48,46 @@ class Encoder:
 
     def _viterbi(self, word: str) -> tuple[int, ...]:
         n = len(word)
-        best, back, via = [0.0] + [float("-inf")] * n, [0] * (n + 1), [-1] * (n + 1)
-        single = self.pieces.ids
-        closed = 0  # positions up to here have their final score
-
-        def close(to: int) -> None:
-            nonlocal closed
-            for p in range(closed + 1, to + 1):
-                if word[p - 1] not in single and best[p - 1] + self.unknown_score > best[p]:
-                    best[p], back[p], via[p] = best[p - 1] + self.unknown_score, p - 1, -1
-            closed = max(closed, to)
-
+        best, back, via = [0.0] + [_WORST] * n, [0] * (n + 1), [-1] * (n + 1)
+        odd = not self.single.issuperset(word)  # some character is no piece
+        closed = 0  # if odd: positions up to here have their final score
         for last, (size, score, i) in self.automaton.iter(word):
-            end = last + 1
-            close(end - 1)
-            total = best[end - size] + score
-            if total > best[end]:
-                best[end], back[end], via[end] = total, end - size, i
-        close(n)
+            if odd and last > closed:
+                self._close(word, best, back, via, closed, last)
+                closed = last
+            total = best[last + 1 - size] + score
+            if total > best[last + 1]:
+                best[last + 1], back[last + 1], via[last + 1] = total, last + 1 - size, i
+        if odd:
+            self._close(word, best, back, via, closed, n)
         out: list[int] = []
         p = n
         while p:
-            out.extend([via[p]] if via[p] >= 0 else reversed(self._spell(word[p - 1])))
+            if via[p] >= 0:
+                out.append(via[p])
+            else:
+                out.extend(reversed(self._spell(word[p - 1])))
             p = back[p]
-        return tuple(reversed(out))
+        out.reverse()
+        return tuple(out)
+
+    def _close(self, word: str, best: list, back: list, via: list, done: int, to: int) -> None:
+        """Where a character is no piece, it may stand for itself at a penalty."""
+        for p in range(done + 1, to + 1):
+            if word[p - 1] not in self.single and best[p - 1] + self.unknown_score > best[p]:
+                best[p], back[p], via[p] = best[p - 1] + self.unknown_score, p - 1, -1
 
     def word(self, word: str) -> tuple[int, ...]:
-        ids = self.memory.get(word)
+        ids = self.recent.get(word)
         if ids is None:
-            ids = self._viterbi(word)
-            if len(word) <= LONG:
-                if len(self.memory) >= REMEMBERED:
-                    self.memory.clear()
-                self.memory[word] = ids
+            ids = self.older.get(word)
+            if ids is None:
+                ids = self._viterbi(word)
+                if len(word) > LONG:
+                    return ids
+            if len(self.recent) >= REMEMBERED:
+                self.older, self.recent = self.recent, {}
+            self.recent[word] = ids
         return ids
 
     def __call__(self, text: str | None) -> list[int]:
@@ -110,7 +120,9 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     pieces = docs.sparkSession.sparkContext.broadcast(load_pieces(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = Encoder(pieces.value), Decoder(pieces.value)
+        model = pieces.value
+        encoder = per_process("encoder", model.digest, lambda: Encoder(model))
+        decoder = Decoder(model)
         for batch in batches:
             for part in chunks(batch):
                 ids, digests, same, sizes = [], [], [], [0]

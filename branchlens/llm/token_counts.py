@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from branchlens.llm.common import chunks, read
+from branchlens.llm.common import chunks, per_process, read
 from branchlens.llm.pieces import MODEL, Pieces, load_pieces, pre_tokens
 
 NODES = 400_000  # a task starts a new trie beyond this, so its memory is bounded
@@ -75,7 +75,8 @@ def token_counts(docs: DataFrame, model: str = MODEL) -> DataFrame:
     pieces = docs.sparkSession.sparkContext.broadcast(load_pieces(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = CountTrie(pieces.value)
+        model = pieces.value
+        trie = per_process("count trie", model.digest, lambda: CountTrie(model))
         for batch in batches:
             for part in chunks(batch):
                 words = [pre_tokens(t) for t in part.column("text").to_pylist()]
