@@ -30,16 +30,25 @@ U64 = np.uint64
 BASE = U64(0x9E3779B97F4A7C15)  # odd, hence invertible modulo 2^64
 UNBASE = U64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 SPARE = 8  # with so many groups one more is added, so that empty subsets rarely matter
+PART = 1 << 19  # bytes of text worked on at once, or one longer text
+SIGNATURES = 1 << 20  # grouped at once in a task
 RUN = 1024  # sets of one signature that are compared block by block; larger runs are cut finer
 
 
-@lru_cache(maxsize=4)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def _accumulated(n: int) -> tuple[np.ndarray, np.ndarray]:
     up, down = np.full(n, BASE, U64), np.full(n, UNBASE, U64)
     up[0] = down[0] = 1
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
+_usual = lru_cache(maxsize=1)(_accumulated)
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and its inverse; kept for texts of usual length only."""
+    return _usual(PART) if n <= PART else _accumulated(n)
+
+
 def word_hashes(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words of texts that lie end to end, and the words before each text.
 
@@ -51,8 +60,7 @@ def word_hashes(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.nda
     new[edges] = True
     start = np.flatnonzero(solid & (new[:-1] | ~np.concatenate(([False], solid[:-1]))))
     end = np.flatnonzero(solid & (new[1:] | ~np.concatenate((solid[1:], [False])))) + 1
-    size = 1 << max(20, int(len(data)).bit_length())
-    up, down = _powers(size)
+    up, down = _powers(len(data) + 1)
     sums = np.concatenate((np.zeros(1, U64), np.cumsum((data.astype(U64) + U64(1)) * up[: len(data)])))
     hashes = mix((sums[end] - sums[start]) * down[start])
     return hashes, np.searchsorted(start, edges)
@@ -171,7 +179,7 @@ SIGNS = "sig long, key long, more array<long>"
 def _sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, size=PART):
                 sizes, keys, sketches = [], [], []
                 for s in shingle_sets(part.column("text"), n):
                     sizes.append(len(s))
@@ -186,13 +194,16 @@ def _sets(n: int):
 
 
 def _signs(n: int, percent: int):
-    """(sig, key, more): a signature, the smallest set of the batch that has it, the others."""
+    """(sig, key, more): a signature, the smallest set at hand that has it, the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
+        keys: list[np.ndarray] = []
+        signs: list[np.ndarray] = []
+        seen: set[int] = set()
+        held = 0
         for batch in batches:
-            keys, signs, seen = [], [], set()
-            for part in chunks(batch):
+            for part in chunks(batch, size=PART):
                 for s in shingle_sets(part.column("text"), n):
                     key = set_key(s)
                     if len(s) and key not in seen:  # copies have the same signatures
@@ -200,8 +211,12 @@ def _signs(n: int, percent: int):
                         mine = bands.signatures(s)
                         signs.append(mine)
                         keys.append(np.full(len(mine), key, np.int64))
-            if signs:
-                yield _grouped(np.concatenate(signs).view(np.int64), np.concatenate(keys))
+                        held += len(mine)
+                if held >= SIGNATURES:
+                    yield _grouped(np.concatenate(signs).view(np.int64), np.concatenate(keys))
+                    keys, signs, seen, held = [], [], set(), 0
+        if signs:
+            yield _grouped(np.concatenate(signs).view(np.int64), np.concatenate(keys))
 
     return run
 
@@ -261,7 +276,7 @@ def _linked(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            keep: list[bool] = []
             for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
                 a, b = (np.frombuffer(v.as_buffer(), U64) for v in (x, y))
                 both = len(np.intersect1d(a, b, assume_unique=True))
@@ -274,7 +289,7 @@ def _linked(percent: int):
 def _arrays(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, size=PART):
                 sets = list(shingle_sets(part.column("text"), n))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([set_key(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
@@ -303,43 +318,85 @@ def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, n: int, percen
     )
 
 
-def _open_pairs(percent: int):
-    """Rows sorted by signature with labels and sketches: pairs of different labels that may link."""
+def _compatible(percent: int):
+    """Pairs with both sizes and sketches: those that their sketches do not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for n, n2, x, y in zip(*(batch.column(c).to_pylist() for c in ("na", "nb", "xa", "xb")), strict=True):
+                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+                m = min(len(x), len(y))
+                differ = int((fold(x, m) != fold(y, m)).sum())
+                near = 100 * min(n, n2) >= percent * max(n, n2)
+                keep.append(near and differ <= (100 - percent) * (n + n2) // (100 + percent))
+            yield batch.select(["a", "b", "c"]).filter(pa.array(keep, pa.bool_()))
+
+    return run
 
-    def compare(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        seen = sorted({(r[3], r[1]): r for r in rows}.values(), key=lambda r: (r[3], r[1]))  # by size
-        for i, (_, a, label, n, x) in enumerate(seen):
-            for _, b, other, n2, y in seen[i + 1 :]:
-                if n * 100 < percent * n2:
-                    break
-                if other != label:
-                    m = min(len(x), len(y))
-                    differ = int((fold(x, m) != fold(y, m)).sum())
-                    if differ <= (100 - percent) * (n + n2) // (100 + percent):
-                        yield min(a, b), max(a, b)
+
+def _open_pairs(percent: int, every: bool):
+    """Rows sorted by signature with labels and sketches: pairs of different labels that may link.
+
+    All of them, or for each two labels of a signature only the pair with the fewest differences.
+    """
+
+    def compare(keys: np.ndarray, labels: np.ndarray, sizes: np.ndarray, sketches: list[bytes]) -> list[tuple[int, int]]:
+        if (labels == labels[0]).all():
+            return []
+        order = np.argsort(sizes, kind="stable")
+        keys, labels, sizes = keys[order], labels[order], sizes[order]
+        m = min(map(len, sketches))
+        x = np.stack([fold(np.frombuffer(sketches[i], np.uint8), m) for i in order])
+        tops = np.searchsorted(sizes, sizes * 100 // percent, side="right")
+        out: list[tuple[int, int]] = []
+        closest: dict[tuple[int, int], tuple[int, int, int]] = {}
+        for i in range(len(keys) - 1):
+            near = slice(i + 1, tops[i])
+            other = labels[near] != labels[i]
+            if other.any():
+                differ = (x[near] != x[i]).sum(axis=1)
+                fit = other & (differ <= (100 - percent) * (sizes[near] + sizes[i]) // (100 + percent))
+                if every:
+                    out.extend((min(keys[i], k), max(keys[i], k)) for k in keys[near][fit])
+                    continue
+                for d, label, k in zip(differ[fit], labels[near][fit], keys[near][fit], strict=True):
+                    two = (min(label, labels[i]), max(label, labels[i]))
+                    closest[two] = min(closest.get(two, (1 << 62, 0, 0)), (d, min(keys[i], k), max(keys[i], k)))
+        return out + [(a, b) for _, a, b in closest.values()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, rows = None, []
+        now, parts = None, []  # the pieces of the run that is being read
 
-        def done() -> pa.RecordBatch:
-            pairs = sorted(set(compare(rows)))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"]
-            )
+        def done() -> list[tuple[int, int]]:
+            keys, labels, sizes = (np.concatenate([p[i] for p in parts]) for i in range(3))
+            return compare(keys, labels, sizes, [x for p in parts for x in p[3]]) if len(keys) > 1 else []
 
         for batch in batches:
-            for sig, key, label, n, x in zip(*(batch.column(c).to_pylist() for c in ("sig", "key", "label", "n", "sketch")), strict=True):
-                if sig != now and rows:
-                    yield done()
-                    rows = []
-                now = sig
-                rows.append((sig, key, label, n, np.frombuffer(x, np.uint8)))
-        if rows:
-            yield done()
+            pairs: set[tuple[int, int]] = set()
+            sig, key, label, n = (batch.column(c).to_numpy() for c in ("sig", "key", "label", "n"))
+            sketches = batch.column("sketch").to_pylist()
+            edges = [0, *(np.flatnonzero(sig[1:] != sig[:-1]) + 1), len(sig)]
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                if a == b:
+                    continue
+                if sig[a] != now and parts:
+                    pairs.update(done())
+                    parts = []
+                now = sig[a]
+                parts.append((key[a:b], label[a:b], n[a:b], sketches[a:b]))
+            yield _pairs(pairs)
+        if parts:
+            yield _pairs(set(done()))
 
     return run
 
 
+def _pairs(pairs: set[tuple[int, int]]) -> pa.RecordBatch:
+    rows = sorted(pairs)
+    return pa.RecordBatch.from_arrays([pa.array([p[i] for p in rows], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+
 def _finer(percent: int):
     """Second signatures for sets of an overlong run: equal pieces of their sketches.
 
@@ -398,38 +455,57 @@ def linked_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
         .agg(F.count("*").alias("c"))
     )
     stars = staged(stars, "stars")
+    sketches = filled.select("key", "sketch").dropDuplicates(["key"]).join(reps.select("key", "n"), "key")
+    sketches = staged(sketches, "sketches")
+    side = lambda c: sketches.select(F.col("key").alias(c), F.col("n").alias(f"n{c}"), F.col("sketch").alias(f"x{c}"))
+    stars = staged(
+        stars.join(side("a"), "a").join(side("b"), "b").mapInArrow(_compatible(percent), "a long, b long, c long"),
+        "near-stars",
+    )
     # First each set with the set that it shares most signatures with.
     best = stars.groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a")).select("a", "b")
     first = staged(_verified(docs, reps, best, words, percent), "links")
     labels = components(first, "labels").select(F.col("node").alias("key"), F.col("root").alias("label"))
-    # Signatures whose sets are not all connected yet.
+    # Then signatures of three or more sets that are not all connected yet; of two, the star has both.
     members = runs.select("sig", F.explode(F.concat(F.array("pivot"), "keys")).alias("key"))
-    labelled = (
-        members.join(labels, "key", "left")
-        .select("sig", "key", F.coalesce("label", "key").alias("label"))
+    labelled = staged(
+        members.distinct().join(labels, "key", "left").select("sig", "key", F.coalesce("label", "key").alias("label")),
+        "labelled",
     )
-    labelled = staged(labelled, "labelled")
-    open_sigs = labelled.groupBy("sig").agg(
-        F.min("label").alias("l1"), F.max("label").alias("l2"), F.count("*").alias("members")
-    ).where("l1 != l2").select("sig", "members")
-    rows = labelled.join(open_sigs, "sig").distinct()
-    sketches = filled.select("key", "sketch").dropDuplicates(["key"]).join(reps.select("key", "n"), "key")
-    rows = staged(rows.join(sketches, "key"), "open-sets")
+    open_sigs = (
+        labelled.groupBy("sig")
+        .agg(F.min("label").alias("l1"), F.max("label").alias("l2"), F.count("*").alias("members"))
+        .where("l1 != l2 and members > 2")
+        .select("sig", "members")
+    )
+    rows = staged(labelled.join(open_sigs, "sig").join(sketches, "key"), "open-sets")
     in_order = lambda df: df.repartition("sig").sortWithinPartitions("sig")
     fields = ["sig", "key", "label", "n", "sketch"]
-    pairs = in_order(rows.where(F.col("members") <= RUN).select(*fields)).mapInArrow(_open_pairs(percent), "a long, b long")
-    large = rows.where(F.col("members") > RUN).select(*fields)
-    if not large.isEmpty():
-        cut = large.mapInArrow(_finer(percent), large.schema)
-        pairs = pairs.union(in_order(cut).mapInArrow(_open_pairs(percent), "a long, b long"))
-    pairs = staged(pairs.distinct(), "open-pairs")
-    links = first
-    if not pairs.isEmpty():
-        links = first.union(staged(_verified(docs, reps, pairs, words, percent), "links"))
-    groups = components(links, "groups")
-    found = reps.join(groups.withColumnRenamed("node", "key"), "key", "left").select(
-        "key", "rep", "copies", F.coalesce("root", "key").alias("root")
-    )
+    large = rows.where(F.col("members") > RUN)
+    if large.isEmpty():
+        rows = rows.select(*fields)
+    else:
+        cut = large.select(*fields).mapInArrow(_finer(percent), large.select(*fields).schema)
+        rows = staged(rows.where(F.col("members") <= RUN).select(*fields).union(cut), "cut-sets")
+    links, tested = first, best.select("a", "b")
+    # One pair for every two labels that meet, which joins most of them; then all that are left.
+    for every in (False, True):
+        rows = rows.drop("label").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
+        found = in_order(rows.select(*fields)).mapInArrow(_open_pairs(percent, every), "a long, b long")
+        labelled_as = lambda c, of=labels: of.select(F.col("key").alias(c), F.col("label").alias(f"l{c}"))
+        others = (
+            stars.join(labelled_as("a"), "a", "left")
+            .join(labelled_as("b"), "b", "left")
+            .where(F.coalesce("la", "a") != F.coalesce("lb", "b"))
+        )
+        if every:
+            found = found.union(others.select("a", "b"))
+        pairs = staged(found.distinct().join(tested, ["a", "b"], "left_anti"), "open-pairs")
+        if not pairs.isEmpty():
+            links = links.union(staged(_verified(docs, reps, pairs, words, percent), "links"))
+            tested = tested.union(pairs)
+            labels = components(links, "labels").select(F.col("node").alias("key"), F.col("root").alias("label"))
+    found = reps.join(labels, "key", "left").select("key", "rep", "copies", F.coalesce("label", "key").alias("root"))
     least = found.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("sets"))
     per_set = staged(
         join_hot(found, least, ["root"], "sets", total).select("key", "copies", "component_id"), "set-groups"
