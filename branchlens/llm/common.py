@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,6 +21,7 @@ DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 BROADCAST_ROWS = 200_000
 # At most so many keys count as hot: those with over one in HOT_KEYS of all rows.
 HOT_KEYS = 1_000
+BATCH = "8m"  # of Arrow data
 _SALT, _HOT = "_salt", "_salts"
 
 
@@ -119,6 +123,23 @@ def per_process(name: str, key: object, make: Callable[[], object]) -> object:
     return _kept[name][1]
 
 
+def forget() -> None:
+    """Free what this Python worker kept, and give freed memory back to the system.
+
+    Idle workers stay for a while, next to those of the following stage.
+    """
+    _kept.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # elsewhere than on glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python in batches of some megabytes, whatever the texts' lengths."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit moves every output bit."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchlens.llm.common import chunks, components, join_hot, mix, read, small, staged
+from branchlens.llm.common import chunks, components, forget, join_hot, mix, read, small, small_batches, staged
 
 WORDS, PERCENT = 4, 85
 U64 = np.uint64
@@ -32,7 +32,7 @@ UNBASE = U64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 SPARE = 8  # with so many groups one more is added, so that empty subsets rarely matter
 PART = 1 << 19  # bytes of text worked on at once, or one longer text
 SIGNATURES = 1 << 20  # grouped at once in a task
-RUN = 1024  # sets of one signature that are compared block by block; larger runs are cut finer
+RUN = 4096  # sets of one signature that one task compares; larger runs are cut finer
 
 
 def _accumulated(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -189,6 +189,7 @@ def _sets(n: int):
                     [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(sketches, pa.binary())],
                     names=["doc_id", "n_shingles", "key", "sketch"],
                 )
+        forget()
 
     return run
 
@@ -197,6 +198,7 @@ def _signs(n: int, percent: int):
     """(sig, key, more): a signature, the smallest set at hand that has it, the others."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         bands = Bands(percent)
         keys: list[np.ndarray] = []
         signs: list[np.ndarray] = []
@@ -217,6 +219,7 @@ def _signs(n: int, percent: int):
                     keys, signs, seen, held = [], [], set(), 0
         if signs:
             yield _grouped(np.concatenate(signs).view(np.int64), np.concatenate(keys))
+        forget()
 
     return run
 
@@ -336,65 +339,85 @@ def _compatible(percent: int):
 
 
 def _open_pairs(percent: int, every: bool):
-    """Rows sorted by signature with labels and sketches: pairs of different labels that may link.
+    """Rows sorted by signature with labels and sketches: (sig, a, b) of different labels that may link.
 
-    All of them, or for each two labels of a signature only the pair with the fewest differences.
+    Of each signature only a forest of the closest pairs that joins its labels; or, where
+    ``every`` is set, all pairs, each at the least of the signatures that both sets have in ``sigs``.
     """
 
-    def compare(keys: np.ndarray, labels: np.ndarray, sizes: np.ndarray, sketches: list[bytes]) -> list[tuple[int, int]]:
+    def forest(pairs: list[tuple]) -> list[tuple[int, int]]:
+        top: dict[int, int] = {}
+
+        def root(label: int) -> int:
+            while (up := top.get(label, label)) != label:
+                label = up
+            return label
+
+        out = []
+        for _, a, b, one, two in sorted(pairs):
+            if (one := root(one)) != (two := root(two)):
+                top[one] = two
+                out.append((a, b))
+        return out
+
+    def compare(sig: int, rows: pa.Table) -> list[tuple[int, int]]:
+        keys, labels, sizes = (rows.column(c).to_numpy() for c in ("key", "label", "n"))
         if (labels == labels[0]).all():
             return []
         order = np.argsort(sizes, kind="stable")
         keys, labels, sizes = keys[order], labels[order], sizes[order]
+        sketches = rows.column("sketch").to_pylist()
+        sigs = rows.column("sigs").to_pylist() if every else []
         m = min(map(len, sketches))
         x = np.stack([fold(np.frombuffer(sketches[i], np.uint8), m) for i in order])
         tops = np.searchsorted(sizes, sizes * 100 // percent, side="right")
-        out: list[tuple[int, int]] = []
-        closest: dict[tuple[int, int], tuple[int, int, int]] = {}
+        found, closest = [], {}
         for i in range(len(keys) - 1):
             near = slice(i + 1, tops[i])
             other = labels[near] != labels[i]
-            if other.any():
-                differ = (x[near] != x[i]).sum(axis=1)
-                fit = other & (differ <= (100 - percent) * (sizes[near] + sizes[i]) // (100 + percent))
+            if not other.any():
+                continue
+            differ = (x[near] != x[i]).sum(axis=1)
+            fit = np.flatnonzero(other & (differ <= (100 - percent) * (sizes[near] + sizes[i]) // (100 + percent)))
+            for j in fit:
+                a, b = sorted((int(keys[i]), int(keys[i + 1 + j])))
                 if every:
-                    out.extend((min(keys[i], k), max(keys[i], k)) for k in keys[near][fit])
-                    continue
-                for d, label, k in zip(differ[fit], labels[near][fit], keys[near][fit], strict=True):
-                    two = (min(label, labels[i]), max(label, labels[i]))
-                    closest[two] = min(closest.get(two, (1 << 62, 0, 0)), (d, min(keys[i], k), max(keys[i], k)))
-        return out + [(a, b) for _, a, b in closest.values()]
+                    if min(set(sigs[order[i]]).intersection(sigs[order[i + 1 + j]])) == sig:
+                        found.append((a, b))
+                else:
+                    one, two = sorted((int(labels[i]), int(labels[i + 1 + j])))
+                    new = (int(differ[j]), a, b, one, two)
+                    closest[one, two] = min(closest.get((one, two), new), new)
+        return found if every else forest(list(closest.values()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, parts = None, []  # the pieces of the run that is being read
+        now, parts = None, []  # the run that is being read
 
-        def done() -> list[tuple[int, int]]:
-            keys, labels, sizes = (np.concatenate([p[i] for p in parts]) for i in range(3))
-            return compare(keys, labels, sizes, [x for p in parts for x in p[3]]) if len(keys) > 1 else []
+        def done() -> list[tuple[int, int, int]]:
+            rows = pa.Table.from_batches(parts)
+            return [(now, a, b) for a, b in compare(now, rows)] if len(rows) > 1 else []
 
         for batch in batches:
-            pairs: set[tuple[int, int]] = set()
-            sig, key, label, n = (batch.column(c).to_numpy() for c in ("sig", "key", "label", "n"))
-            sketches = batch.column("sketch").to_pylist()
+            pairs: list[tuple[int, int, int]] = []
+            sig = batch.column("sig").to_numpy()
             edges = [0, *(np.flatnonzero(sig[1:] != sig[:-1]) + 1), len(sig)]
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 if a == b:
                     continue
                 if sig[a] != now and parts:
-                    pairs.update(done())
+                    pairs.extend(done())
                     parts = []
-                now = sig[a]
-                parts.append((key[a:b], label[a:b], n[a:b], sketches[a:b]))
+                now = int(sig[a])
+                parts.append(batch.slice(a, b - a))
             yield _pairs(pairs)
         if parts:
-            yield _pairs(set(done()))
+            yield _pairs(done())
 
     return run
 
 
-def _pairs(pairs: set[tuple[int, int]]) -> pa.RecordBatch:
-    rows = sorted(pairs)
-    return pa.RecordBatch.from_arrays([pa.array([p[i] for p in rows], pa.int64()) for i in (0, 1)], names=["a", "b"])
+def _pairs(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[i] for p in rows], pa.int64()) for i in range(3)], names=["sig", "a", "b"])
 
 
 def _finer(percent: int):
@@ -433,6 +456,7 @@ def linked_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     without an id takes the smallest id of its group, null if there is none. Other columns
     of the input are not looked at; an empty table gives an empty table.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = staged(docs.mapInArrow(_sets(words), SETS), "sets")
     total = max(1, sets.count())
@@ -478,33 +502,41 @@ def linked_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
         .where("l1 != l2 and members > 2")
         .select("sig", "members")
     )
-    rows = staged(labelled.join(open_sigs, "sig").join(sketches, "key"), "open-sets")
+    rows = staged(labelled.join(open_sigs, "sig"), "open-sets")
     in_order = lambda df: df.repartition("sig").sortWithinPartitions("sig")
     fields = ["sig", "key", "label", "n", "sketch"]
     large = rows.where(F.col("members") > RUN)
-    if large.isEmpty():
-        rows = rows.select(*fields)
-    else:
-        cut = large.select(*fields).mapInArrow(_finer(percent), large.select(*fields).schema)
-        rows = staged(rows.where(F.col("members") <= RUN).select(*fields).union(cut), "cut-sets")
+    if not large.isEmpty():
+        cut = large.join(sketches, "key").select(*fields)
+        cut = cut.mapInArrow(_finer(percent), cut.schema).select("sig", "key")
+        rows = staged(rows.where(F.col("members") <= RUN).select("sig", "key").union(cut), "cut-sets")
+    rows = rows.select("sig", "key")  # sketches are added anew each time, so that they move only once
     links, tested = first, best.select("a", "b")
-    # One pair for every two labels that meet, which joins most of them; then all that are left.
-    for every in (False, True):
-        rows = rows.drop("label").join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
-        found = in_order(rows.select(*fields)).mapInArrow(_open_pairs(percent, every), "a long, b long")
-        labelled_as = lambda c, of=labels: of.select(F.col("key").alias(c), F.col("label").alias(f"l{c}"))
-        others = (
-            stars.join(labelled_as("a"), "a", "left")
-            .join(labelled_as("b"), "b", "left")
-            .where(F.coalesce("la", "a") != F.coalesce("lb", "b"))
-        )
+    # As long as it joins anything, the closest pairs that could; then all that are left.
+    every = False
+    while True:
+        labelled = rows.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
+        wanted = labelled.join(sketches, "key").select(*fields)
+        if every:
+            wanted = wanted.join(rows.groupBy("key").agg(F.collect_set("sig").alias("sigs")), "key")
+        found = staged(in_order(wanted).mapInArrow(_open_pairs(percent, every), "sig long, a long, b long"), "near-pairs")
+        # Signatures without such a pair now will not have one later.
+        rows = staged(rows.join(found.select("sig").distinct(), "sig", "left_semi"), "open-sets")
+        pairs = found.select("a", "b")
         if every:
-            found = found.union(others.select("a", "b"))
-        pairs = staged(found.distinct().join(tested, ["a", "b"], "left_anti"), "open-pairs")
-        if not pairs.isEmpty():
-            links = links.union(staged(_verified(docs, reps, pairs, words, percent), "links"))
-            tested = tested.union(pairs)
+            labelled_as = lambda c, of=labels: of.select(F.col("key").alias(c), F.col("label").alias(f"l{c}"))
+            others = stars.join(labelled_as("a"), "a", "left").join(labelled_as("b"), "b", "left")
+            pairs = pairs.union(others.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b"))
+        pairs = staged(staged(pairs.distinct(), "near-pairs").join(tested, ["a", "b"], "left_anti"), "open-pairs")
+        more = staged(_verified(docs, reps, pairs, words, percent), "links")
+        tested = tested.union(pairs)
+        joined = not more.isEmpty()
+        if joined:
+            links = links.union(more)
             labels = components(links, "labels").select(F.col("node").alias("key"), F.col("root").alias("label"))
+        if every:
+            break
+        every = not joined
     found = reps.join(labels, "key", "left").select("key", "rep", "copies", F.coalesce("label", "key").alias("root"))
     least = found.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("sets"))
     per_set = staged(

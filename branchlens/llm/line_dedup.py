@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from branchlens.llm.common import ascii_lower, mix, read, shuffle_partitions, staged
+from branchlens.llm.common import ascii_lower, forget, mix, read, shuffle_partitions, small_batches, staged
 
 BLANK = " \t\n\x0b\x0c\r"
 SHARD_KEYS = 200_000  # distinct lines per shard, about 4 MB of arrays
@@ -150,6 +150,7 @@ def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [*(batch.column(x) for x in names), pa.array(out, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())],
             names=[*names, "text", "n_lines", "n_dropped"],
         )
+    forget()
 
 
 def line_index(lines: DataFrame, total_shards: int) -> tuple[DataFrame, DataFrame]:
@@ -175,6 +176,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, keep: tuple[str, ...] = ()
     their names, are not looked at. An empty table gives an empty table.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     parts = shuffle_partitions(spark)
     base = docs.select("doc_id", *keep, "text").select(
         "*", F.coalesce("doc_id", F.lit(NO_ID)).alias("_doc"), F.xxhash64("text").alias("_th")

@@ -10,17 +10,16 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import chain
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from branchlens.llm.common import chunks, per_process, read
+from branchlens.llm.common import chunks, per_process, read, small_batches
 from branchlens.llm.pieces import MODEL, SPACE, Pieces, load_pieces, pre_tokens
 
-REMEMBERED = 300_000  # pre-tokens, then they become the older half of the memory
+REMEMBERED = 150_000  # pre-tokens, then they become the older half of the memory
 LONG = 100  # longer pre-tokens are not remembered
 _WORST = float("-inf")
 
@@ -38,15 +37,15 @@ class Encoder:
             self.automaton.add_word(piece, (len(piece), pieces.scores[piece], i))
         self.automaton.make_automaton()
         self.single = frozenset(p for p in pieces.ids if len(p) == 1)
-        self.recent: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _spell(self, char: str) -> list[int]:
         if self.pieces.bytes_from is None:
             return [self.pieces.unknown]
         return [self.pieces.bytes_from + b for b in char.encode("utf-8", "surrogatepass")]
 
-    def _viterbi(self, word: str) -> tuple[int, ...]:
+    def _viterbi(self, word: str) -> bytes:
         n = len(word)
         best, back, via = [0.0] + [_WORST] * n, [0] * (n + 1), [-1] * (n + 1)
         odd = not self.single.issuperset(word)  # some character is no piece
@@ -69,7 +68,7 @@ class Encoder:
                 out.extend(reversed(self._spell(word[p - 1])))
             p = back[p]
         out.reverse()
-        return tuple(out)
+        return np.array(out, np.int32).tobytes()
 
     def _close(self, word: str, best: list, back: list, via: list, done: int, to: int) -> None:
         """Where a character is no piece, it may stand for itself at a penalty."""
@@ -77,7 +76,8 @@ class Encoder:
             if word[p - 1] not in self.single and best[p - 1] + self.unknown_score > best[p]:
                 best[p], back[p], via[p] = best[p - 1] + self.unknown_score, p - 1, -1
 
-    def word(self, word: str) -> tuple[int, ...]:
+    def word(self, word: str) -> bytes:
+        """The ids of a pre-token, four bytes each."""
         ids = self.recent.get(word)
         if ids is None:
             ids = self.older.get(word)
@@ -90,8 +90,8 @@ class Encoder:
             self.recent[word] = ids
         return ids
 
-    def __call__(self, text: str | None) -> list[int]:
-        return list(chain.from_iterable(map(self.word, pre_tokens(text))))
+    def __call__(self, text: str | None) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.word, pre_tokens(text))), np.int32)
 
 
 class Decoder:
@@ -117,6 +117,7 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     input row, repeated rows and null ids included; other columns are not looked at; an
     empty table gives an empty table.
     """
+    small_batches(docs.sparkSession)
     pieces = docs.sparkSession.sparkContext.broadcast(load_pieces(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,8 +129,8 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
                 ids, digests, same, sizes = [], [], [], [0]
                 for text in part.column("text").to_pylist():
                     mine = encoder(text)
-                    back = decoder(mine)
-                    ids.append(np.array(mine, np.int32))
+                    back = decoder(mine.tolist())
+                    ids.append(mine)
                     sizes.append(len(mine))
                     digests.append(hashlib.sha256(back.encode("utf-8", "surrogatepass")).hexdigest())
                     same.append(back == (text or ""))
