@@ -75,8 +75,9 @@ def hms_to_seconds(text: Column) -> Column:
 
 
 def seconds_to_hms(seconds: Column) -> Column:
-    """Seconds to ``HH:MM:SS``; hours may pass 24, null stays null."""
-    whole = seconds.cast("bigint")
+    """Seconds to ``HH:MM:SS``; hours may pass 24, one sign leads if negative, null stays null."""
+    signed = seconds.cast("bigint")
+    whole = F.abs(signed)
 
     def padded(number: Column) -> Column:
         digits = number.cast("bigint").cast("string")
@@ -84,7 +85,8 @@ def seconds_to_hms(seconds: Column) -> Column:
 
     colon = F.lit(":")
     hours, minutes = F.floor(whole / 3600), F.floor((whole % 3600) / 60)
-    return F.concat(padded(hours), colon, padded(minutes), colon, padded(whole % 60))
+    sign = F.when(signed < 0, F.lit("-")).otherwise(F.lit(""))
+    return F.concat(sign, padded(hours), colon, padded(minutes), colon, padded(whole % 60))
 
 
 def coerce_timestamp(text: Column) -> Column:

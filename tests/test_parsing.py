@@ -44,8 +44,8 @@ def test_hms_to_seconds(spark, value, expected):
 
 @pytest.mark.parametrize(
     "value, expected",
-    [(0, "00:00:00"), (3723, "01:02:03"), (3723.9, "01:02:03"), (360000, "100:00:00"),
-     (None, None)],
+    [(0, "00:00:00"), (3723, "01:02:03"), (-3725, "-01:02:05"), (3723.9, "01:02:03"),
+     (360000, "100:00:00"), (None, None)],
 )
 def test_seconds_to_hms(spark, value, expected):
     assert one(spark, parsing.seconds_to_hms(F.lit(value).cast("double"))) == expected
