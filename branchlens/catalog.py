@@ -530,8 +530,8 @@ def append_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = pages.where(F.col("ts") < F.expr("TIMESTAMP_NTZ '2024-01-20 00:00:00'"))
     second = pages.where(F.col("ts") >= F.expr("TIMESTAMP_NTZ '2024-01-15 00:00:00'"))
     for load in (first, second):
-        table = attendance.append_entries(spark, landed(load), raw)
-    return table.select("date", "time", "full_name", "entry_type", "duration")
+        attendance.append_entries(spark, landed(load), raw)
+    return attendance.read_raw(spark, raw).select("date", "time", "full_name", "entry_type", "duration")
 
 
 @query

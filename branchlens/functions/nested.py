@@ -71,6 +71,47 @@ def array_struct_or_empty(value: Column, dtype: T.DataType) -> Column:
     return F.coalesce(kept, empty_array("string"))
 
 
+def _splits(name: str) -> list[tuple[str, ...]]:
+    """Every way a flat name may nest: ``a_b_c`` as a.b_c, a_b.c and a.b.c."""
+    parts = name.split("_")
+    out = []
+    for mask in range(1, 1 << (len(parts) - 1)):
+        steps = [parts[0]]
+        for i, part in enumerate(parts[1:]):
+            if mask >> i & 1:
+                steps.append(part)
+            else:
+                steps[-1] += "_" + part
+        out.append(tuple(steps))
+    return out
+
+
+def nesting_parents(names: list[str]) -> list[str]:
+    """Fields under which the value of a flat column may be nested."""
+    parents = {steps[0] for name in names for steps in _splits(name)}
+    return sorted(parents - set(names))
+
+
+def lift_nested(df: DataFrame, names: list[str]) -> DataFrame:
+    """Flat columns, filled from nested records where the record has no such field.
+
+    The parents of :func:`nesting_parents` are variants, so any JSON under
+    their names is read; they are dropped.
+    """
+    parents = set(nesting_parents(names)) & set(df.columns)
+    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+
+    def filled(name: str) -> Column:
+        nested = [
+            F.try_variant_get(F.col(steps[0]), "$." + ".".join(steps[1:]), types[name])
+            for steps in _splits(name)
+            if steps[0] in parents
+        ]
+        return F.coalesce(F.col(name), *nested).alias(name)
+
+    return df.select(*[filled(c) for c in df.columns if c not in parents])
+
+
 def flatten_structs(df: DataFrame, separator: str = "_") -> DataFrame:
     """Nested structs become ``parent_child`` columns; lists stay as they are."""
 

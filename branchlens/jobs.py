@@ -1,9 +1,11 @@
-"""Batch entry points: ``python -m branchlens.jobs <reports|ingest|shards|backfill|time-entries|attendance>``."""
+"""Batch entry points: ``python -m branchlens.jobs <job>``; ``--help`` lists the jobs."""
 
 from __future__ import annotations
 
 import argparse
+import hashlib
 import json
+from collections.abc import Callable
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,14 +15,16 @@ from branchlens.functions import clock
 from branchlens.operators.lookup import store_bounds
 from branchlens.plans import attendance, ingest, reports
 from branchlens.plans.shift_fact import BASELINE_DAYS, shift_fact
-from branchlens.session import build_session, fresh_path
+from branchlens.session import build_session, fresh_path, shared_dir
 from branchlens.sources.report_sink import write_report
 from branchlens.sources.tables import (
     drop_staged,
-    read_or_empty,
+    mark_pull,
+    pull_is_done,
     replace_table,
     require_new_path,
 )
+from branchlens.streaming.upsert import stream_ingest
 
 STORE_COLUMNS = "store_id string, store_name string"
 
@@ -36,16 +40,39 @@ def run_reports(
     spark = shifts.sparkSession
     store_rows, groups = store_bounds(stores)
     paths = {name: fresh_path(spark, name) for name in ("shift_fact", "sales", "shift_items")}
-    facts = replace_table(
-        shift_fact(shifts, stores, as_of, store_rows=store_rows), paths["shift_fact"]
-    )
-    sales = replace_table(reports.receipt_items(receipts, as_of), paths["sales"])
-    sold = replace_table(reports.shift_items(shifts, sales, as_of), paths["shift_items"])
-    built = reports.all_reports(facts, sold, stores, as_of, store_rows, groups)
-    written = {name: write_report(df, folder, name) for name, df in built.items()}
-    for path in paths.values():
-        drop_staged(spark, path)
-    return written
+    try:
+        facts = replace_table(
+            shift_fact(shifts, stores, as_of, store_rows=store_rows), paths["shift_fact"]
+        )
+        sales = replace_table(reports.receipt_items(receipts, as_of), paths["sales"])
+        sold = replace_table(reports.shift_items(shifts, sales, as_of), paths["shift_items"])
+        built = reports.all_reports(facts, sold, stores, as_of, store_rows, groups)
+        return {name: write_report(df, folder, name) for name, df in built.items()}
+    finally:
+        for path in paths.values():
+            drop_staged(spark, path)
+
+
+def _work_path(spark: SparkSession, target: str, pull: str | None) -> str | None:
+    """Where the merge of a named pull is staged; the same in every run of it."""
+    if pull is None:
+        return None
+    table = hashlib.sha256(target.rstrip("/").encode()).hexdigest()[:16]
+    return f"{shared_dir(spark)}/branchlens/work/{table}/{pull}"
+
+
+def _merge_pull(
+    spark: SparkSession, target: str, pull: str | None, merge: Callable[[str | None], None]
+) -> None:
+    """Merge a pull and note it as done, so that a repeated run adds nothing.
+
+    A run that died is repeated from what it staged.
+    """
+    work = _work_path(spark, target, pull)
+    merge(work)
+    mark_pull(spark, target, pull)
+    if work is not None:
+        drop_staged(spark, work)
 
 
 def run_ingest(
@@ -57,34 +84,63 @@ def run_ingest(
     window: tuple[datetime, datetime] | None,
     mode: str = "upsert",
     on_duplicate: str = "error",
+    pull: str | None = None,
 ) -> int:
     """Stage landed records and merge them into the day-partitioned table.
 
-    Returns the number of staged rows; an empty batch merges nothing.
+    Returns the number of staged rows; an empty batch merges nothing, and so
+    does a named pull that was merged before.
     """
-    staged, rows = ingest.stage(spark, entity, landing, staging, window)
+    if pull_is_done(spark, target, pull):
+        return 0
+    staged, rows = ingest.stage(spark, entity, landing, f"{staging}/{entity}", window, pull)
     if rows:
-        ingest.merge_days(spark, entity, staged, target, mode, on_duplicate)
+        _merge_pull(
+            spark, target, pull,
+            lambda work: ingest.merge_days(
+                spark, entity, staged, target, mode, on_duplicate, work
+            ),
+        )
     return rows
 
 
 def run_attendance(
-    spark: SparkSession, raw: DataFrame, current: str, target: str, on_duplicate: str = "error"
+    spark: SparkSession,
+    raw: DataFrame,
+    target: str,
+    on_duplicate: str = "error",
+    pull: str | None = None,
 ) -> None:
-    """Parse raw attendance rows and upsert them into a new version of the final table."""
-    require_new_path(current, target)
-    final = read_or_empty(spark, current, schemas.ATTENDANCE)
+    """Parse raw attendance rows and upsert them into the final table, partitioned by date.
+
+    Takes ``payload, load_dt`` rows or those of the raw time-entry table.
+    """
+    if pull_is_done(spark, target, pull):
+        return
+    if "payload" not in raw.columns:
+        raw = attendance.entry_payloads(raw)
     path = fresh_path(spark, "attendance_staged")
-    staged = attendance.stage_payloads(raw, path)
-    replace_table(attendance.attendance_upsert(final, staged, on_duplicate), target)
-    drop_staged(spark, path)
+    try:
+        staged = attendance.stage_payloads(raw, path)
+        _merge_pull(
+            spark, target, pull,
+            lambda work: attendance.merge_attendance(spark, staged, target, on_duplicate, work),
+        )
+    finally:
+        drop_staged(spark, path)
 
 
 def run_backfill(
-    target: DataFrame, shards: DataFrame, day: str, first: str, last: str, path: str
-) -> DataFrame:
-    """Merge a day range of old shards into a new version of the shift table."""
-    return replace_table(ingest.backfill_shifts(target, shards, day, first, last), path)
+    spark: SparkSession, shards: str, first: str, last: str, target: str
+) -> None:
+    """Add the shifts of a local day range of shards to the day-partitioned shift table."""
+    ingest.backfill_days(spark, spark.read.parquet(shards), ingest.DAY, first, last, target)
+
+
+def run_fix_shards(spark: SparkSession, shards: str, first: str, last: str, fixed: str) -> None:
+    """Write a day range of wide shards, repaired, to a table of its own."""
+    require_new_path(spark, shards, fixed)
+    ingest.rewrite_shards(spark.read.parquet(shards), ingest.DAY, first, last, fixed)
 
 
 def pull_window(kind: str, now: datetime, first: str | None, last: str | None):
@@ -98,52 +154,58 @@ def pull_window(kind: str, now: datetime, first: str | None, last: str | None):
     return None
 
 
-def _arguments() -> argparse.Namespace:
+WINDOWS = ["rolling", "previous-day", "days", "all"]
+
+
+def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--as-of", help="UTC moment in ISO form; now by default")
     jobs = parser.add_subparsers(dest="job", required=True)
 
-    job = jobs.add_parser("reports")
-    for name in ("shifts", "receipts", "stores", "out"):
-        job.add_argument(f"--{name}", required=True)
-
-    job = jobs.add_parser("ingest")
-    job.add_argument("--entity", choices=sorted(schemas.SCHEMAS), required=True)
-    for name in ("landing", "staging", "target"):
-        job.add_argument(f"--{name}", required=True)
-    job.add_argument("--window", choices=["rolling", "previous-day", "days", "all"], default="all")
-    job.add_argument("--first")
-    job.add_argument("--last")
-    job.add_argument("--mode", choices=["upsert", "insert"], default="upsert")
-    job.add_argument("--on-duplicate", choices=["error", "latest"], default="error")
-
-    job = jobs.add_parser("shards")
-    for name in ("landing", "shards"):
-        job.add_argument(f"--{name}", required=True)
-    job.add_argument("--window", choices=["previous-day", "days", "all"], default="previous-day")
-    job.add_argument("--first")
-    job.add_argument("--last")
-
-    job = jobs.add_parser("attendance")
-    for name in ("raw", "current", "target"):
-        job.add_argument(f"--{name}", required=True)
-    job.add_argument("--on-duplicate", choices=["error", "latest"], default="error")
-
-    job = jobs.add_parser("time-entries")
-    for name in ("landing", "raw"):
-        job.add_argument(f"--{name}", required=True)
-
-    job = jobs.add_parser("backfill")
-    for name in ("shards", "current", "target", "first", "last"):
-        job.add_argument(f"--{name}", required=True)
-    return parser.parse_args()
-
-
-def main() -> None:
-    args = _arguments()
+    def job(name: str, *required: str) -> argparse.ArgumentParser:
+        added = jobs.add_parser(name)
+        for option in required:
+            added.add_argument(f"--{option}", required=True)
+        return added
+
+    def pulled(added: argparse.ArgumentParser, window: str | None = None) -> None:
+        added.add_argument("--pull", help="read only <landing>/pull=<name>; merged once")
+        if window is not None:
+            added.add_argument("--window", choices=WINDOWS, default=window)
+            added.add_argument("--first")
+            added.add_argument("--last")
+
+    def merging(added: argparse.ArgumentParser, on_duplicate: str) -> None:
+        added.add_argument("--on-duplicate", choices=["error", "latest"], default=on_duplicate)
+
+    def of_entity(added: argparse.ArgumentParser) -> None:
+        added.add_argument("--entity", choices=sorted(schemas.SCHEMAS), required=True)
+        added.add_argument("--mode", choices=["upsert", "insert"], default="upsert")
+
+    job("reports", "shifts", "receipts", "stores", "out")
+    added = job("ingest", "landing", "staging", "target")
+    of_entity(added)
+    merging(added, "error")
+    pulled(added, "all")
+    added = job("stream", "landing", "target", "work")
+    of_entity(added)
+    merging(added, "latest")
+    pulled(job("shards", "landing", "shards"), "previous-day")
+    job("backfill", "shards", "target", "first", "last")
+    job("fix-shards", "shards", "fixed", "first", "last")
+    pulled(job("time-entries", "landing", "raw"), "days")
+    added = job("attendance", "raw", "target")
+    merging(added, "error")
+    pulled(added)
+    return parser.parse_args(argv)
+
+
+def main(argv: list[str] | None = None) -> None:
+    args = _arguments(argv)
     spark = build_session("branchlens")
     now = datetime.now(timezone.utc)
     as_of = datetime.fromisoformat(args.as_of) if args.as_of else now
+    window = pull_window(args.window, as_of, args.first, args.last) if "window" in args else None
     done: dict[str, object] = {"job": args.job}
     if args.job == "reports":
         horizon = clock.as_utc(as_of) - timedelta(days=BASELINE_DAYS)
@@ -155,24 +217,28 @@ def main() -> None:
             as_of,
         )
     elif args.job == "ingest":
-        window = pull_window(args.window, as_of, args.first, args.last)
         done["rows"] = run_ingest(
             spark, args.entity, args.landing, args.staging, args.target, window,
-            args.mode, args.on_duplicate,
+            args.mode, args.on_duplicate, args.pull,
         )
+    elif args.job == "stream":
+        stream_ingest(
+            spark, args.entity, args.landing, args.target, args.work, args.mode,
+            args.on_duplicate,
+        ).awaitTermination()
     elif args.job == "shards":
-        window = pull_window(args.window, as_of, args.first, args.last)
-        ingest.stage_shards(spark, args.landing, args.shards, window)
-    elif args.job == "attendance":
-        raw = spark.read.parquet(args.raw)
-        run_attendance(spark, raw, args.current, args.target, args.on_duplicate)
+        ingest.stage_shards(spark, args.landing, args.shards, window, pull=args.pull)
+    elif args.job == "backfill":
+        run_backfill(spark, args.shards, args.first, args.last, args.target)
+    elif args.job == "fix-shards":
+        run_fix_shards(spark, args.shards, args.first, args.last, args.fixed)
     elif args.job == "time-entries":
-        attendance.append_entries(spark, args.landing, args.raw)
+        done["rows"] = attendance.append_entries(
+            spark, args.landing, args.raw, window, args.pull, as_of
+        )
     else:
-        shards = spark.read.parquet(args.shards)
-        require_new_path(args.current, args.target)
-        current = spark.read.parquet(args.current)
-        run_backfill(current, shards, ingest.DAY, args.first, args.last, args.target)
+        raw = attendance.read_raw(spark, args.raw, args.pull)
+        run_attendance(spark, raw, args.target, args.on_duplicate, args.pull)
     print(json.dumps(done))
 
 

@@ -111,6 +111,20 @@ def insert_only_by_day(target: DataFrame, shards: DataFrame, key: str, day: str)
     return target.unionByName(fresh)
 
 
+def first_day_rows(shards: DataFrame, key: str, day: str) -> DataFrame:
+    """Of each key the rows of its earliest day; rows without key all stay."""
+    firsts = (
+        shards.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.min(day).alias(_FIRST), F.count("*").alias(_COPIES))
+    )
+    return (
+        join_repeated(shards, firsts, key, "left", _COPIES)
+        .where(F.col(key).isNull() | (F.col(day) == F.col(_FIRST)))
+        .select(*shards.columns)
+    )
+
+
 def merge_metrics(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """``metric, n``: rows on both sides, matched target rows and rows after an upsert."""
     marked = join_unique(target.select(key), _key_copies(source, key), key, "left")

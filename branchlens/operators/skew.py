@@ -6,48 +6,70 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SALT, _HOT = "_salt", "_hot"
-# Rows of one key from which on it is spread, and over how many salts.
+SALT, _PARTS, _N = "_salt", "_parts", "_n"
+# Rows of one key that one task takes; a key with more of them is spread over
+# as many tasks as that makes.
 HOT_COPIES = 1_000_000
-SPREAD = 256
-# Rows a side may have to be broadcast. At well under 1 kB per row this stays
-# below 100 MB per executor.
+# Entries the broadcast list of hot keys may have. With more rows than
+# HOT_COPIES times this, a key must hold one row in HOT_KEYS to be listed.
+HOT_KEYS = 100_000
+# Rows and bytes of text a side may have to be broadcast.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 100_000_000
 
 
-def row_salt(df: DataFrame, parts: int) -> Column:
-    """Salt 0..parts-1 from the row's values and its input partition.
+def _row_hash(df: DataFrame) -> Column:
+    """Hash of the row's values and its input partition.
 
     The values alone would keep exact copies together; the input partition
-    spreads those too. A retried task has the same input, hence the same salts.
+    spreads those too. A retried task has the same input, hence the same hash.
     """
     hashable = [
         F.col(f"`{f.name}`")
         for f in df.schema.fields
         if not isinstance(f.dataType, T.MapType | T.VariantType)
     ]
-    mixed = F.xxhash64(*hashable, F.spark_partition_id())
-    return F.pmod(mixed, F.lit(parts).cast("bigint"))
+    return F.xxhash64(*hashable, F.spark_partition_id())
 
 
-def all_salts(parts: int) -> Column:
-    """One output row per salt, for the small side of a salted join."""
-    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint")))
+def _zero() -> Column:
+    return F.lit(0).cast("bigint")
 
 
-def join_salted(rows: DataFrame, small: DataFrame, key: str, how: str, salt: int) -> DataFrame:
-    """Join rows to a much smaller side with one row per key, repeated per salt."""
-    salted = rows.withColumn(SALT, row_salt(rows, salt))
-    return salted.join(small.withColumn(SALT, all_salts(salt)), [key, SALT], how).drop(SALT)
+def _listed(counts: DataFrame, keys: list[str], copies: str) -> DataFrame:
+    """Keys to spread and over how many salts; ``HOT_KEYS`` entries at most.
 
+    Each listed key holds over one in ``HOT_KEYS`` of all rows, so there are
+    fewer of them than that, however many rows there are.
+    """
+    total = counts.agg(F.coalesce(F.sum(copies), _zero())).scalar()
+    bound = F.greatest(F.lit(HOT_COPIES).cast("double"), total / F.lit(HOT_KEYS))
+    parts = F.ceil(F.col(copies) / F.lit(HOT_COPIES)).cast("bigint")
+    return counts.where(F.col(copies) > bound).select(*keys, parts.alias(_PARTS))
 
-def _null_spread(rows: DataFrame, key: str) -> Column:
-    """0 for real keys; null keys, which never match, go anywhere."""
-    return F.when(F.col(key).isNull(), row_salt(rows, SPREAD)).otherwise(_zero())
 
+def _salted_rows(rows: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with a salt: by hash for listed keys, 0 for others, anything for null keys.
+
+    Null keys never match, so they may go anywhere.
+    """
+    marked = rows.join(F.broadcast(hot), keys, "left")
+    any_null = F.lit(False)
+    for key in keys:
+        any_null = any_null | F.col(key).isNull()
+    salt = (
+        F.when(any_null, _row_hash(rows))
+        .when(F.col(_PARTS).isNotNull(), F.pmod(_row_hash(rows), F.col(_PARTS)))
+        .otherwise(_zero())
+    )
+    return marked.withColumn(SALT, salt).drop(_PARTS)
 
-def _zero() -> Column:
-    return F.lit(0).cast("bigint")
+
+def _repeated(other: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """The other side, once per salt of its key."""
+    marked = other.join(F.broadcast(hot), keys, "left")
+    salts = F.sequence(_zero(), F.coalesce(F.col(_PARTS), F.lit(1).cast("bigint")) - 1)
+    return marked.withColumn(SALT, F.explode(salts)).drop(_PARTS)
 
 
 def join_unique(rows: DataFrame, per_key: DataFrame, key: str, how: str) -> DataFrame:
@@ -56,7 +78,8 @@ def join_unique(rows: DataFrame, per_key: DataFrame, key: str, how: str) -> Data
     ``per_key`` has one row per key and is not repeated. Should some key repeat
     a lot after all, adaptive execution splits its partition.
     """
-    left = rows.withColumn(SALT, _null_spread(rows, key))
+    spread = F.when(F.col(key).isNull(), _row_hash(rows)).otherwise(_zero())
+    left = rows.withColumn(SALT, spread)
     # Exploded, since the planner would fold a constant out of the join key.
     right = per_key.withColumn(SALT, F.explode(F.array(_zero())))
     return left.join(right, [key, SALT], how).drop(SALT)
@@ -68,52 +91,35 @@ def join_repeated(
     """Join rows whose keys may repeat without limit.
 
     ``per_key`` has one row per key and tells in ``copies`` how many rows have
-    it. Rows of a key with over ``HOT_COPIES`` of them are spread over many
-    partitions, and only such keys are repeated per salt. Their list is
-    broadcast: it has at most one entry per ``HOT_COPIES`` rows.
+    it. Rows of a key with over ``HOT_COPIES`` of them are spread over as many
+    partitions as its count asks for, and only such keys are repeated per salt.
     """
-    is_hot = F.col(copies) > HOT_COPIES
-    hot = per_key.where(is_hot).select(key, F.lit(True).alias(_HOT))
-    marked = rows.join(F.broadcast(hot), key, "left")
-    spread = F.when(F.col(_HOT), row_salt(rows, SPREAD)).otherwise(_null_spread(rows, key))
-    salts = F.when(is_hot, F.sequence(_zero(), F.lit(SPREAD - 1).cast("bigint"))).otherwise(
-        F.array(_zero())
-    )
-    left = marked.withColumn(SALT, spread).drop(_HOT)
-    return left.join(per_key.withColumn(SALT, F.explode(salts)), [key, SALT], how).drop(SALT)
+    hot = _listed(per_key, [key], copies)
+    left, right = _salted_rows(rows, hot, [key]), _repeated(per_key, hot, [key])
+    return left.join(right, [key, SALT], how).drop(SALT)
 
 
 def salt_hot_groups(
     rows: DataFrame, other: DataFrame, keys: list[str]
 ) -> tuple[DataFrame, DataFrame]:
-    """Both sides of an inner join on ``keys``, with a salt to join on as well.
+    """Both sides of an inner or left join on ``keys``, with a salt to join on as well.
 
     The rows are counted per key first. Those of a group with over
-    ``HOT_COPIES`` rows are spread, and the other side is repeated for just
-    these groups. Their list is broadcast: at most one entry per ``HOT_COPIES``
-    rows. Null keys never match and are left out.
+    ``HOT_COPIES`` rows are spread by their number, and the other side is
+    repeated for just these groups. Null keys never match and go anywhere.
     """
-    present = rows.dropna(subset=keys)
-    hot = (
-        present.groupBy(*keys)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > HOT_COPIES)
-        .select(*keys, F.lit(True).alias(_HOT))
-    )
+    counts = rows.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias(_N))
+    hot = _listed(counts, keys, _N)
+    return _salted_rows(rows, hot, keys), _repeated(other, hot, keys)
 
-    def marked(side: DataFrame) -> DataFrame:
-        return side.join(F.broadcast(hot), keys, "left").select(*side.columns, _HOT)
-
-    spread = F.when(F.col(_HOT), row_salt(rows, SPREAD)).otherwise(_zero())
-    salts = F.when(F.col(_HOT), F.sequence(_zero(), F.lit(SPREAD - 1).cast("bigint"))).otherwise(
-        F.array(_zero())
-    )
-    left = marked(present).withColumn(SALT, spread).drop(_HOT)
-    right = marked(other).withColumn(SALT, F.explode(salts)).drop(_HOT)
-    return left, right
 
+def bounded_size(df: DataFrame, limit: int = BROADCAST_ROWS) -> int | None:
+    """Row count of a table small enough to broadcast, or None.
 
-def bounded_count(df: DataFrame, limit: int) -> int | None:
-    """Row count of a small table, or None once it passes ``limit``."""
-    rows = df.limit(limit + 1).count()
-    return rows if rows <= limit else None
+    Both its rows and the bytes of its values as text are checked.
+    """
+    text = F.lit(0).cast("bigint")
+    for name in df.columns:
+        text = text + F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0))
+    rows, size = df.limit(limit + 1).agg(F.count("*"), F.sum(text)).first()
+    return rows if rows <= limit and (size or 0) <= BROADCAST_BYTES else None

@@ -344,7 +344,7 @@ SELECT 'rows_after', t + s - m FROM sizes
     "merge_cast_arrays": SHARDS
     + f"""
 , known AS (
-  SELECT 'S' || c_custkey AS id, c_name FROM customer WHERE c_mktsegment = 'BUILDING'
+  SELECT 'S' || (c_custkey * 3) AS id, c_name FROM customer
 ), firsts AS (
   SELECT id, min(ds) AS ds FROM shard GROUP BY id
 )

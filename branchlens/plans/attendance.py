@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+from datetime import datetime, timezone
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,9 +13,18 @@ from branchlens import schemas
 from branchlens.functions import clock, parsing
 from branchlens.operators.merge import upsert
 from branchlens.session import fresh_path
-from branchlens.sources.landing import read_envelopes
-from branchlens.sources.tables import append_table, replace_table
+from branchlens.sources.landing import pull_folder, read_envelopes
+from branchlens.sources.tables import (
+    drop_staged,
+    read_or_empty,
+    refresh_partitions,
+    replace_partitions,
+    replace_table,
+)
 
+# Each load of the raw table is a partition, named after its pull.
+PULL, LOADED = "pull", "load_dt"
+DATE = "date"
 # Keys of a raw attendance payload.
 PAYLOAD_KEYS = (
     "Date", "Full Name", "Group", "EntryType", "Time", "Duration", "Activity", "Kiosk Name",
@@ -59,9 +71,62 @@ def normalise_entries(entries: DataFrame, tz: str = clock.LOCAL_TZ) -> DataFrame
     )
 
 
-def append_entries(spark: SparkSession, landing: str, raw_path: str) -> DataFrame:
-    """Normalise landed time entries and append them to the raw table."""
-    return append_table(normalise_entries(read_entries(spark, landing)), raw_path)
+def entry_moment(entries: DataFrame) -> Column:
+    """UTC instant of a time entry; zone-less text is local time."""
+    names = ("startedAt", "startAt", "endedAt", "endAt")
+    text = parsing.first_filled(*[F.col(n) for n in names])
+    local = clock.to_utc(text.try_cast("timestamp_ntz"))
+    return F.when(parsing.has_zone(text), parsing.coerce_timestamp(text)).otherwise(local)
+
+
+def append_entries(
+    spark: SparkSession,
+    landing: str,
+    raw_path: str,
+    window: tuple[datetime, datetime] | None = None,
+    pull: str | None = None,
+    loaded: datetime | None = None,
+) -> int:
+    """Normalise landed time entries and add them to the raw table; also their number.
+
+    Nothing is deduplicated. Each load is one partition of the table: loading a
+    named pull again replaces its rows, a load without a name always adds.
+    ``window`` keeps entries whose moment lies in it, both ends included.
+    ``load_dt`` is the moment of the load in UTC. Without entries nothing is written.
+    """
+    entries = read_entries(spark, pull_folder(landing, pull))
+    if window is not None:
+        start, end = (clock.ntz_literal(m) for m in window)
+        entries = entries.where(entry_moment(entries).between(start, end))
+    moment = loaded or datetime.now(timezone.utc)
+    counted = Observation()
+    rows = (
+        normalise_entries(entries)
+        .withColumn(LOADED, clock.ntz_literal(moment))
+        .withColumn(PULL, F.lit(pull or uuid.uuid4().hex))
+        .observe(counted, F.count(F.lit(1)).alias("rows"))
+    )
+    replace_partitions(rows, raw_path, PULL)
+    return counted.get["rows"]
+
+
+def read_raw(spark: SparkSession, raw_path: str, pull: str | None = None) -> DataFrame:
+    """Raw rows of :func:`append_entries`; of one pull only its partition is read."""
+    raw = spark.read.schema(schemas.RAW_ENTRY).parquet(raw_path)
+    return raw if pull is None else raw.where(F.col(PULL) == F.lit(pull))
+
+
+def entry_payloads(raw: DataFrame) -> DataFrame:
+    """Raw time entries as ``payload, load_dt``, the shape the merge reads.
+
+    An assumption: each payload key takes the flat field of the same meaning.
+    """
+    fields = (
+        "date", "full_name", "group_name", "entry_type", "time", "duration", "activity_name",
+        "kiosk_name", "created_on", "last_edited_on",
+    )
+    named = [F.col(f).alias(key) for f, key in zip(fields, PAYLOAD_KEYS, strict=True)]
+    return raw.select(F.to_json(F.struct(*named)).alias("payload"), LOADED)
 
 
 def parse_payloads(raw: DataFrame, tz: str = clock.LOCAL_TZ) -> DataFrame:
@@ -109,3 +174,35 @@ def attendance_upsert(
     last update of a repeated key, the default refuses it.
     """
     return upsert(target, staged, schemas.MERGE_KEYS["attendance"], on_duplicate, "updated_at")
+
+
+def merge_attendance(
+    spark: SparkSession,
+    staged: DataFrame,
+    target_path: str,
+    on_duplicate: str = "error",
+    work_path: str | None = None,
+) -> None:
+    """Upsert staged attendance rows into the final table, partitioned by date.
+
+    Only the dates of the batch and those that hold its keys are rewritten.
+    """
+    staging = work_path or fresh_path(spark, "attendance_merged")
+    try:
+        refresh_partitions(
+            spark,
+            target_path,
+            staged,
+            schemas.MERGE_KEYS["attendance"],
+            DATE,
+            lambda target, source: attendance_upsert(target, source, on_duplicate),
+            staging,
+        )
+    finally:
+        if work_path is None:
+            drop_staged(spark, staging)
+
+
+def read_attendance(spark: SparkSession, path: str) -> DataFrame:
+    """The final table with its columns in their order."""
+    return read_or_empty(spark, path, schemas.ATTENDANCE)

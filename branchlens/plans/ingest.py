@@ -17,10 +17,11 @@ from branchlens.functions.nested import (
     array_to_json_strings,
     empty_array,
     flatten_structs,
+    lift_nested,
 )
-from branchlens.operators.merge import insert_only, insert_only_by_day, upsert
+from branchlens.operators.merge import first_day_rows, insert_only, insert_only_by_day, upsert
 from branchlens.session import fresh_path
-from branchlens.sources.landing import read_envelopes
+from branchlens.sources.landing import pull_folder, read_envelopes
 from branchlens.sources.tables import (
     day_shards,
     drop_staged,
@@ -29,11 +30,14 @@ from branchlens.sources.tables import (
     replace_partitions,
     replace_table,
     require_new_path,
+    require_partitioned,
 )
 
-# When a record came to be; never changes for a key, so it also places the
-# record in its day partition.
+# When a record came to be; its UTC day is the partition it lies in. Shards
+# lie under the local day instead and are placed anew by the back-fill.
 MOMENT = {"receipts": "created_at", "shifts": "opened_at"}
+# What tells the later of two copies of a record: an open shift has no closing time.
+UPDATED = {"receipts": "updated_at", "shifts": "closed_at"}
 DAY = "ds"
 
 
@@ -51,10 +55,15 @@ def landed_records(
 ) -> DataFrame:
     """Landed records flattened and projected onto a fixed schema.
 
-    ``record`` describes the raw records where they nest differently.
+    ``record`` describes the raw records where they nest differently. Without
+    it, a column may be nested in any way its name allows.
     """
-    raw = read_envelopes(spark, path, key, record or schemas.landing_schema(schema))
-    return schemas.conform(flatten_structs(raw), schema)
+    raw = read_envelopes(spark, path, key, record or schemas.record_schema(schema))
+    return conformed_records(raw, schema)
+
+
+def conformed_records(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    return schemas.conform(lift_nested(flatten_structs(raw), schema.fieldNames()), schema)
 
 
 def stage(
@@ -63,13 +72,15 @@ def stage(
     landing: str,
     staging: str,
     window: tuple[datetime, datetime] | None = None,
+    pull: str | None = None,
 ) -> tuple[DataFrame, int]:
     """Replace the staging table of ``entity`` by its landed records; also their number.
 
-    The rows are counted while they are written.
+    Only the pages of ``pull`` are read, when it is named. The rows are counted
+    while they are written.
     """
     schema = schemas.SCHEMAS[entity]
-    records = landed_records(spark, landing, entity, schema)
+    records = landed_records(spark, pull_folder(landing, pull), entity, schema)
     if window is not None:
         records = window_filter(records, window, MOMENT[entity])
     loaded = Observation()
@@ -83,14 +94,16 @@ def stage_shards(
     path: str,
     window: tuple[datetime, datetime] | None = None,
     tz: str = clock.LOCAL_TZ,
+    pull: str | None = None,
 ) -> DataFrame:
     """Older shift staging: one partition per local day, replaced as a whole.
 
     Only the days of the landed records are overwritten. Here ``taxes`` are
     numbers, and ``cash_movements`` count only if all of them are objects.
     """
-    record = schemas.landing_schema(schemas.SHIFTS)
-    raw = flatten_structs(read_envelopes(spark, landing, "shifts", record))
+    record = schemas.record_schema(schemas.SHIFTS)
+    pages = read_envelopes(spark, pull_folder(landing, pull), "shifts", record)
+    raw = lift_nested(flatten_structs(pages), schemas.SHIFTS.fieldNames())
     repaired = raw.withColumns(
         {
             "taxes": array_int_or_empty(F.col("taxes"), raw.schema["taxes"].dataType),
@@ -109,12 +122,11 @@ def stage_shards(
 
 def _merge(entity: str, mode: str, on_duplicate: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
     key = schemas.MERGE_KEYS[entity]
-    order_by = "updated_at" if entity == "receipts" else MOMENT[entity]
 
     def merged(target: DataFrame, source: DataFrame) -> DataFrame:
         if mode == "insert":
             return insert_only(target, source, key)
-        return upsert(target, source, key, on_duplicate, order_by)
+        return upsert(target, source, key, on_duplicate, UPDATED[entity])
 
     return merged
 
@@ -130,22 +142,30 @@ def merge_days(
 ) -> None:
     """Merge a staged batch into a day-partitioned table, creating it if absent.
 
-    Only the days in the batch are read and rewritten. ``mode="insert"`` leaves
-    existing rows alone. A caller that may repeat the batch names a ``work_path``
-    and drops it when the batch is done for good.
+    Keys match wherever they are: the days in the batch and those that hold its
+    keys are rewritten, of the others only key and day are read. ``mode="insert"``
+    leaves existing rows alone. A caller that may repeat the batch names a
+    ``work_path`` and drops it when the batch is done for good.
     """
-    day = F.to_date(MOMENT[entity])
     staging = work_path or fresh_path(spark, f"{entity}_merged")
-    refresh_partitions(
-        spark,
-        target_path,
-        staged.withColumn(DAY, day),
-        DAY,
-        _merge(entity, mode, on_duplicate),
-        staging,
-    )
-    if work_path is None:
-        drop_staged(spark, staging)
+    try:
+        refresh_partitions(
+            spark,
+            target_path,
+            with_day(staged, entity),
+            schemas.MERGE_KEYS[entity],
+            DAY,
+            _merge(entity, mode, on_duplicate),
+            staging,
+        )
+    finally:
+        if work_path is None:
+            drop_staged(spark, staging)
+
+
+def with_day(records: DataFrame, entity: str) -> DataFrame:
+    """Records with the day partition they belong to."""
+    return records.withColumn(DAY, F.to_date(MOMENT[entity]))
 
 
 def merge_table(
@@ -162,7 +182,7 @@ def merge_table(
     For tables without day partitions. The target is a new path, since Parquet
     cannot be overwritten while it is read.
     """
-    require_new_path(current, target)
+    require_new_path(spark, current, target)
     rows = read_or_empty(spark, current, schemas.SCHEMAS[entity])
     return replace_table(_merge(entity, mode, on_duplicate)(rows, staged), target)
 
@@ -176,8 +196,9 @@ def read_days(
     before the moment itself remain.
     """
     schema = schemas.SCHEMAS[entity]
-    with_day = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
-    table = read_or_empty(spark, path, with_day)
+    require_partitioned(spark, path, DAY)
+    stored = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
+    table = read_or_empty(spark, path, stored)
     if since is not None:
         table = table.where(F.col(DAY) >= F.lit(clock.as_utc(since).date()))
     return table.select(*schema.fieldNames())
@@ -234,3 +255,26 @@ def backfill_shifts(
     """
     days = normalise_shards(day_shards(shards, day, first, last))
     return insert_only_by_day(target, days, key, day)
+
+
+def backfill_days(
+    spark: SparkSession,
+    shards: DataFrame,
+    day: str,
+    first: str,
+    last: str,
+    target_path: str,
+    work_path: str | None = None,
+) -> None:
+    """As :func:`backfill_shifts`, into the day-partitioned shift table, creating it if absent.
+
+    The range and the earliest day of an id go by the shard's local day; the
+    rows are stored under the UTC day, like those of an ingest.
+    """
+    firsts_path = fresh_path(spark, "shard_firsts")
+    rows = first_day_rows(normalise_shards(day_shards(shards, day, first, last)), "id", day)
+    try:
+        firsts = replace_table(schemas.conform(rows, schemas.SHIFTS), firsts_path)
+        merge_days(spark, "shifts", firsts, target_path, "insert", work_path=work_path)
+    finally:
+        drop_staged(spark, firsts_path)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from branchlens.functions.clock import instant_to_utc
-from branchlens.functions.nested import array_to_json_strings
+from branchlens.functions.nested import array_to_json_strings, nesting_parents
 from branchlens.functions.parsing import coerce_timestamp
 
 _TEXTS = T.ArrayType(T.StringType())
@@ -79,6 +79,15 @@ TIME_ENTRY = T.StructType(
     + columns(T.DoubleType(), "durationSeconds")
     + strings("createdAt updatedAt lastEditedOn")
 )
+# The raw attendance table: flat entry fields, the load, its partition.
+RAW_ENTRY = T.StructType(
+    strings(
+        "date full_name group_name entry_type time duration activity_name kiosk_name created_on "
+        "last_edited_on raw_payload"
+    )
+    + times("load_dt")
+    + strings("pull")
+)
 # Merge key per entity.
 MERGE_KEYS = {"receipts": "receipt_number", "shifts": "id", "attendance": "attn_id"}
 SCHEMAS = {"receipts": RECEIPTS, "shifts": SHIFTS}
@@ -104,6 +113,14 @@ def landing_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, relaxed(f.dataType)) for f in schema.fields])
 
 
+def record_schema(schema: T.StructType) -> T.StructType:
+    """:func:`landing_schema` and the fields that may nest its columns, as variants."""
+    parents = nesting_parents(schema.fieldNames())
+    return T.StructType(
+        [*landing_schema(schema).fields, *[T.StructField(p, T.VariantType()) for p in parents]]
+    )
+
+
 def _conformed(df: DataFrame, field: T.StructField) -> Column:
     present = field.name in df.columns
     value = F.col(f"`{field.name}`") if present else F.lit(None)

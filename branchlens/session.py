@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -45,7 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
     base = _checkpoint_dir(spark)
     if base:
         return base.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     app = spark.conf.get("spark.app.id")
     if app not in _local_dirs:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +28,36 @@ def explode_envelopes(pages: DataFrame, key: str) -> DataFrame:
     return records
 
 
+def pull_folder(landing: str, pull: str | None) -> str:
+    """Folder of one pull, ``<landing>/pull=<name>``; without a name the whole folder.
+
+    Only that folder is listed and read, however long the landing history is.
+    """
+    if pull is None:
+        return landing
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9_.-]*", pull):
+        raise ValueError(f"not a pull name: {pull}")
+    return f"{landing.rstrip('/')}/pull={pull}"
+
+
+def checked_schema(schema: T.StructType) -> T.StructType:
+    """``schema`` with the column that takes lines which could not be read."""
+    return T.StructType([*schema.fields, T.StructField(_BROKEN, T.StringType())])
+
+
+CHECKED = {"columnNameOfCorruptRecord": _BROKEN}
+
+
+def refuse_broken(lines: DataFrame) -> DataFrame:
+    """Lines read with :func:`checked_schema` and ``CHECKED``; raises on one that is no JSON.
+
+    Spark also marks lines where it could not convert a field; those parse.
+    """
+    broken = F.col(_BROKEN).isNotNull() & F.try_parse_json(_BROKEN).isNull()
+    refuse = F.raise_error(F.concat(F.lit("landed page is no JSON: "), F.col(_BROKEN)))
+    return lines.where(F.when(broken, refuse.cast("boolean")).otherwise(True)).drop(_BROKEN)
+
+
 def read_envelopes(
     spark: SparkSession, path: str, key: str, record: T.DataType
 ) -> DataFrame:
@@ -34,13 +66,5 @@ def read_envelopes(
     A line that is no JSON raises instead of vanishing with all its records; a
     single field of the wrong type only becomes null.
     """
-    schema = envelope_schema(key, record).add(_BROKEN, T.StringType())
-    pages = (
-        spark.read.schema(schema).option("columnNameOfCorruptRecord", _BROKEN).json(path)
-    )
-    # Spark also marks pages where it could not convert a field; those parse.
-    broken = F.col(_BROKEN).isNotNull() & F.try_parse_json(_BROKEN).isNull()
-    refuse = F.raise_error(F.concat(F.lit("landed page is no JSON: "), F.col(_BROKEN)))
-    return explode_envelopes(
-        pages.where(F.when(broken, refuse.cast("boolean")).otherwise(True)), key
-    )
+    pages = spark.read.schema(checked_schema(envelope_schema(key, record))).options(**CHECKED)
+    return explode_envelopes(refuse_broken(pages.json(path)), key)

@@ -9,7 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from branchlens import schemas
 from branchlens.operators.merge import insert_only, upsert
+from branchlens.plans import ingest
+from branchlens.sources.landing import (
+    CHECKED,
+    checked_schema,
+    envelope_schema,
+    explode_envelopes,
+    refuse_broken,
+)
 from branchlens.sources.tables import drop_staged, refresh_partitions
 
 
@@ -29,7 +38,9 @@ def stream_upsert(
 ) -> StreamingQuery:
     """Start merging all landed JSON files not seen before; the query ends by itself.
 
-    Each micro-batch rewrites only the partitions it touches. Batches are
+    ``schema`` is that of a landed line, ``prepare`` makes table rows of such
+    lines. A line that is no JSON stops the query. Files may lie in folders per
+    pull. Each micro-batch rewrites only the partitions it touches. Batches are
     staged under their number, so a batch replayed after a failure publishes
     the rows already staged instead of merging twice. ``work_path`` must be the
     same in every run: it holds the stream's checkpoint. ``mode="insert"`` adds
@@ -48,12 +59,13 @@ def stream_upsert(
     def write(batch: DataFrame, number: int) -> None:
         # A batch starts only after the one before is committed for good.
         drop_staged(batch.sparkSession, staged(number - 1))
-        rows = prepare(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = prepare(refuse_broken(batch)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             refresh_partitions(
                 batch.sparkSession,
                 target_path,
                 rows,
+                key,
                 partition_by,
                 merge,
                 staged(number),
@@ -62,7 +74,9 @@ def stream_upsert(
             rows.unpersist()
 
     return (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(checked_schema(schema))
+        .options(**CHECKED)
+        .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)
         .json(landing)
         .writeStream.foreachBatch(write)
@@ -70,3 +84,40 @@ def stream_upsert(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def stream_ingest(
+    spark: SparkSession,
+    entity: str,
+    landing: str,
+    target_path: str,
+    work_path: str,
+    mode: str = "upsert",
+    on_duplicate: str = "latest",
+    files_per_batch: int = 1_000,
+) -> StreamingQuery:
+    """Merge landed API pages of ``entity`` into its day-partitioned table.
+
+    Overlapping pulls may fall into one batch, so the later copy of a record is
+    kept by default.
+    """
+    schema = schemas.SCHEMAS[entity]
+
+    def prepare(pages: DataFrame) -> DataFrame:
+        records = ingest.conformed_records(explode_envelopes(pages, entity), schema)
+        return ingest.with_day(records, entity)
+
+    return stream_upsert(
+        spark,
+        landing,
+        envelope_schema(entity, schemas.record_schema(schema)),
+        target_path,
+        schemas.MERGE_KEYS[entity],
+        ingest.DAY,
+        work_path,
+        prepare,
+        mode,
+        on_duplicate,
+        ingest.UPDATED[entity],
+        files_per_batch,
+    )

@@ -148,14 +148,70 @@ def test_replayed_batch_publishes_the_same_rows(spark, tmp_path):
     assert ingest.read_days(spark, "receipts", target).count() == 2
 
 
-def test_many_partitions_fall_back_to_a_join(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(tables, "LISTED_PARTITIONS", 1)
-    target = spark.createDataFrame([("a", 1), ("b", 2), ("c", None)], "k string, p int")
-    source = spark.createDataFrame([("z", 1), ("z", None)], "k string, p int")
-    want = {("a", 1): 1, ("c", None): 1}
-    assert bag(tables.touched_partitions(target, source, "p")) == want
-    monkeypatch.setattr(tables, "LISTED_PARTITIONS", 10)
-    assert bag(tables.touched_partitions(target, source, "p")) == want
+def test_touched_days_are_found_by_key(spark, tmp_path):
+    target = spark.createDataFrame(
+        [("a", 1), ("b", 2), ("c", None), (None, 3), ("d", 4)], "k string, p int"
+    )
+    source = spark.createDataFrame([("z", 1), ("d", None), (None, 7)], "k string, p int")
+    days = tables.touched_days(target, source, "k", "p")
+    assert bag(days, "p") == {(1,): 1, (None,): 1, (7,): 1, (4,): 1}
+    got = tables.in_partitions(target, days, "p")
+    assert bag(got) == {("a", 1): 1, ("c", None): 1, ("d", 4): 1}
+    none = tables.in_partitions(target, days.where("p = 1"), "p")
+    assert bag(none) == {("a", 1): 1}
+
+
+def test_untouched_days_stay_unread(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.range(40).selectExpr("cast(id as string) k", "id v", "cast(id % 8 as int) p")
+    table = tables.replace_table(rows, path, "p")
+    source = spark.createDataFrame([("1", 5, 1)], "k string, v long, p int")
+    found = tables.touched_days(table, source, "k", "p")
+    assert "ReadSchema: struct<k:string>" in plan(found)
+    days = tables.replace_table(found, str(tmp_path / "days"))
+    kept = tables.in_partitions(table, days, "p")
+    assert "dynamicpruning" in plan(kept)
+    assert kept.count() == 5
+
+
+@pytest.mark.parametrize("mode", ["upsert", "insert"])
+def test_a_key_may_move_to_another_day(spark, tmp_path, mode):
+    target = str(tmp_path / "target")
+    ingest.merge_days(spark, "receipts", receipts(
+        spark, [("a", "2024-01-01", 1.0), ("b", "2024-01-02", 2.0), ("c", "2024-01-03", 3.0),
+                ("d", "2024-01-03", 4.0)],
+    ), target)
+    moved = receipts(spark, [("a", "2024-01-05", 10.0), ("c", "no time", 30.0)])
+    ingest.merge_days(spark, "receipts", moved, target, mode)
+    got = bag(ingest.read_days(spark, "receipts", target), "receipt_number", "total_money")
+    new = {("a", 10.0): 1, ("c", 30.0): 1} if mode == "upsert" else {("a", 1.0): 1, ("c", 3.0): 1}
+    assert got == {("b", 2.0): 1, ("d", 4.0): 1, **new}
+    # A day that lost all its rows is gone.
+    assert (tmp_path / "target" / "ds=2024-01-01").exists() == (mode == "insert")
+
+
+def test_tables_of_another_layout_are_refused(spark, tmp_path):
+    path = str(tmp_path / "flat")
+    batch = receipts(spark, [("a", "2024-01-01", 1.0)])
+    batch.write.parquet(path)
+    with pytest.raises(ValueError, match="not partitioned by ds"):
+        ingest.merge_days(spark, "receipts", batch, path)
+    with pytest.raises(ValueError, match="not partitioned by ds"):
+        ingest.read_days(spark, "receipts", path)
+
+
+def test_nested_records_fill_flat_columns(spark, tmp_path):
+    pages = [{"receipts": [
+        {"receipt_number": "1", "customer": {"id": "C9"}, "total": {"money": 4.5},
+         "points": {"earned": 3}, "line": {"items": [{"n": 1}]}},
+        {"receipt_number": "2", "customer_id": "flat", "customer": {"id": "C9"}},
+        {"receipt_number": "3", "customer": "text", "points": [1]},
+    ]}]
+    staged, _ = ingest.stage(spark, "receipts", land(tmp_path / "in", pages), str(tmp_path / "s"))
+    got = {r.receipt_number: r for r in staged.collect()}
+    assert (got["1"].customer_id, got["1"].total_money, got["1"].points_earned) == ("C9", 4.5, 3)
+    assert got["1"].line_items == ['{"n":1}']
+    assert (got["2"].customer_id, got["3"].customer_id) == ("flat", None)
 
 
 def test_merge_table_creates_the_target(spark, tmp_path):
@@ -229,6 +285,8 @@ def test_a_table_is_never_written_over_itself(spark, tmp_path):
     ingest.merge_table(spark, "receipts", batch, str(tmp_path / "absent"), path)
     with pytest.raises(ValueError, match="being read"):
         ingest.merge_table(spark, "receipts", batch, path, path + "/")
+    with pytest.raises(ValueError, match="being read"):
+        ingest.merge_table(spark, "receipts", batch, path, "file:" + path)
     assert spark.read.parquet(path).count() == 1
 
 
