@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from branchlens import fixtures as fx
+from branchlens import jobs
 from branchlens.functions import clock, nested, parsing
 from branchlens.functions.sql import LOCAL_TIMESTAMP, SECONDS, register_functions
 from branchlens.operators import baseline, lookup, merge
@@ -24,7 +25,7 @@ from branchlens.session import fresh_path
 from branchlens.sources import report_sink
 from branchlens.sources.landing import read_envelopes
 from branchlens.sources.tables import replace_table
-from branchlens.streaming.upsert import stream_upsert
+from branchlens.streaming.upsert import stream_ingest, stream_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -361,6 +362,7 @@ def _receipt_columns(staged: DataFrame) -> DataFrame:
             "updated_at",
             "total_money",
             "points_earned",
+            "customer_id",
             "note",
             F.size("line_items").alias("items"),
             F.size("payments").alias("payments"),
@@ -384,18 +386,120 @@ def ingest_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _receipt_columns(staged)
 
 
+# Two overlapping pulls of the events' month.
+PULLS = {
+    "first": ("2024-01-01 00:00:00", "2024-01-20 00:00:00"),
+    "second": ("2024-01-15 00:00:00", "2024-02-01 00:00:00"),
+}
+
+
+def between(column: str, first: str, last: str) -> Column:
+    moment = F.col(column)
+    return (moment >= F.expr(f"TIMESTAMP_NTZ '{first}'")) & (
+        moment < F.expr(f"TIMESTAMP_NTZ '{last}'")
+    )
+
+
+def _movement_columns(shifts: DataFrame) -> DataFrame:
+    return shown(
+        shifts.select(
+            "id",
+            "store_id",
+            "opened_at",
+            nested.json_array_sum(F.col("cash_movements"), "money_amount").alias("moved"),
+        )
+    )
+
+
 @query
-def pos_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two overlapping pulls: landed, staged and upserted into a day-partitioned table."""
+def backfill_then_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily shards of the first pull back-filled, then the second pull upserted by the job."""
+    target, landing = fresh_path(spark, "shifts"), fresh_path(spark, "landing")
+    shards = fresh_path(spark, "shards")
+    for pull, (first, last) in PULLS.items():
+        pages = fx.shift_pages(spark, sf_dir, int(pull == "second")).where(
+            between("ts", first, last)
+        )
+        pages.select("value").write.text(f"{landing}/pull={pull}")
+    ingest.stage_shards(spark, landing, shards, pull="first")
+    jobs.run_backfill(spark, shards, "2024-01-01", "2024-01-31", target)
+    jobs.run_ingest(
+        spark, "shifts", landing, fresh_path(spark, "staging"), target, None, pull="second"
+    )
+    return _movement_columns(ingest.read_days(spark, "shifts", target))
+
+
+@query
+def upsert_moved_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Receipts since the 20th come again: clicks a day later, errors without a moment."""
     target = fresh_path(spark, "receipts")
-    for first, last, added in (("2024-01-01", "2024-01-20", 0), ("2024-01-15", "2024-02-01", 1)):
-        pages = fx.receipt_pages(spark, sf_dir, added).where(
-            (F.col("ts") >= F.lit(first).cast("timestamp_ntz"))
-            & (F.col("ts") < F.lit(last).cast("timestamp_ntz"))
+    late = F.col("event_type")
+    receipts = fx.table(spark, sf_dir, "events").select(
+        F.concat(F.lit("R"), F.col("event_id")).alias("receipt_number"),
+        F.col("ts").alias("created_at"),
+        F.col("value").alias("total_money"),
+        late.alias("note"),
+    )
+    since = F.col("created_at") >= F.expr("TIMESTAMP_NTZ '2024-01-20 00:00:00'")
+    moved = receipts.where(since).withColumns(
+        {
+            "created_at": F.when(F.col("note") == "click", F.col("created_at") + F.expr("INTERVAL 1 DAY"))
+            .when(F.col("note") != "error", F.col("created_at")),
+            "total_money": F.col("total_money") + 1,
+        }
+    )
+    for batch in (receipts, moved):
+        staged = replace_table(conform(batch, RECEIPTS), fresh_path(spark, "batch"))
+        ingest.merge_days(spark, "receipts", staged, target)
+    table = ingest.read_days(spark, "receipts", target)
+    return shown(table.select("receipt_number", "created_at", "total_money"))
+
+
+@query
+def stream_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping pulls of receipt pages, each followed by an available-now run."""
+    target, landing = fresh_path(spark, "receipts"), fresh_path(spark, "landing")
+    work = fresh_path(spark, "stream")
+    for pull, (first, last) in PULLS.items():
+        pages = fx.receipt_pages(spark, sf_dir, int(pull == "second")).where(
+            between("ts", first, last)
+        )
+        pages.select("value").write.text(f"{landing}/pull={pull}")
+        stream_ingest(spark, "receipts", landing, target, work, on_duplicate="error").awaitTermination()
+    table = ingest.read_days(spark, "receipts", target)
+    return shown(table.select("receipt_number", "created_at", "total_money", "customer_id"))
+
+
+@query
+def attendance_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time-entry pages of two overlapping pulls to the raw table and on, each job run twice."""
+    landing, raw = fresh_path(spark, "landing"), fresh_path(spark, "raw_attendance")
+    target = fresh_path(spark, "attendance")
+    for pull, (first, last) in PULLS.items():
+        pages = fx.time_entry_pages(spark, sf_dir).where(between("ts", first, last))
+        pages.select("value").write.text(f"{landing}/pull={pull}")
+        for _ in range(2):
+            attendance.append_entries(spark, landing, raw, pull=pull, loaded=fx.AS_OF)
+            loaded = attendance.read_raw(spark, raw, pull)
+            jobs.run_attendance(spark, loaded, target, "latest", pull)
+    table = attendance.read_attendance(spark, target)
+    return shown(
+        table.select("attn_id", "date", "full_name", "group", "time_ts", "duration_sec")
+    )
+
+
+@query
+def pos_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping pulls in one landing folder, each ingested by the job, the second twice."""
+    target, landing = fresh_path(spark, "receipts"), fresh_path(spark, "landing")
+    staging = fresh_path(spark, "staging")
+    for pull, (first, last) in PULLS.items():
+        pages = fx.receipt_pages(spark, sf_dir, int(pull == "second")).where(
+            between("ts", first, last)
         )
-        staged, rows = ingest.stage(spark, "receipts", landed(pages), fresh_path(spark, "staging"))
-        if rows:
-            ingest.merge_days(spark, "receipts", staged, target)
+        pages.select("value").write.text(f"{landing}/pull={pull}")
+    for pull in ("first", "second", "second"):
+        jobs.run_ingest(spark, "receipts", landing, staging, target, None, pull=pull)
     return shown(
         ingest.read_days(spark, "receipts", target).select(
             "receipt_number",

@@ -16,12 +16,13 @@ def empty_array(element: str) -> Column:
 def json_array_sum(documents: Column, field: str, tolerant: bool = False) -> Column:
     """Sum of one numeric field over an array of JSON documents, within the row.
 
-    Missing fields count as nothing; null or empty arrays give 0. A malformed
-    number raises under ANSI mode unless ``tolerant``.
+    Missing fields, objects and lists count as nothing; null or empty arrays
+    give 0. A malformed number raises under ANSI mode unless ``tolerant``.
     """
 
     def number(document: Column) -> Column:
-        text = F.get_json_object(document, f"$.{field}")
+        found = F.get_json_object(document, f"$.{field}")
+        text = F.when(~found.rlike(r"^[{\[]"), found)
         value = text.try_cast("double") if tolerant else text.cast("double")
         return F.coalesce(value, F.lit(0.0))
 

@@ -28,10 +28,21 @@ def has_zone(text: Column) -> Column:
 def json_texts(payload: Column, keys: tuple[str, ...]) -> Column:
     """Struct of the scalar texts under top-level keys, parsed in one go.
 
-    Keys may contain spaces; a missing key or a malformed payload gives null.
+    Keys may contain spaces; a missing key, an object or list under it, or a
+    malformed payload gives null.
     """
     schema = T.StructType([T.StructField(key, T.StringType()) for key in keys])
-    return F.from_json(payload, schema)
+    texts = F.from_json(payload, schema)
+    # Only a text that looks like an object or a list is parsed a second time.
+    parsed = F.try_parse_json(payload)
+
+    def scalar(key: str) -> Column:
+        text = texts.getField(key)
+        value = F.try_variant_get(parsed, f"$['{key}']", "variant")
+        nested = F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)")
+        return F.when(text.rlike(r"^[{\[]") & nested, F.lit(None)).otherwise(text).alias(key)
+
+    return F.when(texts.isNotNull(), F.struct(*[scalar(key) for key in keys]))
 
 
 def attendance_key(

@@ -168,7 +168,7 @@ STAGED = (
 SELECT receipt_number, CAST(NULL AS VARCHAR) AS receipt_type,
        '2024-01-01 00:00:' || lpad(CAST(turn AS VARCHAR), 2, '0') || '.000000' AS created_at,
        CAST(NULL AS VARCHAR) AS updated_at, CAST(length(line) AS DOUBLE) AS total_money,
-       CAST(NULL AS BIGINT) AS points_earned, line AS note, CAST(1 AS BIGINT) AS items,
+       CAST(NULL AS BIGINT) AS points_earned, {customer} AS customer_id, line AS note, CAST(1 AS BIGINT) AS items,
        CAST(0 AS BIGINT) AS payments, line AS item_name, true AS keeps_null
 FROM named
 """
@@ -381,8 +381,54 @@ FROM events
 SELECT receipt_number, CAST(conv_id AS VARCHAR) AS customer_id, role AS customer_group_kind,
        CAST(1 AS BIGINT) AS line_items FROM named
 """,
-    "schema_project": STAGED,
-    "ingest_stage": STAGED,
+    "schema_project": STAGED.format(customer="CAST(NULL AS VARCHAR)"),
+    "ingest_stage": STAGED.format(customer="CAST(conv_id AS VARCHAR)"),
+    "backfill_then_ingest": f"""
+SELECT 'S' || event_id AS id, CAST(user_id % 30 AS VARCHAR) AS store_id, {_t('ts')} AS opened_at,
+       round(CASE WHEN ts >= TIMESTAMP '2024-01-15' THEN value + 1
+                  WHEN event_type = 'error' THEN 0 ELSE value END, 6) AS moved
+FROM events
+""",
+    "upsert_moved_day": f"""
+WITH moved AS (
+  SELECT *, ts >= TIMESTAMP '2024-01-20' AS late FROM events
+), placed AS (
+  SELECT *, CASE WHEN late AND event_type = 'error' THEN NULL
+                 WHEN late AND event_type = 'click' THEN ts + INTERVAL 1 DAY ELSE ts END AS moment
+  FROM moved
+)
+SELECT 'R' || event_id AS receipt_number, {_t('moment')} AS created_at,
+       round(value + CASE WHEN late THEN 1 ELSE 0 END, 6) AS total_money
+FROM placed
+""",
+    "stream_envelopes": f"""
+SELECT 'R' || event_id AS receipt_number, {_t('ts')} AS created_at,
+       round(value + CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 0 ELSE 1 END, 6) AS total_money,
+       CAST(user_id AS VARCHAR) AS customer_id
+FROM events
+""",
+    "attendance_pipeline": ENTRY
+    + f"""
+, named AS (
+  SELECT *, strftime(lts, '%Y-%m-%d') AS day, CAST(user_id % 30 AS VARCHAR) AS store,
+         date_trunc('second', ts) AS moment,
+         CASE WHEN event_id % 50 <> 0
+              THEN 'Customer#' || lpad(CAST(user_id AS VARCHAR), 9, '0') END AS who
+  FROM entries
+), keyed AS (
+  SELECT *, sha256(day || '|' || who || '|' || event_type || '|' || strftime(lts, '%H:%M:%S')
+                   || '|') AS attn_id
+  FROM named
+), nameless AS (
+  SELECT * FROM keyed WHERE who IS NULL AND ts < TIMESTAMP '2024-01-20' UNION ALL
+  SELECT * FROM keyed WHERE who IS NULL AND ts >= TIMESTAMP '2024-01-15'
+)
+SELECT attn_id, day AS date, who AS full_name, max(store) AS "group", {_t('moment')} AS time_ts,
+       max(secs) AS duration_sec
+FROM keyed WHERE who IS NOT NULL GROUP BY attn_id, day, who, moment
+UNION ALL
+SELECT attn_id, day, who, store, {_t('moment')}, secs FROM nameless
+""",
     "pos_ingest": f"""
 SELECT 'R' || event_id AS receipt_number, CAST(user_id % 30 AS VARCHAR) AS store_id,
        {_t('ts')} AS created_at,

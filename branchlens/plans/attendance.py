@@ -18,7 +18,6 @@ from branchlens.sources.tables import (
     drop_staged,
     read_or_empty,
     refresh_partitions,
-    replace_partitions,
     replace_table,
 )
 
@@ -92,7 +91,7 @@ def append_entries(
     Nothing is deduplicated. Each load is one partition of the table: loading a
     named pull again replaces its rows, a load without a name always adds.
     ``window`` keeps entries whose moment lies in it, both ends included.
-    ``load_dt`` is the moment of the load in UTC. Without entries nothing is written.
+    ``load_dt`` is the moment of the load in UTC. Without entries the load has no partition.
     """
     entries = read_entries(spark, pull_folder(landing, pull))
     if window is not None:
@@ -103,16 +102,18 @@ def append_entries(
     rows = (
         normalise_entries(entries)
         .withColumn(LOADED, clock.ntz_literal(moment))
-        .withColumn(PULL, F.lit(pull or uuid.uuid4().hex))
         .observe(counted, F.count(F.lit(1)).alias("rows"))
     )
-    replace_partitions(rows, raw_path, PULL)
+    folder = f"{raw_path}/{PULL}={pull or uuid.uuid4().hex}"
+    replace_table(rows, folder)
+    if not counted.get["rows"]:
+        drop_staged(spark, folder)
     return counted.get["rows"]
 
 
 def read_raw(spark: SparkSession, raw_path: str, pull: str | None = None) -> DataFrame:
     """Raw rows of :func:`append_entries`; of one pull only its partition is read."""
-    raw = spark.read.schema(schemas.RAW_ENTRY).parquet(raw_path)
+    raw = read_or_empty(spark, raw_path, schemas.RAW_ENTRY)
     return raw if pull is None else raw.where(F.col(PULL) == F.lit(pull))
 
 

@@ -143,14 +143,22 @@ def summary_sales(
     )
 
 
+GRANULAR_ORDER = {"_store_id": "store_id", "_opened": "shift_opening_time"}
+
+
 def granular_sales(
     facts: DataFrame,
     as_of: datetime,
     analysis_days: int = ANALYSIS_DAYS,
     tz: str = clock.LOCAL_TZ,
     max_groups: int | None = None,
+    ordered: bool = False,
 ) -> DataFrame:
-    """Each recent shift next to its slot's average over earlier shifts."""
+    """Each recent shift next to its slot's average over earlier shifts.
+
+    ``ordered`` keeps store id and opening time as columns that the report sink
+    sorts by and does not write.
+    """
     recent = is_recent("shift_opening_time", as_of, analysis_days, tz)
     usual = (
         facts.where(~recent)
@@ -163,6 +171,7 @@ def granular_sales(
         F.col("shift_slot").alias("Shift"),
         F.col("total_sales").alias("Actual Sales"),
         "Average Historic Sales",
+        *[F.col(source).alias(key) for key, source in GRANULAR_ORDER.items() if ordered],
     )
 
 
@@ -389,5 +398,5 @@ def all_reports(
             sold, stores, as_of, store_rows=store_rows, max_groups=max_groups
         ),
         SUMMARY: summary_sales(facts, as_of),
-        GRANULAR: granular_sales(facts, as_of, max_groups=max_groups),
+        GRANULAR: granular_sales(facts, as_of, max_groups=max_groups, ordered=True),
     }

@@ -14,6 +14,7 @@ SORT_KEYS = {
     "Sales Dip Anomalies": ("store_name", "shift_opening_time"),
     "Ratio Anomalies": ("store_name", "shift_opening_time"),
     "Summary Sales": ("Branch",),
+    "Granular Sales": ("_store_id", "_opened"),
 }
 
 
@@ -36,14 +37,18 @@ def report_path(folder: str, name: str) -> str:
 
 
 def write_report(df: DataFrame, folder: str, name: str) -> bool:
-    """Replace the report's CSV files; an empty report leaves the old ones alone."""
+    """Replace the report's CSV files; an empty report leaves the old ones alone.
+
+    Sort keys that start with an underscore are not written.
+    """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if kept.isEmpty():
             return False
         keys = [k for k in SORT_KEYS.get(name, ()) if k in kept.columns]
         ordered = kept.orderBy(*[F.col(f"`{k}`") for k in keys]) if keys else kept
-        report_text(ordered).write.mode("overwrite").option("header", True).csv(
+        written = ordered.drop(*[k for k in keys if k.startswith("_")])
+        report_text(written).write.mode("overwrite").option("header", True).csv(
             report_path(folder, name)
         )
         return True

@@ -6,7 +6,7 @@ import pytest
 from helpers import at, one
 from pyspark.sql import functions as F
 
-from branchlens.functions import parsing
+from branchlens.functions import nested, parsing
 
 
 def text(value):
@@ -134,3 +134,11 @@ def test_sql_functions_agree_with_the_column_forms(spark):
     ).collect()
     assert all(r.sql_ts == r.ts and r.sql_sec == r.sec for r in got)
     assert any(r.ts for r in got) and any(r.sec for r in got)
+
+
+def test_objects_and_lists_are_no_scalars(spark):
+    payload = F.lit('{"A b": {"x": 1}, "l": [1], "t": "[x]", "n": 5, "s": "v"}')
+    got = one(spark, parsing.json_texts(payload, ("A b", "l", "t", "n", "s", "gone")))
+    assert tuple(got) == (None, None, "[x]", "5", "v", None)
+    documents = F.array(F.lit('{"q": {"x": 1}}'), F.lit('{"q": 2}'), F.lit('{"q": [3]}'))
+    assert one(spark, nested.json_array_sum(documents, "q")) == 2.0
