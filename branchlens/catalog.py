@@ -98,7 +98,8 @@ def q_shift_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q_shift_fact_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(shift_fact_sql(fx.shifts(spark, sf_dir), fx.stores(spark, sf_dir), fx.AS_OF))
+    stores, rows, _ = _stores(spark, sf_dir)
+    return shown(shift_fact_sql(fx.shifts(spark, sf_dir), stores, fx.AS_OF, store_rows=rows))
 
 
 

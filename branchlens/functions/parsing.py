@@ -7,7 +7,7 @@ Each lives in one function here, so a different meaning changes one place.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,24 +25,25 @@ def has_zone(text: Column) -> Column:
     return text.endswith("Z") | text.rlike(_ZONED)
 
 
-def json_texts(payload: Column, keys: tuple[str, ...]) -> Column:
-    """Struct of the scalar texts under top-level keys, parsed in one go.
+def json_texts(rows: DataFrame, payload: str, keys: tuple[str, ...]) -> DataFrame:
+    """The scalar texts under top-level keys of a JSON column, which they replace.
 
     Keys may contain spaces; a missing key, an object or list under it, or a
-    malformed payload gives null.
+    malformed payload gives null. The payload is parsed in one go; only a text
+    that looks like an object or list is looked up again, to tell it from a string.
     """
     schema = T.StructType([T.StructField(key, T.StringType()) for key in keys])
-    texts = F.from_json(payload, schema)
-    # Only a text that looks like an object or a list is parsed a second time.
-    parsed = F.try_parse_json(payload)
+    read = rows.withColumn("_texts", F.from_json(payload, schema))
 
     def scalar(key: str) -> Column:
-        text = texts.getField(key)
-        value = F.try_variant_get(parsed, f"$['{key}']", "variant")
+        text = F.col("_texts").getField(key)
+        value = F.try_variant_get(F.try_parse_json(payload), f"$['{key}']", "variant")
         nested = F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)")
-        return F.when(text.rlike(r"^[{\[]") & nested, F.lit(None)).otherwise(text).alias(key)
+        looks = text.startswith("{") | text.startswith("[")
+        return F.when(looks, F.when(~nested, text)).otherwise(text).alias(key)
 
-    return F.when(texts.isNotNull(), F.struct(*[scalar(key) for key in keys]))
+    others = [c for c in rows.columns if c != payload]
+    return read.select(*others, *[scalar(key) for key in keys])
 
 
 def attendance_key(

@@ -132,12 +132,10 @@ def entry_payloads(raw: DataFrame) -> DataFrame:
 
 def parse_payloads(raw: DataFrame, tz: str = clock.LOCAL_TZ) -> DataFrame:
     """Raw rows (``payload`` JSON text, ``load_dt``) as typed attendance rows."""
-    fields = parsing.json_texts(F.col("payload"), PAYLOAD_KEYS)
-    read = (
-        raw.where(F.col("payload").isNotNull())
-        .select(clock.utc_wall(raw, "load_dt").alias("_loaded"), fields.alias("_p"))
-        .select("_loaded", "_p.*")
+    loads = raw.where(F.col("payload").isNotNull()).select(
+        clock.utc_wall(raw, "load_dt").alias("_loaded"), "payload"
     )
+    read = parsing.json_texts(loads, "payload", PAYLOAD_KEYS)
     date_text, time_text = F.col("Date"), F.col("Time")
     name, kind, kiosk = F.col("Full Name"), F.col("EntryType"), F.col("Kiosk Name")
     return read.select(

@@ -102,10 +102,9 @@ WITH shift_sales AS (
 )
 SELECT s.shift_number, s.local_opening AS shift_opening_time,
        s.closed_at AS shift_closing_time, s.store_id, s.total_sales,
-       s.day_of_week, s.hour_of_day,
-       coalesce(d.store_name, 'Unknown Store') AS store_name,
-       s.day_name, s.time_slot, s.day_name || '-' || s.time_slot AS shift_slot
-FROM slotted s LEFT JOIN {stores} d ON s.store_id = d.store_id
+       s.day_of_week, s.hour_of_day, s.day_name, s.time_slot,
+       s.day_name || '-' || s.time_slot AS shift_slot
+FROM slotted s
 WHERE s.time_slot <> 'Other'
 """
 
@@ -116,12 +115,19 @@ def shift_fact_sql(
     as_of: datetime,
     baseline_days: int = BASELINE_DAYS,
     tz: str = clock.LOCAL_TZ,
+    store_rows: int | None = None,
 ) -> DataFrame:
-    """SQL form of :func:`shift_fact` with bound parameters, for UTC ``timestamp_ntz`` tables."""
+    """SQL form of :func:`shift_fact` with bound parameters, for UTC ``timestamp_ntz`` tables.
+
+    Stores are looked up as there: broadcast at a checked size, else salted.
+    """
     start = clock.as_utc(as_of) - timedelta(days=baseline_days)
-    return shifts.sparkSession.sql(
+    facts = shifts.sparkSession.sql(
         SHIFT_FACT_SQL,
         args={"tz": tz, "horizon_start": start.isoformat(sep=" ")},
         shifts=shifts,
-        stores=stores,
     )
+    named = lookup_with_default(
+        facts, stores, "store_id", "store_name", UNKNOWN_STORE, store_rows
+    )
+    return named.select(*FACT_COLUMNS)

@@ -108,9 +108,9 @@ def test_attendance_key(spark):
 
 def test_json_texts_with_spaces_in_keys(spark):
     payload = '{"Full Name": "Ann", "n": 3, "flag": true, "gone": null}'
-    got = one(
-        spark, parsing.json_texts(text(payload), ("Full Name", "n", "flag", "gone", "absent"))
-    )
+    rows = spark.createDataFrame([(payload,)], "payload string")
+    keys = ("Full Name", "n", "flag", "gone", "absent")
+    got = parsing.json_texts(rows, "payload", keys).first()
     assert tuple(got) == ("Ann", "3", "true", None, None)
 
 
@@ -137,8 +137,12 @@ def test_sql_functions_agree_with_the_column_forms(spark):
 
 
 def test_objects_and_lists_are_no_scalars(spark):
-    payload = F.lit('{"A b": {"x": 1}, "l": [1], "t": "[x]", "n": 5, "s": "v"}')
-    got = one(spark, parsing.json_texts(payload, ("A b", "l", "t", "n", "s", "gone")))
-    assert tuple(got) == (None, None, "[x]", "5", "v", None)
+    rows = spark.createDataFrame(
+        [(1, '{"A b": {"x": 1}, "l": [1], "t": "[x]", "n": 5, "s": "v"}'), (2, "{broken"), (3, None)],
+        "id int, payload string",
+    )
+    got = parsing.json_texts(rows, "payload", ("A b", "l", "t", "n", "s", "gone")).collect()
+    assert tuple(got[0]) == (1, None, None, "[x]", "5", "v", None)
+    assert [set(r[1:]) for r in got[1:]] == [{None}, {None}]
     documents = F.array(F.lit('{"q": {"x": 1}}'), F.lit('{"q": 2}'), F.lit('{"q": [3]}'))
     assert one(spark, nested.json_array_sum(documents, "q")) == 2.0
