@@ -13,6 +13,8 @@ from branchlens.llm.line_dedup import dedup_lines
 from branchlens.llm.sentencepieces import encode
 
 NO_ID = -(1 << 63)
+# Near copies of the stage: word shingles and percent. op5 has limits of its own.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
@@ -38,9 +40,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def jaccard_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: that with the smallest id.
 
+    Near copies have at least 80 % of their five-word shingles in common (Jaccard similarity).
     Repeated rows of an id count as one document. Without ids, one of each equal text stays.
     """
-    groups = linked_groups(docs)
+    groups = linked_groups(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
     named = F.col("doc_id").isNotNull()
     stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.coalesce("doc_id", F.lit(NO_ID)).alias("_doc"), named.alias("_named")

@@ -24,7 +24,7 @@ from branchlens.llm import (
     token_counts,
     warc,
 )
-from branchlens.llm.common import components
+from branchlens.llm.common import DOCUMENT_COLUMNS, components
 
 EXTRA = "doc_id long, text string, lang string, source string, n_chars long, key string, sig long, row long, doc long, th long, n long, ll string"
 LONG = "word " * 30_000
@@ -263,3 +263,35 @@ def test_pipeline_stages(spark, small):
         assert 0 < now <= n
         n = now
     assert corpus_pipeline.run(spark, small).count() == n
+
+
+def near_copies_left(texts, words=5, percent=80):
+    """Ids that stay if each group of near copies keeps its smallest, by all pairs; texts is {id: text}."""
+    sets, root = {}, {i: i for i in texts}
+    for i, t in texts.items():
+        w = t.lower().split()
+        sets[i] = {tuple(w[j : j + words]) for j in range(max(1, len(w) - words + 1))} if w else set()
+    links = []
+    for a, b in itertools.combinations(sorted(sets), 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+            links.append((a, b))
+    for _ in root:
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    return sorted(i for i in root if root[i] == i)
+
+
+def test_pipeline_near_copies_against_all_pairs(spark):
+    random = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(100)]
+    texts = [" ".join(base), " ".join(base + [f"z{i}" for i in range(20)])]  # 96/116 = 0.828, on four words 97/117 = 0.829
+    for i in range(60):
+        if i % 6 == 0:
+            base = [f"v{x}" for x in random.integers(0, 5000, random.integers(4, 150))]
+        texts.append(" ".join(base + [f"y{i}-{x}" for x in range(len(base) * (i % 6) // 20)]))
+    texts = dict(enumerate(texts))
+    docs = table(spark, list(texts.items())).select(*DOCUMENT_COLUMNS)
+    left = sorted(r.doc_id for r in corpus_pipeline.jaccard_dedup(spark, docs, "").select("doc_id").collect())
+    assert left == near_copies_left(texts) and 1 not in left
+    assert left != near_copies_left(texts, 4, 85)
