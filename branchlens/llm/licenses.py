@@ -2,11 +2,10 @@
 
 Method: texts are cut into windows of WINDOW words, STRIDE apart; templates into chunks of at
 most CHUNK words. Any CHUNK words in a row lie inside one window. Each of BANDS bands is
-the minimum of the window's shingle hashes under one permutation; a window and a chunk that
-share a band meet. A chunk of five shingles inside a window of ten has similarity 0.5, so
-it is met with probability 1 - 0.5^12 = 0.9998; one of three shingles with 0.986. Then the
-shingles of the template that stand in the windows it met are counted exactly. Only
-DataFrame operations are used.
+the minimum of the window's shingle hashes, mixed anew for each band; one more holds every
+shingle itself. A window and a chunk that share a band or a shingle meet. The template's
+shingles that stand in any window of the text are counted exactly, whatever bands met, so
+no text is lost by chance. Only DataFrame operations are used.
 """
 
 from __future__ import annotations
@@ -46,7 +45,7 @@ def _shingle(w: Column, i: Column | int, size: Column) -> Column:
 
 
 def windows(rows: DataFrame, keep: list[str], stride: int, window: int) -> DataFrame:
-    """keep, start, shingle hashes, band, value: each window of the column words, once per band."""
+    """keep, start, band, value: the bands of each window of the column words, and its shingles as band BANDS."""
     size = F.size("words")
     starts = F.sequence(F.lit(0), F.greatest(size - window + stride - 1, F.lit(0)), F.lit(stride))
     cut = rows.where(size > 0).select(*keep, "words", size.alias("size"), F.explode(starts).alias("start"))
@@ -55,11 +54,14 @@ def windows(rows: DataFrame, keep: list[str], stride: int, window: int) -> DataF
         *keep, "start", *(_shingle(F.col("words"), F.col("start") + i, F.col("size")).alias(f"_h{i}") for i in range(n))
     )
     h = [F.col(f"_h{i}") for i in range(n)]
-    masks = F.array(*(F.xxhash64(F.lit(f"band {b}")) for b in range(BANDS)))
-    spread = hashes.select("*", F.posexplode(masks).alias("band", "mask"))
-    # XOR with a mask reorders the hashes; the least one is the band's minimum.
-    least = F.least(*(x.bitwiseXOR(F.col("mask")) for x in h))
-    return spread.select(*keep, "start", *h, "band", least.alias("value"))
+    masks = F.array(*(F.xxhash64(F.lit(f"band {b}")) for b in range(BANDS + n)))
+    spread = hashes.select("*", F.posexplode(masks).alias("at", "mask"))
+    # Mixing with a mask reorders the hashes; the least one is the band's minimum.
+    least = F.least(*(F.when(x.isNotNull(), F.xxhash64(x, F.col("mask"))) for x in h))
+    value = F.when(F.col("at") < BANDS, least).otherwise(F.get(F.array(*h), F.col("at") - BANDS))
+    return spread.select(
+        *keep, "start", F.least("at", F.lit(BANDS)).alias("band"), value.alias("value")
+    ).where(F.col("value").isNotNull())
 
 
 def template_chunks(templates: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -104,14 +106,13 @@ def license_matches(docs: DataFrame, templates: DataFrame, contained: float = CO
     met = (
         windows(rows, ["doc_id", "th"], STRIDE, WINDOW)
         .join(small(bands), ["band", "value"])
-        .select("doc_id", "th", "start", F.array(*(f"_h{i}" for i in range(WINDOW - SHINGLE + 1))).alias("shingles"), "template")
+        .groupBy("doc_id", "th", "template")
+        # At most as many as the template has shingles.
+        .agg(F.size(F.collect_set(F.when(F.col("band") == BANDS, F.col("value")))).alias("n"), F.min("start").alias("start"))
     )
     found = (
-        staged(met.distinct(), "license-candidates")
-        .join(small(whole), "template")
-        .select("doc_id", "th", "template", "license", "total", "start", F.explode(F.array_intersect("shingles", "wanted")).alias("s"))
-        .groupBy("doc_id", "th", "template", "license", "total")
-        .agg(F.count_distinct("s").alias("n"), F.min("start").alias("start"))
+        staged(met, "license-candidates")
+        .join(small(whole.select("template", "license", "total")), "template")
         .where(F.col("n") >= contained * F.col("total"))
     )
     return found.groupBy("doc_id", "th", "license").agg(
@@ -123,8 +124,7 @@ def scan(docs: DataFrame, templates: DataFrame | None = None, contained: float =
     """doc_id, n_licenses, licenses (sorted names), containment (largest) per document.
 
     Words are runs of a-z (A-Z lowered), 0-9 and characters beyond ASCII. A template is in a
-    text if at least ``contained`` of its distinct three-word shingles stand in windows that
-    met it. ``templates`` has license and text; null or empty texts match nothing. A null or
+    text if at least ``contained`` of its distinct three-word shingles stand in it, anywhere. ``templates`` has license and text; null or empty texts match nothing. A null or
     empty document has no licence. One row per input row, repeated rows and null ids included;
     other columns are not looked at; empty tables give empty results.
     """

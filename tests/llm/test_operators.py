@@ -295,3 +295,23 @@ def test_pipeline_near_copies_against_all_pairs(spark):
     left = sorted(r.doc_id for r in corpus_pipeline.jaccard_dedup(spark, docs, "").select("doc_id").collect())
     assert left == near_copies_left(texts) and 1 not in left
     assert left != near_copies_left(texts, 4, 85)
+
+
+def test_changed_licences_against_brute_force(spark):
+    random = np.random.default_rng(11)
+    split = lambda t: re.findall(r"[a-z0-9\x80-\U0010ffff]+", t.lower())
+    cut = lambda w: {tuple(w[i : i + 3]) for i in range(max(1, len(w) - 2))}
+    whole = [(name, cut(split(t))) for name, t in licenses.TEMPLATES]
+    texts = []
+    for i in range(4000):
+        w = split(licenses.TEMPLATES[i % len(licenses.TEMPLATES)][1])
+        if i % 3:
+            w[random.integers(0, len(w))] = f"changed{i}"
+        around = [f"r{x}" for x in random.integers(0, 10**6, 30)]
+        at = random.integers(0, 31)
+        texts.append((i, " ".join(around[:at] + w + around[at:])))
+    wanted = {}
+    for i, t in texts:
+        mine = cut(split(t))
+        wanted[i] = sorted({name for name, s in whole if len(s & mine) >= 0.8 * len(s)})
+    assert {r.doc_id: list(r.licenses) for r in licenses.scan(table(spark, texts)).collect()} == wanted
