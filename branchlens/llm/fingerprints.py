@@ -5,13 +5,13 @@ samples, a term of weight S draws r and c from Gamma(2, 1) and b from U(0, 1), a
 term and sample, and takes t = floor(ln S / r + b), y = exp(r (t - b)), a = c / (y exp(r)); the
 term with the least a and its t are the sample. Two texts share a sample with the
 probability of their generalised Jaccard similarity (sum of minima over sum of maxima).
-Terms are hashed to 2^14 classes first, whose draws a task makes once.
+All draws come from a 64-bit hash of the word itself; a worker keeps those of the first KEPT words.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,72 +23,95 @@ from pyspark.sql import functions as F
 from branchlens.llm.common import mix, read, shuffle_partitions, staged
 
 SAMPLES = 64
-CLASSES = 1 << 14
+KEPT = 1 << 15  # words whose draws a worker keeps
+TERMS = 1024  # other words drawn for at once
+STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-@lru_cache(maxsize=2)
-def _draws(samples: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """r, ln c and b for each class and sample, from hashes of (class, sample, use)."""
-    n = CLASSES * samples
+def _hash(word: str) -> int:
+    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
 
-    def uniform(use: int) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            h = mix(mix(np.arange(n, dtype=np.uint64) + np.uint64(1)) + np.uint64(use) * np.uint64(0x9E3779B97F4A7C15))
-        return ((h >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
 
-    r = -np.log(uniform(1) * uniform(2))
-    c = -np.log(uniform(3) * uniform(4))
-    shape = (CLASSES, samples)
-    return tuple(x.astype(np.float32).reshape(shape) for x in (r, np.log(c), uniform(5)))
+def _draws(hashes: np.ndarray, samples: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """r, ln c and b for each word and sample, from hashes of (word, sample, use)."""
+    with np.errstate(over="ignore"):
+        base = mix(hashes[:, None] + mix(np.arange(samples, dtype=np.uint64) + np.uint64(1)))
+
+        def uniform(use: int) -> np.ndarray:
+            h = mix(base + np.uint64(use) * STEP)
+            return ((h >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
+
+        r = -np.log(uniform(1) * uniform(2))
+        log_c = np.log(-np.log(uniform(3) * uniform(4)))
+        return tuple(x.astype(np.float32) for x in (r, log_c, uniform(5)))
+
+
+class Kept:
+    """Hashes, draws and, for weight 1, ln a of the first KEPT words that a worker met."""
+
+    def __init__(self, samples: int):
+        self.rows: dict[str, int] = {}
+        self.hashes = np.empty(KEPT, np.uint64)
+        self.r, self.log_c, self.b, self.one_a = (np.empty((KEPT, samples), np.float32) for _ in range(4))
+
+    def add(self, words: list[str], hashes: np.ndarray, r: np.ndarray, log_c: np.ndarray, b: np.ndarray) -> None:
+        at = len(self.rows)
+        n = min(len(words), KEPT - at)
+        self.rows.update((w, at + i) for i, w in enumerate(words[:n]))
+        to = slice(at, at + n)
+        self.hashes[to], self.r[to], self.log_c[to], self.b[to] = hashes[:n], r[:n], log_c[:n], b[:n]
+        self.one_a[to] = log_c[:n] - r[:n] * (np.floor(b[:n]) - b[:n] + 1)
+
+
+_kept = lru_cache(maxsize=1)(Kept)
 
 
 class Sampler:
     def __init__(self, samples: int):
         self.samples = samples
-        self.r, self.log_c, self.b = _draws(samples)
-        self.inverse = 1 / self.r
-        self.known: dict[str, int] = {}
-        # Weight 1 is the common case: t and ln a ready made.
-        t = np.floor(self.b)
-        self.one_a = self.log_c - self.r * (t - self.b + 1)
-
-    def classes(self, text: str) -> np.ndarray:
-        known = self.known
-        if len(known) > 500_000:
-            known.clear()
-        words = text.split() or [text]
-        out = []
-        for w in words:
-            i = known.get(w)
-            if i is None:
-                i = known[w] = zlib.crc32(w.encode("utf-8", "surrogatepass")) % CLASSES
-            out.append(i)
-        return np.array(out, np.int64)
+        self.kept = _kept(samples)
 
     def __call__(self, text: str | None) -> np.ndarray:
         """One number per sample; all zero only for a text without characters."""
         if not text:
             return np.zeros(self.samples, np.uint16)
-        terms, counts = np.unique(self.classes(text), return_counts=True)
-        once = counts == 1
-        single, many = terms[once], terms[~once]
+        kept, columns = self.kept, np.arange(self.samples)
         best = np.full(self.samples, np.inf, np.float32)
-        code = np.zeros(self.samples, np.int64)
-        columns = np.arange(self.samples)
-        if len(single):
-            a = self.one_a[single]
-            i = a.argmin(axis=0)
-            best, code = a[i, columns], single[i] << 8
-        if len(many):
-            log_s = np.log(counts[~once]).astype(np.float32)[:, None]
-            r, b = self.r[many], self.b[many]
-            t = np.floor(log_s * self.inverse[many] + b)
-            a = self.log_c[many] - r * (t - b + 1)
+        code = np.zeros(self.samples, np.uint64)
+
+        def take(hashes: np.ndarray, a: np.ndarray, t: np.ndarray | None = None) -> None:
+            nonlocal best, code
             i = a.argmin(axis=0)
             least = a[i, columns]
-            mine = (many[i] << 8) + (t[i, columns].astype(np.int64) & 255)
-            code = np.where(least < best, mine, code)
-        return (mix(code.astype(np.uint64) + np.uint64(1)) % np.uint64(65535)).astype(np.uint16) + np.uint16(1)
+            mine = hashes[i]
+            if t is not None:
+                mine = mine + t[i, columns].astype(np.int64).astype(np.uint64) * STEP
+            code, best = np.where(least < best, mine, code), np.minimum(least, best)
+
+        def weighted(hashes: np.ndarray, r: np.ndarray, log_c: np.ndarray, b: np.ndarray, counts: np.ndarray) -> None:
+            t = np.floor(np.log(counts).astype(np.float32)[:, None] / r + b)
+            take(hashes, log_c - r * (t - b + 1), t)
+
+        counted = Counter(text.split() or [text])
+        find = kept.rows.get
+        known = [(i, n) for w, n in counted.items() if (i := find(w)) is not None]
+        new = [w for w in counted if w not in kept.rows] if len(known) < len(counted) else []
+        if known:
+            at, counts = np.array(known, np.int64).T
+            # Weight 1 is the common case: ln a ready made, t = 0.
+            single, many = at[counts == 1], at[counts > 1]
+            if len(single):
+                take(kept.hashes[single], kept.one_a[single])
+            if len(many):
+                weighted(kept.hashes[many], kept.r[many], kept.log_c[many], kept.b[many], counts[counts > 1])
+        for start in range(0, len(new), TERMS):
+            words = new[start : start + TERMS]
+            hashes = np.array([_hash(w) for w in words], np.uint64)
+            draws = _draws(hashes, self.samples)
+            weighted(hashes, *draws, np.array([counted[w] for w in words]))
+            if len(kept.rows) < KEPT:
+                kept.add(words, hashes, *draws)
+        return (mix(code + np.uint64(1)) % np.uint64(65535)).astype(np.uint16) + np.uint16(1)
 
 
 def likeness(x: np.ndarray, y: np.ndarray) -> float:

@@ -315,3 +315,12 @@ def test_changed_licences_against_brute_force(spark):
         mine = cut(split(t))
         wanted[i] = sorted({name for name, s in whole if len(s & mine) >= 0.8 * len(s)})
     assert {r.doc_id: list(r.licenses) for r in licenses.scan(table(spark, texts)).collect()} == wanted
+
+
+def test_fingerprints_of_long_texts_of_many_words():
+    sampler = fingerprints.Sampler(512)
+    long = lambda a, b: " ".join(f"w{i}" for i in range(a, b))
+    x, other, half = sampler(long(0, 30_000)), sampler(long(30_000, 60_000)), sampler(long(15_000, 45_000))
+    assert fingerprints.likeness(x, other) < 0.02
+    assert abs(fingerprints.likeness(x, half) - 1 / 3) < 0.09
+    assert (sampler(long(0, 30_000)) == x).all()  # kept words and new ones draw alike
