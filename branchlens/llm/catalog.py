@@ -28,6 +28,7 @@ QUERIES = {
         line_dedup.op8_line_dedup,
         licenses.op9_license_scan,
         quality.op10_quality_classifier,
+        decontam.op3_proximity,
     )
 }
 

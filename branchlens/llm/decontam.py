@@ -143,29 +143,44 @@ def exact_matches(index: PositionalIndex) -> DataFrame:
 def proximity_matches(index: PositionalIndex, span: int = 2 * WINDOW) -> DataFrame:
     """row, wid, pos: the rarest term of a window with all its other terms at most ``span`` words away.
 
-    Order and repetition do not matter. Positions are cut into blocks of ``span`` words, so
-    a place is compared with three blocks whatever the length of the document.
+    Order and repetition do not matter. Positions are cut into blocks of ``span`` words, and of
+    each term only its first and last place in a block count: so a place meets at most three
+    rows per term, whatever the length of the document. Places without the second rarest term
+    nearby go first, the others are joined to their window's further terms.
     """
-    anchor = index.windows.where("rank = 1").select("wid", "term")
-    places = index.postings.join(small(anchor), "term").select("row", "wid", "pos")
-    blocks = F.array(*(F.floor(F.col("pos") / span) + i for i in (-1, 0, 1)))
-    distinct = index.windows.select("wid", "term").distinct()
-    size = distinct.groupBy("wid").agg(F.count("*").alias("terms"))
-    spread = places.select("*", F.explode(blocks).alias("block"))
-    others = index.postings.select(
-        "row", F.col("pos").alias("at"), "term", F.floor(F.col("pos") / span).alias("block")
-    )
-    return (
-        spread.join(others, ["row", "block"])
-        .where(F.abs(F.col("at") - F.col("pos")) <= span)
-        .join(small(distinct), ["wid", "term"], "left_semi")
-        .groupBy("row", "wid", "pos")
-        .agg(F.count_distinct("term").alias("found"))
-        .join(small(size), "wid")
-        .where("found = terms")
-        .select("row", "wid", "pos")
+    distinct = index.windows.groupBy("wid", "term").agg(F.min("rank").alias("first"))
+    order = Window.partitionBy("wid").orderBy("first")  # at most ``window`` rows each
+    terms = staged(distinct.select("wid", "term", F.row_number().over(order).alias("nth")), "near-terms")
+    size = terms.groupBy("wid").agg(F.count("*").alias("terms"))
+    blocks = index.postings.groupBy("row", F.floor(F.col("pos") / span).alias("block"), "term").agg(
+        F.min("pos").alias("low"), F.max("pos").alias("high")
     )
 
+    def nearby(places: DataFrame, wanted: DataFrame, postings: DataFrame) -> DataFrame:
+        """row, wid, pos, found: places and how many of the wanted terms of their window are near."""
+        around = F.array(*(F.floor(F.col("pos") / span) + i for i in (-1, 0, 1)))
+        return (
+            places.join(small(wanted), "wid")
+            .withColumn("block", F.explode(around))
+            .join(postings, ["row", "block", "term"])
+            .where((F.col("high") >= F.col("pos") - span) & (F.col("low") <= F.col("pos") + span))
+            .groupBy("row", "wid", "pos")
+            .agg(F.count_distinct("term").alias("found"))
+        )
+
+    anchor = terms.where("nth = 1").join(size, "wid").select("wid", "term", "terms")
+    places = index.postings.join(small(anchor), "term").select("row", "wid", "pos", "terms")
+    second = terms.where("nth = 2").select("wid", "term")
+    seconds = blocks.join(small(second.select("term").distinct()), "term", "left_semi")
+    paired = nearby(places.where("terms > 1").drop("terms"), second, seconds).drop("found")
+    paired = staged(paired, "near-places")
+    rest = terms.where("nth > 2").select("wid", "term")
+    left = blocks.join(small(paired.select("row").distinct()), "row", "left_semi")
+    whole = nearby(paired, rest, left).join(small(size), "wid").where("found = terms - 2")
+    few = paired.join(small(size.where("terms = 2")), "wid", "left_semi")
+    alone = places.where("terms = 1")
+    return whole.select("row", "wid", "pos").union(few.select("row", "wid", "pos")).union(alone.select("row", "wid", "pos"))
+
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per document: doc_id, th, n_words, n_hit, n_items, items (sorted texts of the ids).
@@ -219,6 +234,34 @@ def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def proximity(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """doc_id, n_words, n_near, n_near_items: benchmark passages with their words in any order.
+
+    ``n_near`` counts the places of ``proximity_matches``, a place of several windows once;
+    n_near_items the items whose windows they are. Rows, words and windows as in ``contamination``.
+    """
+    index = build_index(docs, benchmark, window)
+    found = staged(proximity_matches(index, 2 * window), "near-matches")
+    places = found.select("row", "pos").distinct().groupBy("row").agg(F.count("*").alias("n_near"))
+    items = (
+        found.select("row", "wid").distinct()
+        .join(small(index.items), "wid")
+        .select("row", "item").distinct()
+        .groupBy("row")
+        .agg(F.count("*").alias("n_near_items"))
+    )
+    return index.documents.join(places, "row", "left").join(items, "row", "left").select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
+        F.coalesce("n_near_items", F.lit(0)).cast("long").alias("n_near_items"),
+    )
+
+
+def op3_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return proximity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 SQL = r"""
 WITH dw AS (
   SELECT doc_id, list_filter(regexp_split_to_array(

@@ -324,3 +324,33 @@ def test_fingerprints_of_long_texts_of_many_words():
     assert fingerprints.likeness(x, other) < 0.02
     assert abs(fingerprints.likeness(x, half) - 1 / 3) < 0.09
     assert (sampler(long(0, 30_000)) == x).all()  # kept words and new ones draw alike
+
+
+def test_proximity_query_against_plain_search(spark, tmp_path):
+    from branchlens.llm.catalog import QUERIES
+
+    random = np.random.default_rng(13)
+    passage = [f"p{i}" for i in range(10)]
+    items = [(1, " ".join(passage)), (2, "aa bb"), (3, "cc"), (4, "dd ee dd"), (5, None)]
+    vocabulary = [*passage, "aa", "bb", "cc", "dd", "ee", *(f"x{i}" for i in range(40))]
+    docs = [(i, " ".join(random.choice(vocabulary, 60))) for i in range(30)]
+    mixed = [w for x in random.permutation(passage) for w in (x, "between")]
+    docs += [(30, " ".join(mixed)), (31, " ".join(["far"] * 30 + passage[:5] + ["far"] * 30 + passage[5:])), (32, None)]
+    table(spark, docs).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    split = {i: (t or "").split() for i, t in docs}
+    counts = {w: sum(x.count(w) for x in split.values()) for w in vocabulary}
+    wanted = {}
+    for i, w in split.items():
+        places, met = set(), set()
+        for item, t in items:
+            terms = (t or "").split()
+            if terms:
+                rarest = min(terms, key=lambda x: (counts[x], terms.index(x)))
+                for p in range(len(w)):
+                    if w[p] == rarest and set(terms) <= set(w[max(0, p - 20) : p + 21]):
+                        places.add(p)
+                        met.add(item)
+        wanted[i] = (len(w), len(places), len(met))
+    got = {r.doc_id: (r.n_words, r.n_near, r.n_near_items) for r in QUERIES["op3_proximity"](spark, str(tmp_path)).collect()}
+    assert got == wanted and wanted[30][1] and not wanted[31][1]
