@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from branchlens.llm import (
+    bpe,
     decontam,
+    fill_middle,
     fingerprints,
     jaccard,
     language,
@@ -13,6 +15,7 @@ from branchlens.llm import (
     sentencepieces,
     token_counts,
     warc,
+    whitening,
 )
 
 QUERIES = {
@@ -28,6 +31,9 @@ QUERIES = {
         line_dedup.op8_line_dedup,
         licenses.op9_license_scan,
         quality.op10_quality_classifier,
+        bpe.op11_byte_bpe,
+        whitening.op12_whitening,
+        fill_middle.op13_fill_in_middle,
         decontam.op3_proximity,
     )
 }
@@ -37,4 +43,5 @@ ORACLE = {
     "op4_warc": warc.SQL,
     "op5_jaccard_join": jaccard.SQL,
     "op8_line_dedup": line_dedup.SQL,
+    "op13_fill_in_middle": fill_middle.SQL,
 }
