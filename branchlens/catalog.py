@@ -18,14 +18,14 @@ from branchlens import jobs
 from branchlens.functions import clock, nested, parsing
 from branchlens.functions.sql import LOCAL_TIMESTAMP, SECONDS, register_functions
 from branchlens.operators import baseline, lookup, merge
-from branchlens.plans import attendance, ingest, reports
+from branchlens.plans import attendance, drift, ingest, moments, reports
 from branchlens.plans.shift_fact import add_slot, shift_fact, shift_fact_sql
-from branchlens.schemas import RECEIPTS, conform, landing_schema
+from branchlens.schemas import MERGE_KEYS, RECEIPTS, conform, landing_schema
 from branchlens.session import fresh_path
-from branchlens.sources import report_sink
-from branchlens.sources.landing import read_envelopes
+from branchlens.sources import publish, report_sink
+from branchlens.sources.landing import Quarantine, read_envelopes, read_quarantine
 from branchlens.sources.tables import replace_table
-from branchlens.streaming.upsert import stream_ingest, stream_upsert
+from branchlens.streaming.upsert import batch_path, stream_ingest, stream_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -142,24 +142,67 @@ def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replace_table(items, fresh_path(spark, "sales"))
 
 
+def _kept(spark: SparkSession, sf_dir: str, *batches: DataFrame) -> moments.KeptReports:
+    """Reports from moments that are refreshed after each merged batch of shifts."""
+    target, path = fresh_path(spark, "shifts"), fresh_path(spark, "moments")
+    for batch in batches:
+        ingest.merge_days(spark, "shifts", batch, target)
+        moments.refresh_moments(spark, target, path)
+    stores, rows, groups = _stores(spark, sf_dir)
+    return moments.KeptReports(spark, target, path, stores, fx.AS_OF, rows, groups)
+
+
+def _shift_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replace_table(fx.shifts(spark, sf_dir), fresh_path(spark, "shift_batch"))
+
+
+@query
+def kept_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The slot baseline from kept moments, after all shifts of a day have moved to the next one."""
+    shifts = _shift_table(spark, sf_dir)
+    later = F.expr("INTERVAL 1 DAY")
+    moved = shifts.where(F.to_date("opened_at") == F.lit("2024-01-24").cast("date")).withColumns(
+        {"opened_at": F.col("opened_at") + later, "closed_at": F.col("closed_at") + later}
+    )
+    return shown(_kept(spark, sf_dir, shifts, moved).baseline())
+
+
+@query
+def sales_dip_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown(_kept(spark, sf_dir, _shift_table(spark, sf_dir)).sales_dip(k_sigma=1.0))
+
+
+@query
+def summary_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown(_kept(spark, sf_dir, _shift_table(spark, sf_dir)).summary())
+
+
+@query
+def granular_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shown(_kept(spark, sf_dir, _shift_table(spark, sf_dir)).granular())
+
+
 @query
 def shift_item_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     sales = _sales(spark, sf_dir)
     return shown(reports.shift_item_join(fx.shifts(spark, sf_dir), sales, fx.AS_OF))
 
 
+def _sold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = reports.receipt_items(fx.receipts(spark, sf_dir), fx.AS_OF)
+    return reports.shift_items(fx.shifts(spark, sf_dir), items, fx.AS_OF)
+
+
 @query
 def item_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = _sales(spark, sf_dir)
-    return shown(reports.shift_items(fx.shifts(spark, sf_dir), sales, fx.AS_OF))
+    return shown(_sold(spark, sf_dir))
 
 
 def _ratio(spark: SparkSession, sf_dir: str, k_sigma: float) -> DataFrame:
     stores, rows, groups = _stores(spark, sf_dir)
-    sold = reports.shift_items(fx.shifts(spark, sf_dir), _sales(spark, sf_dir), fx.AS_OF)
     return shown(
         reports.ratio_anomalies(
-            replace_table(sold, fresh_path(spark, "shift_items")),
+            replace_table(_sold(spark, sf_dir), fresh_path(spark, "shift_items")),
             stores,
             fx.AS_OF,
             k_sigma=k_sigma,
@@ -312,6 +355,23 @@ def sharded_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def backfill_mixed_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Back-fill from daily shards whose list columns have three types."""
+    shards, target = fresh_path(spark, "shards"), fresh_path(spark, "shifts")
+    for part in fx.mixed_shards(spark, sf_dir):
+        part.write.mode("append").partitionBy("ds").parquet(shards)
+    jobs.run_backfill(spark, shards, *SHARD_DAYS, target)
+    return shown(
+        ingest.read_days(spark, "shifts", target).select(
+            "id",
+            "opened_at",
+            F.array_join("taxes", ",").alias("taxes"),
+            nested.json_array_sum(F.col("cash_movements"), "money_amount").alias("moved"),
+        )
+    )
+
+
 @query
 def shard_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily shift shards; a second load replaces the days since the 15th."""
@@ -515,6 +575,165 @@ def pos_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Three overlapping pulls; the first two die, staged or while publishing, before the third runs.
+REPEATED = {
+    "staged": ("2024-01-01 00:00:00", "2024-01-16 00:00:00"),
+    "claimed": ("2024-01-10 00:00:00", "2024-01-22 00:00:00"),
+    "later": ("2024-01-18 00:00:00", "2024-02-01 00:00:00"),
+}
+
+
+def _land_receipts(spark: SparkSession, sf_dir: str, landing: str, pulls: dict) -> None:
+    """Receipt pages of each pull, totals raised by the pull's number."""
+    for number, (pull, (first, last)) in enumerate(pulls.items()):
+        pages = fx.receipt_pages(spark, sf_dir, number).where(between("ts", first, last))
+        pages.select("value").write.text(f"{landing}/pull={pull}")
+
+
+@query
+def repeat_after_later_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pull that died staged and one that died publishing are repeated after a later one."""
+    target, landing = fresh_path(spark, "receipts"), fresh_path(spark, "landing")
+    staging = fresh_path(spark, "staging")
+    _land_receipts(spark, sf_dir, landing, REPEATED)
+    for pull in ("staged", "claimed"):
+        staged, _ = ingest.stage(spark, "receipts", landing, f"{staging}/{pull}", pull=pull)
+        work = jobs.work_path(spark, target, pull)
+        publish.stage_merge(
+            spark, target, ingest.with_day(staged, "receipts"), MERGE_KEYS["receipts"],
+            ingest.DAY, ingest.merge_of("receipts"), work,
+        )
+    publish.claim_publish(spark, target, work)
+    for pull in ("later", "claimed", "staged"):
+        jobs.run_ingest(spark, "receipts", landing, staging, target, None, pull=pull)
+    table = ingest.read_days(spark, "receipts", target)
+    return shown(table.select("receipt_number", "created_at", "total_money"))
+
+
+@query
+def repeat_stream_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first stream batch died while publishing; a pull is ingested, then the stream goes on."""
+    target, work = fresh_path(spark, "receipts"), fresh_path(spark, "stream")
+    streamed, pulled = fresh_path(spark, "landing"), fresh_path(spark, "landing")
+    _land_receipts(spark, sf_dir, streamed, {"claimed": REPEATED["claimed"]})
+    _land_receipts(spark, sf_dir, pulled, REPEATED)
+    rows, _ = ingest.stage(spark, "receipts", streamed, fresh_path(spark, "staging"))
+    publish.stage_merge(
+        spark, target, ingest.with_day(rows, "receipts"), MERGE_KEYS["receipts"], ingest.DAY,
+        ingest.merge_of("receipts"), batch_path(work, 0),
+    )
+    publish.claim_publish(spark, target, batch_path(work, 0))
+    jobs.run_ingest(
+        spark, "receipts", pulled, fresh_path(spark, "staging"), target, None, pull="later"
+    )
+    stream_ingest(spark, "receipts", streamed, target, work).awaitTermination()
+    table = ingest.read_days(spark, "receipts", target)
+    return shown(table.select("receipt_number", "created_at", "total_money"))
+
+
+@query
+def repeat_attendance_pull(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As attendance_pipeline, but the first pull died staged and is repeated after the second."""
+    landing, raw = fresh_path(spark, "landing"), fresh_path(spark, "raw_attendance")
+    target = fresh_path(spark, "attendance")
+    for pull, (first, last) in PULLS.items():
+        pages = fx.time_entry_pages(spark, sf_dir).where(between("ts", first, last))
+        pages.select("value").write.text(f"{landing}/pull={pull}")
+        attendance.append_entries(spark, landing, raw, pull=pull, loaded=fx.AS_OF)
+    payloads = attendance.entry_payloads(attendance.read_raw(spark, raw, "first"))
+    publish.stage_merge(
+        spark, target, attendance.stage_payloads(payloads), MERGE_KEYS["attendance"], attendance.DATE,
+        lambda table, batch: attendance.attendance_upsert(table, batch, "latest"),
+        jobs.work_path(spark, target, "first"),
+    )
+    for pull in ("second", "first"):
+        jobs.run_attendance(spark, attendance.read_raw(spark, raw, pull), target, "latest", pull)
+    table = attendance.read_attendance(spark, target)
+    return shown(
+        table.select("attn_id", "date", "full_name", "group", "time_ts", "duration_sec")
+    )
+
+
+def _broken(pages: DataFrame) -> DataFrame:
+    """Pages of which some are cut off."""
+    cut = F.concat(F.lit('{"receipts": [cut '), F.col("ts").cast("string"))
+    broken = F.get_json_object("value", "$.receipts[0].line_items[0].item_name") == "error"
+    return pages.withColumn("value", F.when(broken, cut).otherwise(F.col("value")))
+
+
+def _beside(table: DataFrame, aside: DataFrame) -> DataFrame:
+    """Receipts of the table, and the lines set aside."""
+    return shown(
+        table.select(F.lit("table").alias("place"), F.col("receipt_number").alias("content")).unionByName(
+            aside.select(F.lit("quarantine").alias("place"), F.col("line").alias("content"))
+        )
+    )
+
+
+@query
+def quarantine_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A pull with broken lines: these go to a side table, the others are merged."""
+    target, landing = fresh_path(spark, "receipts"), fresh_path(spark, "landing")
+    aside = Quarantine(fresh_path(spark, "quarantine"), limit=1 << 40)
+    _broken(fx.receipt_pages(spark, sf_dir)).select("value").write.text(f"{landing}/pull=p")
+    jobs.run_ingest(
+        spark, "receipts", landing, fresh_path(spark, "staging"), target, None, pull="p", quarantine=aside
+    )
+    return _beside(ingest.read_days(spark, "receipts", target), read_quarantine(spark, aside.path))
+
+
+@query
+def quarantine_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as two landings of a stream."""
+    target, landing = fresh_path(spark, "receipts"), fresh_path(spark, "landing")
+    aside, work = Quarantine(fresh_path(spark, "quarantine"), limit=1 << 40), fresh_path(spark, "stream")
+    middle = F.expr("TIMESTAMP_NTZ '2024-01-15 00:00:00'")
+    for part in (F.col("ts") < middle, F.col("ts") >= middle):
+        _broken(fx.receipt_pages(spark, sf_dir).where(part)).select("value").write.mode("append").text(landing)
+        stream_ingest(spark, "receipts", landing, target, work, quarantine=aside).awaitTermination()
+    return _beside(ingest.read_days(spark, "receipts", target), read_quarantine(spark, aside.path))
+
+
+@query
+def stream_insert_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two overlapping pulls streamed to insert only; keys of the overlap stop at the stream's state."""
+    target, landing = fresh_path(spark, "receipts"), fresh_path(spark, "landing")
+    work = fresh_path(spark, "stream")
+    for pull, (first, last) in PULLS.items():
+        pages = fx.receipt_pages(spark, sf_dir, int(pull == "second")).where(between("ts", first, last))
+        pages.select("value").write.text(f"{landing}/pull={pull}")
+        stream_ingest(
+            spark, "receipts", landing, target, work, mode="insert", seen_within="2 days"
+        ).awaitTermination()
+    table = ingest.read_days(spark, "receipts", target)
+    return shown(table.select("receipt_number", "created_at", "total_money"))
+
+
+@query
+def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of two pulls that the receipt schema lacks or has with another type."""
+    landing, path = fresh_path(spark, "landing"), fresh_path(spark, "drift")
+    number, kind = F.concat(F.lit("R"), F.col("event_id")), F.col("event_type")
+    customer = F.struct(F.col("user_id").cast("string").alias("id"), F.lit(True).alias("vip"))
+    loyalty = F.when(kind == "click", F.struct(F.col("user_id").alias("level")))
+    records = {
+        "first": F.struct(number.alias("receipt_number"), customer.alias("customer"), loyalty.alias("loyalty")),
+        "second": F.struct(
+            number.alias("receipt_number"),
+            F.when(kind == "error", "none").alias("total_money"),
+            (kind == "view").alias("points_earned"),
+            F.col("user_id").alias("store_id"),
+            F.array(F.lit(1)).alias("payments"),
+        ),
+    }
+    for pull, (first, last) in PULLS.items():
+        events = fx.table(spark, sf_dir, "events").where(between("ts", first, last))
+        page = F.to_json(F.struct(F.array(records[pull]).alias("receipts")))
+        events.select(page.alias("value")).write.text(f"{landing}/pull={pull}")
+        drift.record_drift(spark, landing, "receipts", path, pull)
+    return drift.read_drift(spark, path, "receipts")
+
+
 @query
 def array_to_json_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts of struct lists, scalar lists, JSON lists and a non-list, per turn."""

@@ -162,6 +162,20 @@ def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixed_shards(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """:func:`shards` by the day's number: taxes are numbers, objects or JSON texts."""
+    wide = shards(spark, sf_dir)
+    kind = F.dayofmonth("ds") % 3
+    objects = F.transform("taxes", lambda x: F.struct(x.alias("rate")))
+    texts = F.transform("taxes", lambda x: F.concat(F.lit('"'), x.cast("string"), F.lit('"')))
+    moved = F.transform("cash_movements", lambda x: F.to_json(x, KEEP_NULLS))
+    return [
+        wide.where(kind == 0),
+        wide.where(kind == 1).withColumn("taxes", objects).drop("tip"),
+        wide.where(kind == 2).withColumns({"taxes": texts, "cash_movements": moved}),
+    ]
+
+
 def known_shifts(spark: SparkSession, sf_dir: str, like: DataFrame) -> DataFrame:
     """Shift table so far: one row per customer; every third user has such a shift."""
     known = table(spark, sf_dir, "customer").select(

@@ -13,17 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from branchlens import schemas
 from branchlens.functions import clock
 from branchlens.operators.lookup import store_bounds
-from branchlens.plans import attendance, ingest, reports
+from branchlens.plans import attendance, drift, ingest, moments, reports
 from branchlens.plans.shift_fact import BASELINE_DAYS, shift_fact
 from branchlens.session import build_session, fresh_path, shared_dir
+from branchlens.sources.files import drop_staged, require_new_path
+from branchlens.sources.landing import Quarantine
 from branchlens.sources.report_sink import write_report
-from branchlens.sources.tables import (
-    drop_staged,
-    mark_pull,
-    pull_is_done,
-    replace_table,
-    require_new_path,
-)
+from branchlens.sources.tables import mark_pull, pull_is_done, replace_table
 from branchlens.streaming.upsert import stream_ingest
 
 STORE_COLUMNS = "store_id string, store_name string"
@@ -34,17 +30,17 @@ def run_reports(
 ) -> dict[str, bool]:
     """Write the four reports; tells for each whether it had rows.
 
-    The shift fact, the wanted items and the item table are written once to the
-    shared folder, so each source is read once. One ``as_of`` serves every window.
+    The shift fact and the item table are written once to the shared folder. One ``as_of``
+    serves every window.
     """
     spark = shifts.sparkSession
     store_rows, groups = store_bounds(stores)
-    paths = {name: fresh_path(spark, name) for name in ("shift_fact", "sales", "shift_items")}
+    paths = {name: fresh_path(spark, name) for name in ("shift_fact", "shift_items")}
     try:
         facts = replace_table(
             shift_fact(shifts, stores, as_of, store_rows=store_rows), paths["shift_fact"]
         )
-        sales = replace_table(reports.receipt_items(receipts, as_of), paths["sales"])
+        sales = reports.receipt_items(receipts, as_of)
         sold = replace_table(reports.shift_items(shifts, sales, as_of), paths["shift_items"])
         built = reports.all_reports(facts, sold, stores, as_of, store_rows, groups)
         return {name: write_report(df, folder, name) for name, df in built.items()}
@@ -53,7 +49,30 @@ def run_reports(
             drop_staged(spark, path)
 
 
-def _work_path(spark: SparkSession, target: str, pull: str | None) -> str | None:
+def run_kept_reports(
+    spark: SparkSession, shifts: str, kept: str, stores: DataFrame, folder: str, as_of: datetime
+) -> dict[str, bool]:
+    """Refresh the kept moments of the shift table at ``shifts`` and write the three sales reports from them.
+
+    Of the shifts only changed days, tested days and days that a window cuts are read.
+    """
+    moments.refresh_moments(spark, shifts, kept)
+    store_rows, groups = store_bounds(stores)
+    path = fresh_path(spark, "recent_facts")
+    try:
+        built = moments.KeptReports(spark, shifts, kept, stores, as_of, store_rows, groups)
+        facts = replace_table(built.recent_facts(), path)
+        written = {
+            reports.SALES_DIP: built.sales_dip(facts=facts),
+            reports.SUMMARY: built.summary(facts),
+            reports.GRANULAR: built.granular(facts, ordered=True),
+        }
+        return {name: write_report(df, folder, name) for name, df in written.items()}
+    finally:
+        drop_staged(spark, path)
+
+
+def work_path(spark: SparkSession, target: str, pull: str | None) -> str | None:
     """Where the merge of a named pull is staged; the same in every run of it."""
     if pull is None:
         return None
@@ -66,9 +85,10 @@ def _merge_pull(
 ) -> None:
     """Merge a pull and note it as done, so that a repeated run adds nothing.
 
-    A run that died is repeated from what it staged.
+    A run that died is repeated: from what it staged if the table is still as it was then,
+    else by merging anew, so later pulls are not undone.
     """
-    work = _work_path(spark, target, pull)
+    work = work_path(spark, target, pull)
     merge(work)
     mark_pull(spark, target, pull)
     if work is not None:
@@ -85,15 +105,22 @@ def run_ingest(
     mode: str = "upsert",
     on_duplicate: str = "error",
     pull: str | None = None,
+    quarantine: Quarantine | None = None,
+    drift_path: str | None = None,
 ) -> int:
     """Stage landed records and merge them into the day-partitioned table.
 
     Returns the number of staged rows; an empty batch merges nothing, and so
-    does a named pull that was merged before.
+    does a named pull that was merged before. ``quarantine`` takes broken lines, and
+    the table at ``drift_path`` notes fields that differ from the schema.
     """
     if pull_is_done(spark, target, pull):
         return 0
-    staged, rows = ingest.stage(spark, entity, landing, f"{staging}/{entity}", window, pull)
+    staged, rows = ingest.stage(
+        spark, entity, landing, f"{staging}/{entity}", window, pull, quarantine
+    )
+    if drift_path is not None:
+        drift.record_drift(spark, landing, entity, drift_path, pull, quarantine)
     if rows:
         _merge_pull(
             spark, target, pull,
@@ -133,14 +160,26 @@ def run_attendance(
 def run_backfill(
     spark: SparkSession, shards: str, first: str, last: str, target: str
 ) -> None:
-    """Add the shifts of a local day range of shards to the day-partitioned shift table."""
-    ingest.backfill_days(spark, spark.read.parquet(shards), ingest.DAY, first, last, target)
+    """Add the shifts of a local day range of shards to the day-partitioned shift table.
+
+    The days may differ in the types of their columns.
+    """
+    rows = ingest.shard_union(spark, shards, ingest.DAY, first, last, schemas.SHIFTS)
+    ingest.backfill_days(spark, rows, ingest.DAY, first, last, target)
 
 
 def run_fix_shards(spark: SparkSession, shards: str, first: str, last: str, fixed: str) -> None:
-    """Write a day range of wide shards, repaired, to a table of its own."""
+    """Write a day range of wide shards, repaired, to a table of its own.
+
+    Days that differ in types are brought to the wide schema, their lists as JSON text.
+    """
     require_new_path(spark, shards, fixed)
-    ingest.rewrite_shards(spark.read.parquet(shards), ingest.DAY, first, last, fixed)
+    frames = ingest.shard_frames(spark, shards, ingest.DAY, first, last)
+    if len(frames) == 1:
+        rows = frames[0]
+    else:
+        rows = ingest.shard_union(spark, shards, ingest.DAY, first, last, schemas.SHIFTS_WIDE)
+    ingest.rewrite_shards(rows, ingest.DAY, first, last, fixed)
 
 
 def pull_window(kind: str, now: datetime, first: str | None, last: str | None):
@@ -182,18 +221,29 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         added.add_argument("--entity", choices=sorted(schemas.SCHEMAS), required=True)
         added.add_argument("--mode", choices=["upsert", "insert"], default="upsert")
 
+    def setting_aside(added: argparse.ArgumentParser) -> None:
+        added.add_argument("--quarantine", help="table that takes lines which are no JSON")
+        added.add_argument("--broken-limit", type=int, default=Quarantine.limit)
+
     job("reports", "shifts", "receipts", "stores", "out")
+    job("kept-reports", "shifts", "kept", "stores", "out")
     added = job("ingest", "landing", "staging", "target")
     of_entity(added)
     merging(added, "error")
     pulled(added, "all")
+    setting_aside(added)
+    added.add_argument("--drift", help="table that notes fields which differ from the schema")
     added = job("stream", "landing", "target", "work")
     of_entity(added)
     merging(added, "latest")
+    setting_aside(added)
+    added.add_argument("--seen-within", help="with --mode insert: how long arrived keys are remembered")
     pulled(job("shards", "landing", "shards"), "previous-day")
     job("backfill", "shards", "target", "first", "last")
     job("fix-shards", "shards", "fixed", "first", "last")
-    pulled(job("time-entries", "landing", "raw"), "days")
+    added = job("time-entries", "landing", "raw")
+    pulled(added, "days")
+    setting_aside(added)
     added = job("attendance", "raw", "target")
     merging(added, "error")
     pulled(added)
@@ -206,6 +256,9 @@ def main(argv: list[str] | None = None) -> None:
     now = datetime.now(timezone.utc)
     as_of = datetime.fromisoformat(args.as_of) if args.as_of else now
     window = pull_window(args.window, as_of, args.first, args.last) if "window" in args else None
+    aside = None
+    if "quarantine" in args and args.quarantine:
+        aside = Quarantine(args.quarantine, args.broken_limit)
     done: dict[str, object] = {"job": args.job}
     if args.job == "reports":
         horizon = clock.as_utc(as_of) - timedelta(days=BASELINE_DAYS)
@@ -219,12 +272,17 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "ingest":
         done["rows"] = run_ingest(
             spark, args.entity, args.landing, args.staging, args.target, window,
-            args.mode, args.on_duplicate, args.pull,
+            args.mode, args.on_duplicate, args.pull, aside, args.drift,
+        )
+    elif args.job == "kept-reports":
+        stores = spark.read.schema(STORE_COLUMNS).option("header", True).csv(args.stores)
+        done["written"] = run_kept_reports(
+            spark, args.shifts, args.kept, stores, args.out, as_of
         )
     elif args.job == "stream":
         stream_ingest(
             spark, args.entity, args.landing, args.target, args.work, args.mode,
-            args.on_duplicate,
+            args.on_duplicate, quarantine=aside, seen_within=args.seen_within,
         ).awaitTermination()
     elif args.job == "shards":
         ingest.stage_shards(spark, args.landing, args.shards, window, pull=args.pull)
@@ -234,7 +292,7 @@ def main(argv: list[str] | None = None) -> None:
         run_fix_shards(spark, args.shards, args.first, args.last, args.fixed)
     elif args.job == "time-entries":
         done["rows"] = attendance.append_entries(
-            spark, args.landing, args.raw, window, args.pull, as_of
+            spark, args.landing, args.raw, window, args.pull, as_of, aside
         )
     else:
         raw = attendance.read_raw(spark, args.raw, args.pull)

@@ -1,17 +1,14 @@
-"""Joining points in time to the intervals that contain them.
+"""Joining points in time to the intervals that contain them, or summing them per interval.
 
-Both operators add a time bucket to the equality key. A point has one bucket,
-an interval one per bucket it touches, so no match is found twice, and a key
-that holds a third of all points is spread over its buckets. A bucket that is
-hot itself is salted further.
-
-The points are read more than once; stage them as a table when they are costly
-to compute.
+The join adds a time bucket to the equality key. A point has one bucket, an interval one
+per bucket it touches, so no match is found twice, and a key that holds a third of all points is
+spread over its buckets. A bucket that is hot itself is salted further; the points are read
+once more to find such buckets. The sums need no join of points and intervals at all.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from branchlens.functions.clock import EPOCH_NTZ
@@ -19,7 +16,9 @@ from branchlens.operators.skew import SALT, salt_hot_groups
 
 HOUR = 3600
 _FIRST, _LAST, _BUCKET = "_first_bucket", "_last_bucket", "_bucket"
-_VALUE, _WHOLE = "_value", "_whole"
+_AT, _KIND, _N = "_at", "_kind", "_n"
+# One digit less than a sum may have: adding two such numbers keeps all decimals.
+EXACT = "decimal(37,12)"
 
 
 def time_bucket(at: Column, seconds: int) -> Column:
@@ -79,14 +78,7 @@ def interval_join(
     return _within(_bucketed(points, at, bucket_seconds), touched, key, at, start, end)
 
 
-def _run(first: Column, last: Column) -> Column:
-    """Whole numbers ``first..last``, none when ``last`` is smaller."""
-    return F.when(first <= last, F.sequence(first, last)).otherwise(
-        F.array().cast("array<bigint>")
-    )
-
-
-def interval_parts(
+def interval_totals(
     points: DataFrame,
     intervals: DataFrame,
     key: str,
@@ -95,74 +87,81 @@ def interval_parts(
     end: str,
     group: str,
     value: str,
+    groups: tuple[str, ...],
     interval_columns: list[str],
-    bucket_seconds: int = HOUR,
-    block: int = 24,
+    bucket_seconds: int = 60,
 ) -> DataFrame:
-    """Partial sums of ``value`` per interval and ``group``, several rows per pair.
-
-    Summed up, they equal :func:`interval_join` grouped by ``interval_columns``
-    and ``group``. But an interval meets single points only in its first and
-    last bucket. Buckets between enter as one total each, and whole blocks of
-    ``block`` buckets as one total per block. Long or many overlapping intervals
-    therefore do not multiply the points: one open for 90 days meets some 130
-    totals. Null values count as 0, yet their point still makes a row appear.
+    """Sum of ``value`` per interval, one column per value of ``group`` listed in ``groups``.
+
+    Equals :func:`interval_join` summed by ``interval_columns``; intervals without a point of
+    these groups do not appear, and a group without points sums to 0.0. Null values count
+    as 0, yet their point makes its interval appear.
+
+    By prefix sums: the total up to an interval's end minus the total before its start, so
+    neither long nor overlapping intervals multiply the points. The points are read once and
+    added up per key and moment, then per key and bucket. A running total per key goes over the
+    buckets, one row each; another goes over the moments of just those buckets in which
+    an interval begins or ends. So no task ever sorts more rows of a key than it has
+    buckets, nor of a bucket than the clock has ticks in it. Running totals are
+    exact decimals: what two of them have in common cancels without a rest.
     """
-    valued = points.select(key, at, group, F.coalesce(value, F.lit(0.0)).alias(_VALUE))
-    spread = _bucketed(valued, at, bucket_seconds)
-    bounded = _bounded(intervals, key, start, end, bucket_seconds)
-
-    ends = bounded.withColumn(_BUCKET, F.explode(F.array_distinct(F.array(_FIRST, _LAST))))
-    at_ends = _within(spread, ends, key, at, start, end)
-
-    total = F.sum(_VALUE).alias(_VALUE)
-    per_bucket = spread.groupBy(key, _BUCKET, group).agg(total)
-    block_of = F.floor(F.col(_BUCKET) / block)
-    per_block = per_bucket.groupBy(key, block_of.alias(_BUCKET), group).agg(total)
-    totals = per_bucket.withColumn(_WHOLE, F.lit(False)).unionByName(
-        per_block.withColumn(_WHOLE, F.lit(True))
+    sums = [f"_sum_{i}" for i in range(len(groups))]
+    wanted = points.where(F.col(key).isNotNull() & F.col(at).isNotNull() & F.col(group).isin(*groups))
+    moments = (
+        wanted.withColumn(_BUCKET, time_bucket(F.col(at), bucket_seconds))
+        .groupBy(key, _BUCKET, F.col(at).alias(_AT))
+        .agg(
+            *[F.sum(F.when(F.col(group) == g, F.col(value))).alias(c) for c, g in zip(sums, groups, strict=True)],
+            F.count("*").alias(_N),
+        )
+        .select(key, _BUCKET, _AT, *[F.coalesce(F.col(c), F.lit(0.0)).cast(EXACT).alias(c) for c in sums], _N)
     )
-    first, last = F.col(_FIRST), F.col(_LAST)
-    first_block, last_block = F.floor(first / block), F.floor(last / block)
-    singles = F.when(
-        last_block - first_block >= 2,
-        F.concat(
-            _run(first + 1, (first_block + 1) * block - 1), _run(last_block * block, last - 1)
+    totals = [*sums, _N]
+    zeros = [*[F.lit(0).cast(EXACT).alias(c) for c in sums], F.lit(0).cast("bigint").alias(_N)]
+
+    bounded = intervals.where(F.col(key).isNotNull() & (F.col(start) <= F.col(end)))
+    # A start comes before the points of its moment, an end after them.
+    ends = bounded.select(
+        *interval_columns,
+        *([] if key in interval_columns else [key]),
+        F.inline(
+            F.array(
+                F.struct(F.col(start).alias(_AT), F.lit(0).alias(_KIND)),
+                F.struct(F.col(end).alias(_AT), F.lit(2).alias(_KIND)),
+            )
         ),
-    ).otherwise(_run(first + 1, last - 1))
-    blocks = _run(first_block + 1, last_block - 1)
-
-    def marked(numbers: Column, whole: bool) -> Column:
-        return F.transform(
-            numbers, lambda n: F.struct(F.lit(whole).alias(_WHOLE), n.alias(_BUCKET))
+    )
+    marks = ends.select(key, time_bucket(F.col(_AT), bucket_seconds).alias(_BUCKET), _AT, _KIND).distinct()
+    marked = marks.select(key, _BUCKET).distinct()
+
+    def running(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+        """Marks with the totals of the rows before them."""
+        window = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        summed = {c: F.sum(c).over(window).cast("bigint" if c == _N else EXACT) for c in totals}
+        return rows.withColumns(summed).where(F.col(_KIND) != 1)
+
+    inside = moments.join(marked, [key, _BUCKET], "left_semi").withColumn(_KIND, F.lit(1))
+    within = running(
+        inside.unionByName(marks.select("*", *zeros)), [key, _BUCKET], [_AT, _KIND]
+    )
+    per_bucket = moments.groupBy(key, _BUCKET).agg(
+        *[F.sum(c).cast("bigint" if c == _N else EXACT).alias(c) for c in totals]
+    )
+    before = running(
+        per_bucket.withColumn(_KIND, F.lit(1)).unionByName(marked.select("*", *zeros, F.lit(0).alias(_KIND))),
+        [key],
+        [_BUCKET, _KIND],
+    ).select(key, _BUCKET, *[F.col(c).alias(f"{c}_before") for c in totals])
+    prefix = within.join(before, [key, _BUCKET]).select(
+        key, _AT, _KIND, *[(F.col(c) + F.col(f"{c}_before")).alias(c) for c in totals]
+    )
+    return (
+        ends.join(prefix, [key, _AT, _KIND])
+        .groupBy(*interval_columns)
+        .agg(*[F.sum(F.when(F.col(_KIND) == 0, -F.col(c)).otherwise(F.col(c))).alias(c) for c in totals])
+        .where(F.col(_N) > 0)
+        .select(
+            *interval_columns,
+            *[F.col(c).cast("double").alias(g) for c, g in zip(sums, groups, strict=True)],
         )
-
-    # Buckets strictly between the first and the last lie inside as a whole.
-    covered = bounded.select(
-        *intervals.columns,
-        F.inline(F.concat(marked(singles, False), marked(blocks, True))),
-    ).hint("merge")
-    between = totals.join(covered, [key, _WHOLE, _BUCKET])
-
-    columns = [*interval_columns, group, F.col(_VALUE).alias(value)]
-    return at_ends.select(*columns).unionByName(between.select(*columns))
-
-
-def interval_sum(
-    points: DataFrame,
-    intervals: DataFrame,
-    group: str,
-    value: str,
-    interval_columns: list[str],
-    **options,
-) -> DataFrame:
-    """Sum of ``value`` per interval and ``group``; options as :func:`interval_parts`."""
-    parts = interval_parts(
-        points,
-        intervals,
-        group=group,
-        value=value,
-        interval_columns=interval_columns,
-        **options,
     )
-    return parts.groupBy(*interval_columns, group).agg(F.sum(value).alias(value))

@@ -11,28 +11,74 @@ when it is costly to compute.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from branchlens.functions.clock import EPOCH_NTZ
 from branchlens.operators.skew import join_repeated, join_unique
 
-_COPIES, _FIRST = "_copies", "_first"
+_COPIES, _FIRST, _RANK, _BEST = "_copies", "_first", "_rank", "_best"
+# A rank is the order number times _TIES plus the tie number, 38 digits at most.
+_TIES, _EARLIEST = Decimal(10**19), -(1 << 63)
+
+
+def _order_number(df: DataFrame, name: str) -> Column | None:
+    """The order column as a bigint; None for types whose order no bigint keeps."""
+    dtype, column = df.schema[name].dataType, F.col(name)
+    if isinstance(dtype, T.TimestampType):
+        return F.unix_micros(column)
+    if isinstance(dtype, T.TimestampNTZType):
+        return F.call_function("div", column - F.expr(EPOCH_NTZ), F.expr("INTERVAL '0.000001' SECOND"))
+    if isinstance(dtype, T.DateType):
+        return F.unix_date(column).cast("bigint")
+    if isinstance(dtype, T.IntegralType):
+        return column.cast("bigint")
+    return None
+
+
+def tie_number(columns: list[str]) -> Column:
+    """60 bits that settle ties: the first 15 hex digits of the md5 of the values as text.
+
+    The texts are joined by character 31; a null is character 30.
+    """
+    texts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x1e")) for c in columns]
+    return F.conv(F.substring(F.md5(F.concat_ws("\x1f", *texts)), 1, 15), 16, 10)
 
 
 def latest_per_key(source: DataFrame, key: str, order_by: str) -> DataFrame:
     """One row per non-null key, the greatest by ``order_by``; null keys all stay.
 
-    ``max`` over a struct combines on the map side, so the copies of one hot
-    key never meet in a single task. Ties fall to the remaining columns.
+    A null counts as the earliest. Of equally late rows that with the greatest :func:`tie_number` of the
+    remaining columns wins. Time and tie make one number of fixed width, whose maximum a hash aggregate
+    finds with a combine on the map side, so the copies of a hot key shrink before
+    the shuffle; a join then picks the row. For an order that is neither time, date nor whole
+    number, the remaining columns settle ties in their order instead.
     """
     others = [c for c in source.columns if c not in (key, order_by)]
-    best = (
-        source.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.max(F.struct(order_by, *others)).alias("_best"))
-        .select(key, "_best.*")
-        .select(*source.columns)
-    )
+    keyed = source.where(F.col(key).isNotNull())
+    number = _order_number(source, order_by)
+    if number is None:
+        best = (
+            keyed.groupBy(key)
+            .agg(F.max(F.struct(order_by, *others)).alias("_best"))
+            .select(key, "_best.*")
+            .select(*source.columns)
+        )
+    else:
+        moment = F.coalesce(number, F.lit(_EARLIEST)).cast("decimal(19,0)")
+        rank = moment * F.lit(_TIES) + tie_number(others).cast("decimal(19,0)")
+        ranked = keyed.withColumn(_RANK, rank.cast("decimal(38,0)"))
+        greatest = ranked.groupBy(key).agg(F.max(_RANK).alias(_BEST), F.count("*").alias(_COPIES))
+        # Exact copies of the row are left together; the last step makes them one.
+        best = (
+            join_repeated(ranked, greatest, key, "inner", _COPIES)
+            .where(F.col(_RANK) == F.col(_BEST))
+            .select(*source.columns)
+            .distinct()
+        )
     return best.unionByName(source.where(F.col(key).isNull()))
 
 

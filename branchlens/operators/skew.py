@@ -10,8 +10,7 @@ SALT, _PARTS, _N = "_salt", "_parts", "_n"
 # Rows of one key that one task takes; a key with more of them is spread over
 # as many tasks as that makes.
 HOT_COPIES = 1_000_000
-# Entries the broadcast list of hot keys may have. With more rows than
-# HOT_COPIES times this, a key must hold one row in HOT_KEYS to be listed.
+# Entries the broadcast list of hot keys may have.
 HOT_KEYS = 100_000
 # Rows and bytes of text a side may have to be broadcast.
 BROADCAST_ROWS = 100_000
@@ -37,15 +36,14 @@ def _zero() -> Column:
 
 
 def _listed(counts: DataFrame, keys: list[str], copies: str) -> DataFrame:
-    """Keys to spread and over how many salts; ``HOT_KEYS`` entries at most.
+    """Keys to spread and over how many salts: the ``HOT_KEYS`` largest of those that need it.
 
-    Each listed key holds over one in ``HOT_KEYS`` of all rows, so there are
-    fewer of them than that, however many rows there are.
+    A key that is not listed has at most ``HOT_COPIES`` rows, or less than one in
+    ``HOT_KEYS`` of all.
     """
-    total = counts.agg(F.coalesce(F.sum(copies), _zero())).scalar()
-    bound = F.greatest(F.lit(HOT_COPIES).cast("double"), total / F.lit(HOT_KEYS))
     parts = F.ceil(F.col(copies) / F.lit(HOT_COPIES)).cast("bigint")
-    return counts.where(F.col(copies) > bound).select(*keys, parts.alias(_PARTS))
+    hot = counts.where(F.col(copies) > HOT_COPIES).orderBy(F.desc(copies)).limit(HOT_KEYS)
+    return hot.select(*keys, parts.alias(_PARTS))
 
 
 def _salted_rows(rows: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:

@@ -364,6 +364,17 @@ SELECT strftime(ds, '%Y-%m-%d') AS ds, id, {_t('ts')} AS opened_at,
        round(value, 6) AS starting_cash, round(value + 12, 6) AS surcharge,
        'PAY_IN' AS first_type, true AS keeps_null, round(value * 3, 6) AS moved
 FROM shard
+""",
+    "backfill_mixed_shards": SHARDS
+    + f"""
+, firsts AS (
+  SELECT id, min(ds) AS ds FROM shard GROUP BY id
+)
+SELECT s.id, {_t('s.ts')} AS opened_at, round(s.value * 3, 6) AS moved,
+       CASE day(s.ds) % 3 WHEN 0 THEN k || ',' || event_id
+            WHEN 1 THEN '{{"rate":' || k || '}},{{"rate":' || event_id || '}}'
+            ELSE '"' || k || '","' || event_id || '"' END AS taxes
+FROM shard s JOIN firsts f ON s.id = f.id AND s.ds = f.ds
 """,
     "shard_replace": f"""
 SELECT 'S' || event_id AS id, strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d') AS ds,
@@ -435,6 +446,17 @@ SELECT 'R' || event_id AS receipt_number, CAST(user_id % 30 AS VARCHAR) AS store
        round(value + CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 0 ELSE 1 END, 6) AS total_money,
        CAST(user_id AS VARCHAR) AS customer_id, event_type AS item_name
 FROM events
+""",
+    "repeat_after_later_pull": f"""
+SELECT 'R' || event_id AS receipt_number, {_t('ts')} AS created_at,
+       round(value + CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 0
+                          WHEN ts < TIMESTAMP '2024-01-18' THEN 1 ELSE 2 END, 6) AS total_money
+FROM events
+""",
+    "repeat_stream_batch": f"""
+SELECT 'R' || event_id AS receipt_number, {_t('ts')} AS created_at,
+       round(value + CASE WHEN ts < TIMESTAMP '2024-01-18' THEN 0 ELSE 2 END, 6) AS total_money
+FROM events WHERE ts >= TIMESTAMP '2024-01-10'
 """,
     "array_to_json_strings": """
 SELECT conv_id, turn, replace(text, chr(10), '|') AS lines, true AS keeps_null,
@@ -496,7 +518,11 @@ SELECT {_attendance("'Shift'")} FROM parsed WHERE ts >= TIMESTAMP '2024-01-15'
 , twice AS (
   SELECT *, 'Shift' AS activity FROM parsed UNION ALL SELECT *, 'Again' AS activity FROM parsed
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY attn_id ORDER BY updated_at DESC, activity DESC) AS r
+  SELECT *, row_number() OVER (PARTITION BY attn_id ORDER BY updated_at DESC,
+    substr(md5(concat_ws(chr(31), coalesce(strftime(day, '%Y-%m-%d'), chr(30)),
+      coalesce(full_name, chr(30)), 'Floor', coalesce(entry_type, chr(30)),
+      coalesce(regexp_replace(strftime(time_ts, '%Y-%m-%d %H:%M:%S.%f'), '\\.?0+$', ''), chr(30)),
+      coalesce(CAST(seconds AS VARCHAR), chr(30)), activity, coalesce(kiosk, chr(30)))), 1, 15) DESC) AS r
   FROM twice
 )
 SELECT {_attendance("'Shift'")} FROM parsed
@@ -527,3 +553,40 @@ SELECT event_id, CASE event_id % 4
 FROM events
 """,
 }
+ORACLE["repeat_attendance_pull"] = ORACLE["attendance_pipeline"]
+_MOVED = """, moved AS (
+  SELECT * REPLACE (opened_at + CASE WHEN CAST(opened_at AS DATE) = DATE '2024-01-24'
+                                     THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS opened_at) FROM shifts
+), stores AS ("""
+ORACLE["kept_baseline"] = (
+    ORACLE["slot_baseline"].replace(", stores AS (", _MOVED).replace("FROM shifts s LEFT", "FROM moved s LEFT")
+)
+ORACLE["sales_dip_kept"] = ORACLE["sales_dip_anomalies_k1"]
+ORACLE["summary_kept"] = ORACLE["summary_sales"]
+ORACLE["granular_kept"] = ORACLE["granular_sales"]
+ORACLE["quarantine_ingest"] = ORACLE["quarantine_stream"] = r"""
+SELECT 'table' AS place, 'R' || event_id AS content FROM events WHERE event_type <> 'error'
+UNION ALL
+SELECT 'quarantine', '{"receipts": [cut ' || regexp_replace(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '\.?0+$', '')
+FROM events WHERE event_type = 'error'
+"""
+ORACLE["stream_insert_seen"] = f"""
+SELECT 'R' || event_id AS receipt_number, {_t('ts')} AS created_at,
+       round(value + CASE WHEN ts < TIMESTAMP '2024-01-20' THEN 0 ELSE 1 END, 6) AS total_money
+FROM events
+"""
+ORACLE["schema_drift"] = """
+WITH first AS (
+  SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-20'
+), second AS (
+  SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-15'
+)
+SELECT 'first' AS pull, 'customer_vip' AS field, 'BOOLEAN' AS landed_type, 'none' AS expected_type,
+       count(*) AS records FROM first HAVING count(*) > 0
+UNION ALL SELECT 'first', 'loyalty', 'OBJECT<level: BIGINT>', 'none', count(*) FROM first
+WHERE event_type = 'click' HAVING count(*) > 0
+UNION ALL SELECT 'second', 'total_money', 'STRING', 'double', count(*) FROM second
+WHERE event_type = 'error' HAVING count(*) > 0
+UNION ALL SELECT 'second', 'points_earned', 'BOOLEAN', 'bigint', count(*) FROM second HAVING count(*) > 0
+UNION ALL SELECT 'second', 'store_id', 'BIGINT', 'string', count(*) FROM second HAVING count(*) > 0
+"""

@@ -13,13 +13,10 @@ from branchlens import schemas
 from branchlens.functions import clock, parsing
 from branchlens.operators.merge import upsert
 from branchlens.session import fresh_path
-from branchlens.sources.landing import pull_folder, read_envelopes
-from branchlens.sources.tables import (
-    drop_staged,
-    read_or_empty,
-    refresh_partitions,
-    replace_table,
-)
+from branchlens.sources.files import drop_staged
+from branchlens.sources.landing import Quarantine, pull_folder, read_envelopes
+from branchlens.sources.publish import refresh_partitions, release_staged
+from branchlens.sources.tables import read_or_empty, replace_table
 
 # Each load of the raw table is a partition, named after its pull.
 PULL, LOADED = "pull", "load_dt"
@@ -31,9 +28,11 @@ PAYLOAD_KEYS = (
 )
 
 
-def read_entries(spark: SparkSession, landing: str) -> DataFrame:
+def read_entries(
+    spark: SparkSession, landing: str, quarantine: Quarantine | None = None, load: str = "all"
+) -> DataFrame:
     """Landed time entries: the raw record as JSON text, and its known fields."""
-    raw = read_envelopes(spark, landing, "data", T.VariantType()).select(
+    raw = read_envelopes(spark, landing, "data", T.VariantType(), quarantine, load).select(
         F.to_json("record").alias("raw_payload")
     )
     return raw.select(
@@ -85,6 +84,7 @@ def append_entries(
     window: tuple[datetime, datetime] | None = None,
     pull: str | None = None,
     loaded: datetime | None = None,
+    quarantine: Quarantine | None = None,
 ) -> int:
     """Normalise landed time entries and add them to the raw table; also their number.
 
@@ -93,7 +93,7 @@ def append_entries(
     ``window`` keeps entries whose moment lies in it, both ends included.
     ``load_dt`` is the moment of the load in UTC. Without entries the load has no partition.
     """
-    entries = read_entries(spark, pull_folder(landing, pull))
+    entries = read_entries(spark, pull_folder(landing, pull), quarantine, pull or "all")
     if window is not None:
         start, end = (clock.ntz_literal(m) for m in window)
         entries = entries.where(entry_moment(entries).between(start, end))
@@ -199,7 +199,7 @@ def merge_attendance(
         )
     finally:
         if work_path is None:
-            drop_staged(spark, staging)
+            release_staged(spark, target_path, staging)
 
 
 def read_attendance(spark: SparkSession, path: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -21,15 +22,14 @@ from branchlens.functions.nested import (
 )
 from branchlens.operators.merge import first_day_rows, insert_only, insert_only_by_day, upsert
 from branchlens.session import fresh_path
-from branchlens.sources.landing import pull_folder, read_envelopes
+from branchlens.sources.files import drop_staged, folder_names, path_exists, require_new_path
+from branchlens.sources.landing import Quarantine, pull_folder, read_envelopes
+from branchlens.sources.publish import refresh_partitions, release_staged
 from branchlens.sources.tables import (
     day_shards,
-    drop_staged,
     read_or_empty,
-    refresh_partitions,
     replace_partitions,
     replace_table,
-    require_new_path,
     require_partitioned,
 )
 
@@ -39,6 +39,7 @@ MOMENT = {"receipts": "created_at", "shifts": "opened_at"}
 # What tells the later of two copies of a record: an open shift has no closing time.
 UPDATED = {"receipts": "updated_at", "shifts": "closed_at"}
 DAY = "ds"
+FOOTERS = 8  # days whose footers are read at once
 
 
 def window_filter(records: DataFrame, window: tuple[datetime, datetime], column: str) -> DataFrame:
@@ -52,13 +53,17 @@ def landed_records(
     key: str,
     schema: T.StructType,
     record: T.StructType | None = None,
+    quarantine: Quarantine | None = None,
+    load: str = "all",
 ) -> DataFrame:
     """Landed records flattened and projected onto a fixed schema.
 
     ``record`` describes the raw records where they nest differently. Without
     it, a column may be nested in any way its name allows.
     """
-    raw = read_envelopes(spark, path, key, record or schemas.record_schema(schema))
+    raw = read_envelopes(
+        spark, path, key, record or schemas.record_schema(schema), quarantine, load
+    )
     return conformed_records(raw, schema)
 
 
@@ -73,14 +78,18 @@ def stage(
     staging: str,
     window: tuple[datetime, datetime] | None = None,
     pull: str | None = None,
+    quarantine: Quarantine | None = None,
 ) -> tuple[DataFrame, int]:
     """Replace the staging table of ``entity`` by its landed records; also their number.
 
     Only the pages of ``pull`` are read, when it is named. The rows are counted
-    while they are written.
+    while they are written. Broken lines go to ``quarantine`` if there is one.
     """
     schema = schemas.SCHEMAS[entity]
-    records = landed_records(spark, pull_folder(landing, pull), entity, schema)
+    records = landed_records(
+        spark, pull_folder(landing, pull), entity, schema,
+        quarantine=quarantine, load=pull or "all",
+    )
     if window is not None:
         records = window_filter(records, window, MOMENT[entity])
     loaded = Observation()
@@ -120,7 +129,10 @@ def stage_shards(
     return replace_partitions(by_day, path, DAY)
 
 
-def _merge(entity: str, mode: str, on_duplicate: str) -> Callable[[DataFrame, DataFrame], DataFrame]:
+def merge_of(
+    entity: str, mode: str = "upsert", on_duplicate: str = "error"
+) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """The merge of an entity as a function of its table and a batch."""
     key = schemas.MERGE_KEYS[entity]
 
     def merged(target: DataFrame, source: DataFrame) -> DataFrame:
@@ -155,12 +167,12 @@ def merge_days(
             with_day(staged, entity),
             schemas.MERGE_KEYS[entity],
             DAY,
-            _merge(entity, mode, on_duplicate),
+            merge_of(entity, mode, on_duplicate),
             staging,
         )
     finally:
         if work_path is None:
-            drop_staged(spark, staging)
+            release_staged(spark, target_path, staging)
 
 
 def with_day(records: DataFrame, entity: str) -> DataFrame:
@@ -184,7 +196,7 @@ def merge_table(
     """
     require_new_path(spark, current, target)
     rows = read_or_empty(spark, current, schemas.SCHEMAS[entity])
-    return replace_table(_merge(entity, mode, on_duplicate)(rows, staged), target)
+    return replace_table(merge_of(entity, mode, on_duplicate)(rows, staged), target)
 
 
 def read_days(
@@ -215,6 +227,51 @@ def _as_json_strings(df: DataFrame, name: str) -> Column:
     return array_to_json_strings(F.col(name), dtype)
 
 
+def shard_frames(
+    spark: SparkSession, path: str, day: str, first: str, last: str
+) -> list[DataFrame]:
+    """The shards of an inclusive day range, one frame per schema that their files have.
+
+    Each day was written with types of its own: a list may hold numbers on one day, objects or
+    texts on another, and one read takes one schema. The footers of every day are read
+    first; days alike are then read together. Days outside the range are not opened.
+    """
+    if not path_exists(spark, path):
+        raise FileNotFoundError(path)
+    days = {}
+    for name in folder_names(spark, path):
+        column, _, value = name.partition("=")
+        if column == day and value[:1].isdigit() and first <= value <= last:
+            days[value] = f"{path}/{name}"
+
+    def schema(folder: str) -> T.StructType:
+        return spark.read.option("mergeSchema", True).parquet(folder).schema
+
+    with ThreadPoolExecutor(FOOTERS) as pool:
+        schemas_of = list(pool.map(schema, days.values()))
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for folder, found in zip(days.values(), schemas_of, strict=True):
+        groups.setdefault(found.simpleString(), (found, []))[1].append(folder)
+    return [
+        spark.read.schema(T.StructType([*found.fields, T.StructField(day, T.DateType())]))
+        .option("basePath", path)
+        .parquet(*folders)
+        for found, folders in groups.values()
+    ]
+
+
+def shard_union(
+    spark: SparkSession, path: str, day: str, first: str, last: str, schema: T.StructType
+) -> DataFrame:
+    """The shards of a day range as rows of ``schema`` and their day, lists as JSON texts."""
+    out = schemas.empty_table(spark, T.StructType([*schema.fields, T.StructField(day, T.DateType())]))
+    for shards in shard_frames(spark, path, day, first, last):
+        lists = [f.name for f in schema.fields if f.dataType == T.ArrayType(T.StringType())]
+        texts = normalise_shards(shards, tuple(c for c in lists if c in shards.columns))
+        out = out.unionByName(schemas.conform(texts, out.schema))
+    return out
+
+
 def normalise_shards(
     shards: DataFrame, arrays: tuple[str, ...] = ("cash_movements", "taxes")
 ) -> DataFrame:

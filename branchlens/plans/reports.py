@@ -14,12 +14,11 @@ from pyspark.sql import functions as F
 from branchlens.functions import clock
 from branchlens.operators.baseline import (
     GROUP,
-    item_pivot,
     sample_std,
     slot_baseline,
     slot_baseline_by_day,
 )
-from branchlens.operators.interval_join import interval_join, interval_parts
+from branchlens.operators.interval_join import interval_join, interval_totals
 from branchlens.operators.lookup import UNKNOWN_STORE, lookup_with_default, with_group_stats
 from branchlens.plans.shift_fact import (
     ANALYSIS_DAYS,
@@ -62,7 +61,8 @@ def _flag(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
-def _dip_flags(df: DataFrame, k_sigma: float, hard_ratio: float) -> DataFrame:
+def dip_flags(df: DataFrame, k_sigma: float, hard_ratio: float) -> DataFrame:
+    """Facts with their slot's statistics: those that fall under one of the rules."""
     flagged = (
         df.withColumn("anomaly_threshold", F.col("avg_sales") - k_sigma * F.col("std_sales"))
         .withColumn(
@@ -96,7 +96,7 @@ def sales_dip_anomalies(
     """
     recent = facts.where(is_recent("shift_opening_time", as_of, analysis_days, tz))
     judged = with_group_stats(recent, slot_baseline(facts), GROUP, max_groups)
-    return _dip_flags(judged, k_sigma, hard_ratio)
+    return dip_flags(judged, k_sigma, hard_ratio)
 
 
 def sales_dip_window(
@@ -111,7 +111,7 @@ def sales_dip_window(
     by_day = facts.withColumn("_day", F.to_date("shift_opening_time"))
     recent = by_day.where(is_recent("shift_opening_time", as_of, analysis_days, tz))
     judged = with_group_stats(recent, slot_baseline_by_day(by_day, "_day"), [*GROUP, "_day"])
-    return _dip_flags(judged, k_sigma, hard_ratio)
+    return dip_flags(judged, k_sigma, hard_ratio)
 
 
 def summary_sales(
@@ -165,7 +165,10 @@ def granular_sales(
         .groupBy(*GROUP)
         .agg(F.avg("total_sales").alias("Average Historic Sales"))
     )
-    compared = with_group_stats(facts.where(recent), usual, GROUP, max_groups)
+    return granular_columns(with_group_stats(facts.where(recent), usual, GROUP, max_groups), ordered)
+
+
+def granular_columns(compared: DataFrame, ordered: bool = False) -> DataFrame:
     return compared.select(
         F.col("store_name").alias("Branch Name"),
         F.col("shift_slot").alias("Shift"),
@@ -279,21 +282,22 @@ def shift_items(
 ) -> DataFrame:
     """Quantity of each wanted item per shift, one column per item.
 
-    ``sales`` as of :func:`receipt_items`, staged, since it is read several
-    times. Only shifts that sold at least one of the items appear.
+    ``sales`` as of :func:`receipt_items`; they are read once. Only shifts that sold at
+    least one of the items appear; those without id or store are left out.
     """
-    parts = interval_parts(
+    totals = interval_totals(
         sales,
-        open_intervals(shifts, as_of, baseline_days, tz),
+        open_intervals(shifts, as_of, baseline_days, tz).where(F.col("shift_number").isNotNull()),
         key="store_id",
         at="created_at",
         start="opened_at",
         end="closed_at",
         group="name",
         value="quantity",
+        groups=items,
         interval_columns=["shift_number", "opened_at", "store_id"],
-    ).withColumnRenamed("opened_at", "shift_opening_time")
-    return item_pivot(parts, ["shift_number", "shift_opening_time", "store_id"], items)
+    )
+    return totals.withColumnRenamed("opened_at", "shift_opening_time")
 
 
 def _slug(item: str) -> str:

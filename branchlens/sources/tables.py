@@ -6,47 +6,14 @@ files, splitting a hot partition over several tasks and joining small ones.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from branchlens.schemas import empty_table
+from branchlens.sources.files import located, path_exists, write_text
 
-_DAYS, _ROWS, _PULLS = "days", "rows", "_pulls"
-
-
-def _located(spark: SparkSession, path: str):
-    """File system and qualified form of a path."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return files, files.makeQualified(hadoop_path)
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    files, located = _located(spark, path)
-    return files.exists(located)
-
-
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """Whether a write to ``path`` ran to its end."""
-    return path_exists(spark, f"{path}/_SUCCESS")
-
-
-def drop_staged(spark: SparkSession, path: str) -> None:
-    """Delete an intermediate table once nothing reads it any more."""
-    files, located = _located(spark, path)
-    files.delete(located, True)
-
-
-def require_new_path(spark: SparkSession, current: str, target: str) -> None:
-    """Refuse to write a new table version over the one it is computed from.
-
-    Qualified paths are compared, so ``file:/x`` and ``/x/`` are the same.
-    """
-    if _located(spark, current)[1].equals(_located(spark, target)[1]):
-        raise ValueError(f"cannot overwrite the table being read: {target}")
+_PULLS = "_pulls"
 
 
 def require_partitioned(spark: SparkSession, path: str, partition_by: str) -> None:
@@ -54,10 +21,10 @@ def require_partitioned(spark: SparkSession, path: str, partition_by: str) -> No
 
     Spark would ignore such files once partition folders lie beside them.
     """
-    files, located = _located(spark, path)
-    if not files.exists(located):
+    files, place = located(spark, path)
+    if not files.exists(place):
         return
-    for entry in files.listStatus(located):
+    for entry in files.listStatus(place):
         name = entry.getPath().getName()
         hidden = name.startswith(("_", ".")) and "=" not in name
         if not hidden and not (entry.isDirectory() and name.startswith(f"{partition_by}=")):
@@ -72,15 +39,14 @@ def pull_is_done(spark: SparkSession, path: str, pull: str | None) -> bool:
 def mark_pull(spark: SparkSession, path: str, pull: str | None) -> None:
     """Note beside the data, in a folder Spark does not read, that a pull is merged."""
     if pull is not None:
-        files, located = _located(spark, f"{path}/{_PULLS}/{pull}")
-        files.create(located, True).close()
+        write_text(spark, f"{path}/{_PULLS}/{pull}", "")
 
 
 def replace_table(df: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
     """Overwrite ``path`` with ``df`` and return the written table.
 
     Never point this at a path ``df`` itself reads from: the old files are
-    deleted before the new ones are computed. See :func:`require_new_path`.
+    deleted before the new ones are computed. See ``files.require_new_path``.
     """
     if partition_by is None:
         df.write.mode("overwrite").parquet(path)
@@ -123,66 +89,3 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 def day_shards(shards: DataFrame, day: str, first: str, last: str) -> DataFrame:
     """Rows of an inclusive day range; on a day-partitioned table only those days are read."""
     return shards.where(F.col(day).between(F.lit(first).cast("date"), F.lit(last).cast("date")))
-
-
-def touched_days(
-    target: DataFrame, source: DataFrame, key: str, partition_by: str
-) -> DataFrame:
-    """Partitions a batch touches: its own, and those where its keys are now.
-
-    Of the target only the key and the partition column are read.
-    """
-    keys = source.where(F.col(key).isNotNull()).select(key)
-    now = target.select(key, partition_by).join(keys, key, "left_semi").select(partition_by)
-    # The flag gives the planner a filter, without which it does not prune by a join.
-    return source.select(partition_by).union(now).distinct().withColumn("touched", F.lit(1))
-
-
-def in_partitions(target: DataFrame, days: DataFrame, partition_by: str) -> DataFrame:
-    """Target rows in the listed partitions; dynamic pruning keeps the others unread."""
-    wanted = days.where("touched > 0").select(partition_by)
-    rows = target.join(wanted.where(F.col(partition_by).isNotNull()), partition_by, "left_semi")
-    if wanted.where(F.col(partition_by).isNull()).isEmpty():
-        return rows.select(*target.columns)
-    return rows.select(*target.columns).unionByName(target.where(F.col(partition_by).isNull()))
-
-
-def _drop_partition(spark: SparkSession, path: str, partition_by: str, value: object) -> None:
-    """Delete the folder of one partition; Spark's own naming gives its path."""
-    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    text = None if value is None else str(value)
-    drop_staged(spark, f"{path}/{names.getPartitionPathString(partition_by, text)}")
-
-
-def refresh_partitions(
-    spark: SparkSession,
-    target_path: str,
-    source: DataFrame,
-    key: str,
-    partition_by: str,
-    merge: Callable[[DataFrame, DataFrame], DataFrame],
-    staged_path: str,
-) -> None:
-    """Merge a batch into a partitioned table, rewriting only touched partitions.
-
-    A key may move to another partition: the partition it leaves is rewritten
-    too, and deleted when nothing is left in it. The merged partitions are
-    staged first and published from there: a run that dies while publishing is
-    repeated from the same staged rows, and one that dies earlier has changed
-    nothing. Repeating a finished run with the same ``staged_path`` publishes
-    the same rows again.
-    """
-    require_partitioned(spark, target_path, partition_by)
-    days_path, rows_path = f"{staged_path}/{_DAYS}", f"{staged_path}/{_ROWS}"
-    if not is_complete(spark, rows_path):
-        target = read_or_empty(spark, target_path, source.schema)
-        days = replace_table(touched_days(target, source, key, partition_by), days_path)
-        merged = merge(in_partitions(target, days, partition_by), source)
-        replace_table(merged.select(*source.columns), rows_path)
-    staged = spark.read.schema(source.schema).parquet(rows_path)
-    replace_partitions(staged, target_path, partition_by)
-    left = staged.select(F.col(partition_by).alias("_left")).distinct()
-    days = spark.read.parquet(days_path)
-    emptied = days.join(left, F.col(partition_by).eqNullSafe(F.col("_left")), "left_anti")
-    for row in emptied.select(partition_by).toLocalIterator():
-        _drop_partition(spark, target_path, partition_by, row[0])

@@ -6,20 +6,32 @@ from collections.abc import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from branchlens import schemas
 from branchlens.operators.merge import insert_only, upsert
 from branchlens.plans import ingest
+from branchlens.sources.files import drop_staged
 from branchlens.sources.landing import (
     CHECKED,
+    Quarantine,
     checked_schema,
     envelope_schema,
     explode_envelopes,
     refuse_broken,
+    set_aside,
+    with_origin,
 )
-from branchlens.sources.tables import drop_staged, refresh_partitions
+from branchlens.sources.publish import refresh_partitions
+
+_ARRIVED, _KEY = "_arrived", "_state_key"
+
+
+def batch_path(work_path: str, number: int) -> str:
+    """Where a micro-batch is staged."""
+    return f"{work_path}/staged/batch={number}"
 
 
 def stream_upsert(
@@ -35,17 +47,22 @@ def stream_upsert(
     on_duplicate: str = "error",
     order_by: str | None = None,
     files_per_batch: int = 1_000,
+    quarantine: Quarantine | None = None,
+    seen_within: str | None = None,
 ) -> StreamingQuery:
     """Start merging all landed JSON files not seen before; the query ends by itself.
 
     ``schema`` is that of a landed line, ``prepare`` makes table rows of such
     lines. A line that is no JSON stops the query. Files may lie in folders per
     pull. Each micro-batch rewrites only the partitions it touches. Batches are
-    staged under their number, so a batch replayed after a failure publishes
-    the rows already staged instead of merging twice. ``work_path`` must be the
+    staged under their number and published against the table's version, so a batch
+    replayed after a failure is neither merged twice nor undoes what others merged since. ``work_path`` must be the
     same in every run: it holds the stream's checkpoint. ``mode="insert"`` adds
     new keys only; it looks them up in the table, so no state grows with the
-    number of keys.
+    number of keys. With ``seen_within``, an interval such as ``3 days``, records whose key
+    arrived that recently do not even reach the look-up: the first arrival
+    counts, also among copies in one micro-batch. Keys that return later are
+    still found in the table. A ``quarantine`` takes lines that are no JSON, per batch.
     """
 
     def merge(target: DataFrame, source: DataFrame) -> DataFrame:
@@ -53,13 +70,19 @@ def stream_upsert(
             return insert_only(target, source, key)
         return upsert(target, source, key, on_duplicate, order_by)
 
-    def staged(number: int) -> str:
-        return f"{work_path}/staged/batch={number}"
+    if seen_within is not None and (mode != "insert" or quarantine is not None):
+        raise ValueError("seen_within is for streams that insert only, without a quarantine")
 
     def write(batch: DataFrame, number: int) -> None:
         # A batch starts only after the one before is committed for good.
-        drop_staged(batch.sparkSession, staged(number - 1))
-        rows = prepare(refuse_broken(batch)).persist(StorageLevel.MEMORY_AND_DISK)
+        drop_staged(batch.sparkSession, batch_path(work_path, number - 1))
+        if seen_within is not None:
+            rows = batch
+        elif quarantine is not None:
+            rows = prepare(set_aside(batch, quarantine, f"batch-{number}"))
+        else:
+            rows = prepare(refuse_broken(batch))
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             refresh_partitions(
                 batch.sparkSession,
@@ -68,24 +91,47 @@ def stream_upsert(
                 key,
                 partition_by,
                 merge,
-                staged(number),
+                batch_path(work_path, number),
             )
         finally:
             rows.unpersist()
 
-    return (
+    lines = (
         spark.readStream.schema(checked_schema(schema))
         .options(**CHECKED)
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)
         .json(landing)
-        .writeStream.foreachBatch(write)
+    )
+    if quarantine is not None:
+        lines = with_origin(lines)
+    if seen_within is not None:
+        lines = first_arrivals(prepare(refuse_broken(lines)), key, seen_within)
+    return (
+        lines.writeStream.foreachBatch(write)
         .option("checkpointLocation", f"{work_path}/checkpoint")
         .trigger(availableNow=True)
         .start()
     )
 
 
+def first_arrivals(records: DataFrame, key: str, within: str) -> DataFrame:
+    """A stream's records without those whose key arrived in the time ``within`` before.
+
+    The state holds one key per record of that time and no more. The time is that of
+    arrival, the start of the micro-batch, so no record is ever late and dropped for it. Null
+    keys never match and all stay.
+    """
+    state_key = F.coalesce(F.col(key).cast("string"), F.expr("concat('null ', uuid())"))
+    return (
+        records.withColumn(_ARRIVED, F.current_timestamp())
+        .withColumn(_KEY, state_key)
+        .withWatermark(_ARRIVED, within)
+        .dropDuplicatesWithinWatermark([_KEY])
+        .drop(_ARRIVED, _KEY)
+    )
+
+
 def stream_ingest(
     spark: SparkSession,
     entity: str,
@@ -95,6 +141,8 @@ def stream_ingest(
     mode: str = "upsert",
     on_duplicate: str = "latest",
     files_per_batch: int = 1_000,
+    quarantine: Quarantine | None = None,
+    seen_within: str | None = None,
 ) -> StreamingQuery:
     """Merge landed API pages of ``entity`` into its day-partitioned table.
 
@@ -120,4 +168,6 @@ def stream_ingest(
         on_duplicate,
         ingest.UPDATED[entity],
         files_per_batch,
+        quarantine,
+        seen_within,
     )

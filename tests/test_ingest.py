@@ -148,32 +148,6 @@ def test_replayed_batch_publishes_the_same_rows(spark, tmp_path):
     assert ingest.read_days(spark, "receipts", target).count() == 2
 
 
-def test_touched_days_are_found_by_key(spark, tmp_path):
-    target = spark.createDataFrame(
-        [("a", 1), ("b", 2), ("c", None), (None, 3), ("d", 4)], "k string, p int"
-    )
-    source = spark.createDataFrame([("z", 1), ("d", None), (None, 7)], "k string, p int")
-    days = tables.touched_days(target, source, "k", "p")
-    assert bag(days, "p") == {(1,): 1, (None,): 1, (7,): 1, (4,): 1}
-    got = tables.in_partitions(target, days, "p")
-    assert bag(got) == {("a", 1): 1, ("c", None): 1, ("d", 4): 1}
-    none = tables.in_partitions(target, days.where("p = 1"), "p")
-    assert bag(none) == {("a", 1): 1}
-
-
-def test_untouched_days_stay_unread(spark, tmp_path):
-    path = str(tmp_path / "t")
-    rows = spark.range(40).selectExpr("cast(id as string) k", "id v", "cast(id % 8 as int) p")
-    table = tables.replace_table(rows, path, "p")
-    source = spark.createDataFrame([("1", 5, 1)], "k string, v long, p int")
-    found = tables.touched_days(table, source, "k", "p")
-    assert "ReadSchema: struct<k:string>" in plan(found)
-    days = tables.replace_table(found, str(tmp_path / "days"))
-    kept = tables.in_partitions(table, days, "p")
-    assert "dynamicpruning" in plan(kept)
-    assert kept.count() == 5
-
-
 @pytest.mark.parametrize("mode", ["upsert", "insert"])
 def test_a_key_may_move_to_another_day(spark, tmp_path, mode):
     target = str(tmp_path / "target")

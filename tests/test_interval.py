@@ -5,11 +5,11 @@ from collections import Counter
 from datetime import timedelta
 
 import pytest
-from helpers import at, bag, final_plan, plan
+from helpers import at, bag, final_plan
 from pyspark.sql import functions as F
 
 from branchlens.operators import skew
-from branchlens.operators.interval_join import interval_join, interval_sum
+from branchlens.operators.interval_join import interval_join, interval_totals
 
 START = at("2024-01-01 00:00:00")
 POINTS = "store string, at timestamp_ntz, item string, qty double"
@@ -66,39 +66,60 @@ def test_join_equals_brute_force(spark, monkeypatch, seed, bucket, hot_copies):
     assert bag(got, "shift", "at", "item", "qty") == want
 
 
+TOTALS = dict(**KEYS, group="item", value="qty", groups=("x", "y"))
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize(
-    "bucket, block, hot_copies", [(3600, 24, 1_000_000), (1800, 4, 2), (7200, 2, 3)]
-)
-def test_sum_equals_brute_force(spark, monkeypatch, seed, bucket, block, hot_copies):
-    monkeypatch.setattr(skew, "HOT_COPIES", hot_copies)
+@pytest.mark.parametrize("bucket", [60, 1, 7200])
+def test_totals_equal_brute_force(spark, seed, bucket):
     left, right = sample(seed)
-    got = interval_sum(
-        spark.createDataFrame(left, POINTS),
-        spark.createDataFrame(right, SPANS),
-        **KEYS, group="item", value="qty", interval_columns=["shift", "store"],
-        bucket_seconds=bucket, block=block,
+    right += right[:5]  # repeated rows of an interval add up
+    left += [("a", None, "x", 1.0), ("a", START, "z", 5.0)]
+    got = interval_totals(
+        spark.createDataFrame(left, POINTS), spark.createDataFrame(right, SPANS), **TOTALS,
+        interval_columns=["shift", "store"], bucket_seconds=bucket,
     )
     want = {}
-    for p, s in brute(left, right):
-        cell = (s[0], s[1], p[2])
-        want[cell] = want.get(cell, 0.0) + (p[3] or 0.0)
-    assert {tuple(r)[:3]: r["qty"] for r in got.collect()} == want
+    for p, s in brute([p for p in left if p[1] is not None and p[2] in "xy"], right):
+        cell = want.setdefault((s[0], s[1]), {"x": 0.0, "y": 0.0})
+        cell[p[2]] += p[3] or 0.0
+    assert {(r["shift"], r["store"]): {"x": r["x"], "y": r["y"]} for r in got.collect()} == want
     assert got.count() == len(want)
 
 
-def test_plan_has_no_pair_join(spark, tmp_path):
+def test_totals_leave_no_rest(spark):
+    """Fractions before an interval cancel; what is sold and returned in it sums to zero."""
+    rows = [("a", START + timedelta(seconds=i), "x", 0.1) for i in range(1000)]
+    inside = START + timedelta(hours=1)
+    rows += [("a", inside, "x", 0.3), ("a", inside, "x", -0.3), ("a", inside, "y", 1 / 3)]
+    spans = [("s", "a", inside, inside), ("empty", "a", inside + timedelta(seconds=1), inside + timedelta(days=1))]
+    got = interval_totals(
+        spark.createDataFrame(rows, POINTS), spark.createDataFrame(spans, SPANS), **TOTALS,
+        interval_columns=["shift"],
+    ).collect()
+    assert [(r["shift"], r["x"]) for r in got] == [("s", 0.0)]
+    assert got[0]["y"] == pytest.approx(1 / 3, abs=1e-12)
+
+
+def test_totals_of_nothing(spark):
+    left, right = sample(1)
+    points, spans = spark.createDataFrame(left, POINTS), spark.createDataFrame(right, SPANS)
+    for none in ((points.where("false"), spans), (points, spans.where("false"))):
+        assert interval_totals(*none, **TOTALS, interval_columns=["shift"]).count() == 0
+
+
+def test_plan_reads_the_points_once_and_joins_no_pairs(spark, tmp_path):
     left, right = sample(5)
-    spark.createDataFrame(left, POINTS).write.parquet(str(tmp_path / "points"))
-    got = interval_sum(
-        spark.read.parquet(str(tmp_path / "points")),
-        spark.createDataFrame(right, SPANS),
-        **KEYS, group="item", value="qty", interval_columns=["shift", "store"],
+    for name, rows, fields in (("points", left, POINTS), ("spans", right, SPANS)):
+        spark.createDataFrame(rows, fields).write.parquet(str(tmp_path / name))
+    got = interval_totals(
+        spark.read.parquet(str(tmp_path / "points")), spark.read.parquet(str(tmp_path / "spans")),
+        **TOTALS, interval_columns=["shift", "store"],
     )
     text = final_plan(got)
     assert "NestedLoop" not in text and "Cartesian" not in text and "Python" not in text
-    joins = [line for line in plan(got).splitlines() if "SortMergeJoin" in line]
-    assert joins and all("_bucket" in line for line in joins)
+    scans = [line for line in text.splitlines() if "FileScan" in line and "/points" in line]
+    assert len(scans) == 1
 
 
 def test_open_span_over_ninety_days_stays_small(spark):
@@ -111,7 +132,5 @@ def test_open_span_over_ninety_days_stays_small(spark):
         F.lit("x").alias("item"),
         F.lit(1.0).alias("qty"),
     )
-    got = interval_sum(
-        points, spans, **KEYS, group="item", value="qty", interval_columns=["shift"]
-    )
-    assert got.first()["qty"] == 2000.0
+    got = interval_totals(points, spans, **TOTALS, interval_columns=["shift"])
+    assert got.first()["x"] == 2000.0
