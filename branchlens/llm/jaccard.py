@@ -4,8 +4,9 @@ Method: sets are cut into size bands. Within a band, linked sets differ in at mo
 shingles. The shingle domain is hashed into groups of three partitions each, with so many groups that at
 least one holds at most one of the k differences; so two of its three partitions are
 equal in both sets. Each set emits a signature for every subset of two partitions of every
-group, and linked sets share one. A set emits for its own band and, if it may have a larger
-partner there, for the next.
+group that is not empty (see Partitions), and linked sets share one. A set emits for its own
+band and, if it may have a larger partner there, for the next. Where k is 0, linked sets are
+equal and need no signature.
 
 Sets that share a signature are compared with the smallest of them first; what remains
 unconnected after that is compared member by member, so no link is lost, while a large group
@@ -17,6 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import lru_cache
 from hashlib import blake2b
+from math import exp, lgamma, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ WORDS, PERCENT = 4, 85
 U64 = np.uint64
 BASE = U64(0x9E3779B97F4A7C15)  # odd, hence invertible modulo 2^64
 UNBASE = U64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
-SPARE = 8  # with so many groups one more is added, so that empty subsets rarely matter
+TURNS = 8  # see Partitions
 PART = 1 << 19  # bytes of text worked on at once, or one longer text
 SIGNATURES = 1 << 20  # grouped at once in a task
 RUN = 4096  # sets of one signature that one task compares; larger runs are cut finer
@@ -144,35 +146,81 @@ class Bands:
         return 2 * (100 - self.percent) * top // (100 + self.percent)
 
     @lru_cache(maxsize=256)  # noqa: B019  one object per task
-    def plan(self, band: int) -> tuple[int, int, np.ndarray]:
-        """Groups, how many of them may be skipped as empty, and numbers that tell subsets apart."""
-        need = (self.differences(band) + 2) // 2
-        spare = 1 if need >= SPARE else 0
-        groups = need + spare
-        with np.errstate(over="ignore"):
-            marks = mix((np.arange(groups * 3, dtype=U64) + U64(1)) * BASE + U64(band + 1)).reshape(groups, 3)
-        return groups, spare, marks
+    def plan(self, band: int) -> "Partitions | None":
+        """How the band's domain is split; None where linked sets are equal and need no signature."""
+        k = self.differences(band)
+        if k == 0:
+            return None
+        smallest = max(1, -(-self.percent * self.low[band] // 100))
+        return Partitions(band, k // 2 + 1, smallest)
 
     def signatures(self, s: np.ndarray) -> np.ndarray:
-        out = []
+        plans = filter(None, map(self.plan, self.roles(len(s))))
+        return np.concatenate([np.zeros(0, U64), *(x for plan in plans for x in plan.signatures(s))])
+
+
+def _spare(need: int, smallest: int) -> int:
+    """Spare groups that make the signatures of a band's smallest sets fewest, further turns included."""
+
+    def cost(spare: int) -> float:
+        groups = need + spare
+        hollow = min(1 - 1e-9, 3 * (1 - 2 / (3 * groups)) ** smallest)  # a group shows an empty pair
+        # At most ``spare`` of the groups do: a binomial distribution.
+        few = sum(
+            exp(lgamma(groups + 1) - lgamma(i + 1) - lgamma(groups - i + 1) + i * log(hollow) + (groups - i) * log1p(-hollow))
+            for i in range(spare + 1)
+        )
+        return groups / max(few, 1e-3)
+
+    step = 1 + need // 64
+    return min(range(0, need + step, step), key=cost)
+
+
+class Partitions:
+    """A band's domain in groups of three partitions; pairs of a group's partitions make signatures.
+
+    An empty pair is the same in all sets, so it makes no signature as long as that loses no link. ``need`` groups are
+    enough for linked sets to agree in a pair of one of them; ``spare`` more make it one
+    more each. So if a set has an empty pair in ``spare`` groups at most, it agrees
+    with each linked set in a pair that is not empty, and both emit that one. A set with empty
+    pairs in more groups takes another turn with the domain dealt anew. Linked sets either meet at the
+    first turn that ends for one of them or both take the last, which emits empty pairs too
+    and which hardly any set reaches.
+    """
+
+    def __init__(self, band: int, need: int, smallest: int):
+        self.spare = _spare(need, smallest)
+        self.groups = need + self.spare
+        self.band = band
+
+    @lru_cache(maxsize=TURNS)  # noqa: B019  one object per task
+    def _marks(self, turn: int) -> tuple[np.uint64, np.ndarray]:
+        count = self.groups * 3
         with np.errstate(over="ignore"):
-            for band in self.roles(len(s)):
-                groups, spare, marks = self.plan(band)
-                x = mix(s + marks[0, 0])
-                part = (x % U64(groups * 3)).astype(np.int64)
-                sums = np.zeros(groups * 3, U64)
-                np.add.at(sums, part, mix(x))
-                sums = sums.reshape(groups, 3)
+            marks = mix((np.arange(count + 1, dtype=U64) + U64(1)) * BASE + U64(self.band * TURNS + turn + 1))
+        return marks[0], marks[1:].reshape(-1, 3)
+
+    def signatures(self, s: np.ndarray) -> Iterator[np.ndarray]:
+        for turn in range(TURNS):
+            seed, marks = self._marks(turn)
+            with np.errstate(over="ignore"):
+                x = mix(s + seed)
+                sums = np.zeros(self.groups * 3, U64)
+                np.add.at(sums, (x % U64(len(sums))).astype(np.int64), mix(x))
+                sums = sums.reshape(-1, 3)
                 pairs = sums.sum(axis=1, keepdims=True, dtype=U64) - sums
                 full = pairs != 0
                 signs = mix(pairs + marks)
-                # Linked sets agree in more than ``spare`` groups. If so few of this set's have an
-                # empty subset, they agree in one that has none, and empty subsets need no signature.
-                out.append(signs[full] if (~full.all(axis=1)).sum() <= spare else signs.ravel())
-        return np.concatenate(out)
+            ends = (~full.all(axis=1)).sum() <= self.spare
+            if not ends and turn == TURNS - 1:
+                yield signs.ravel()
+                return
+            yield signs[full]
+            if ends:
+                return
 
 
-SETS = "doc_id long, n_shingles long, key long, sketch binary"
+SETS = "doc_id long, th long, n_shingles long, key long, sketch binary"
 SIGNS = "sig long, key long, more array<long>"
 
 
@@ -186,8 +234,11 @@ def _sets(n: int):
                     keys.append(set_key(s))
                     sketches.append(sketch(s).tobytes() if len(s) else b"")
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(sketches, pa.binary())],
-                    names=["doc_id", "n_shingles", "key", "sketch"],
+                    [
+                        part.column("doc_id"), part.column("th"), pa.array(sizes, pa.int64()),
+                        pa.array(keys, pa.int64()), pa.array(sketches, pa.binary()),
+                    ],
+                    names=["doc_id", "th", "n_shingles", "key", "sketch"],
                 )
         forget()
 
@@ -217,7 +268,7 @@ def _signs(n: int, percent: int):
                 if held >= SIGNATURES:
                     yield _grouped(np.concatenate(signs).view(np.int64), np.concatenate(keys))
                     keys, signs, seen, held = [], [], set(), 0
-        if signs:
+        if held:
             yield _grouped(np.concatenate(signs).view(np.int64), np.concatenate(keys))
         forget()
 
@@ -446,7 +497,28 @@ def _finer(percent: int):
     return run
 
 
-def linked_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def _in_blocks(rows: DataFrame) -> DataFrame:
+    """(sig, key) where signatures of over RUN sets are replaced by pairs of blocks of their sets.
+
+    Any two sets of a signature meet in the signature of their two blocks, so none
+    of a task's runs holds more than about RUN sets, however many share the signature.
+    """
+    per_sig = staged(rows.groupBy("sig").agg(F.count("*").alias("members")), "cut-sizes")
+    large = per_sig.where(F.col("members") > RUN)
+    if large.isEmpty():
+        return rows
+    total = per_sig.agg(F.sum("members")).first()[0]
+    met = join_hot(rows, large, ["sig"], "members", total)
+    blocks = F.ceil(F.col("members") / F.lit(RUN // 2))
+    mine = met.withColumn("block", F.pmod(F.xxhash64("key"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    pair = F.xxhash64("sig", F.least("block", "other"), F.greatest("block", "other"))
+    kept = rows.join(small(large.select("sig")), "sig", "left_anti")
+    return kept.select("sig", "key").union(mine.select(pair.alias("sig"), "key"))
+
+
+def linked_groups(
+    docs: DataFrame, words: int = WORDS, percent: int = PERCENT, detail: bool = False
+) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) per document.
 
     A set is the distinct shingles of ``words`` words (runs without blanks, A-Z lowered); a
@@ -454,10 +526,11 @@ def linked_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     text or one without words has an empty set, links with nothing and keeps its own id.
     Each row gives one row, repeated rows too; copies link through their equal set. A row
     without an id takes the smallest id of its group, null if there is none. Other columns
-    of the input are not looked at; an empty table gives an empty table.
+    of the input are not looked at; an empty table gives an empty table. With ``detail`` there
+    are also th (xxhash64 of the text) and root, a number of the group, null for an empty set.
     """
     small_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("th"))
     sets = staged(docs.mapInArrow(_sets(words), SETS), "sets")
     total = max(1, sets.count())
     filled = sets.where("n_shingles > 0")
@@ -509,7 +582,8 @@ def linked_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     if not large.isEmpty():
         cut = large.join(sketches, "key").select(*fields)
         cut = cut.mapInArrow(_finer(percent), cut.schema).select("sig", "key")
-        rows = staged(rows.where(F.col("members") <= RUN).select("sig", "key").union(cut), "cut-sets")
+        cut = _in_blocks(staged(cut.distinct(), "cut-sets"))
+        rows = staged(rows.where(F.col("members") <= RUN).select("sig", "key").union(cut), "open-sets")
     rows = rows.select("sig", "key")  # sketches are added anew each time, so that they move only once
     links, tested = first, best.select("a", "b")
     # As long as it joins anything, the closest pairs that could; then all that are left.
@@ -540,13 +614,14 @@ def linked_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -
     found = reps.join(labels, "key", "left").select("key", "rep", "copies", F.coalesce("label", "key").alias("root"))
     least = found.groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("sets"))
     per_set = staged(
-        join_hot(found, least, ["root"], "sets", total).select("key", "copies", "component_id"), "set-groups"
+        join_hot(found, least, ["root"], "sets", total).select("key", "copies", "component_id", "root"), "set-groups"
     )
     out = join_hot(sets.drop("sketch"), per_set, ["key"], "copies", total, "left")
     return out.select(
         "doc_id",
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        *(["th", F.when(F.col("n_shingles") > 0, F.col("root")).alias("root")] if detail else []),
     )
 
 
