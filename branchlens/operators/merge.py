@@ -127,9 +127,10 @@ def insert_only(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     Duplicates inside the source are all added.
     """
     known = target.where(F.col(key).isNotNull()).select(key)
-    new_keys = _key_copies(source, key).join(known, key, "left_anti")
+    counts = _key_copies(source, key)
+    new_keys = counts.join(known, key, "left_anti")
     fresh = (
-        join_repeated(source, new_keys, key, "left", _COPIES)
+        join_repeated(source, new_keys, key, "left", _COPIES, counts)
         .where(F.col(key).isNull() | F.col(_COPIES).isNotNull())
         .select(*source.columns)
     )
@@ -143,14 +144,14 @@ def insert_only_by_day(target: DataFrame, shards: DataFrame, key: str, day: str)
     and so do rows without key.
     """
     known = target.where(F.col(key).isNotNull()).select(key)
-    first_days = (
+    all_days = (
         shards.where(F.col(key).isNotNull())
         .groupBy(key)
         .agg(F.min(day).alias(_FIRST), F.count("*").alias(_COPIES))
-        .join(known, key, "left_anti")
     )
+    first_days = all_days.join(known, key, "left_anti")
     fresh = (
-        join_repeated(shards, first_days, key, "left", _COPIES)
+        join_repeated(shards, first_days, key, "left", _COPIES, all_days)
         .where(F.col(key).isNull() | (F.col(day) == F.col(_FIRST)))
         .select(*target.columns)
     )

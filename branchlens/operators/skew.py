@@ -84,15 +84,22 @@ def join_unique(rows: DataFrame, per_key: DataFrame, key: str, how: str) -> Data
 
 
 def join_repeated(
-    rows: DataFrame, per_key: DataFrame, key: str, how: str, copies: str
+    rows: DataFrame,
+    per_key: DataFrame,
+    key: str,
+    how: str,
+    copies: str,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join rows whose keys may repeat without limit.
 
     ``per_key`` has one row per key and tells in ``copies`` how many rows have
     it. Rows of a key with over ``HOT_COPIES`` of them are spread over as many
     partitions as its count asks for, and only such keys are repeated per salt.
+    ``counts`` may name a table that is cheaper to find these keys in, with the
+    same two columns and maybe more keys.
     """
-    hot = _listed(per_key, [key], copies)
+    hot = _listed(per_key if counts is None else counts, [key], copies)
     left, right = _salted_rows(rows, hot, [key]), _repeated(per_key, hot, [key])
     return left.join(right, [key, SALT], how).drop(SALT)
 

@@ -65,8 +65,8 @@ def landed_drift(
     """Fields of a pull that the fixed schema lacks or reads from another JSON type.
 
     ``landed_type`` is the common type of all values of the field; ``VARIANT`` where they have
-    none. ``expected_type`` is the column's type, ``none`` for an unknown field. Nulls fit every
-    column. The ingest leaves out unknown fields and reads others as null where it cannot convert them.
+    none. ``expected_type`` is the column's type, ``none`` for an unknown field. Fields that are null
+    throughout are no drift. The ingest leaves out unknown fields and reads others as null where it cannot convert them.
     """
     schema = schemas.SCHEMAS[entity]
     names = schema.fieldNames()
@@ -81,11 +81,11 @@ def landed_drift(
         .groupBy(F.col("name").alias("field"))
         .agg(F.expr("schema_of_variant_agg(value)").alias("landed_type"), F.count("*").alias("records"))
     )
-    expected, fits = F.lit(UNKNOWN), F.lit(False)
+    expected, fits = F.lit(UNKNOWN), F.col("landed_type") == "VOID"
     for field in schema.fields:
         here = F.col("field") == field.name
         expected = F.when(here, field.dataType.simpleString()).otherwise(expected)
-        kinds = [F.col("landed_type").startswith(k) for k in (*_accepted(field.dataType), "VOID")]
+        kinds = [F.col("landed_type").startswith(k) for k in _accepted(field.dataType)]
         fits = fits | (here & _any(kinds))
     return found.withColumn("expected_type", expected).where(~fits).select(
         F.lit(entity).alias(ENTITY), "field", "landed_type", "expected_type", "records",

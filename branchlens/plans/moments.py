@@ -13,6 +13,7 @@ import json
 from collections.abc import Iterable
 from datetime import date, datetime, time, timedelta
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,9 +86,13 @@ def refresh_moments(spark: SparkSession, shifts_path: str, path: str, tz: str =
         days = [date.fromisoformat(d) for d in changed]
         table = _shifts_of(spark, shifts_path, days)
         daily = moments_of(slot_sales(table, tz).withColumn(ingest.DAY, F.to_date("opened_at")), [*KEYS, ingest.DAY])
-        replace_partitions(daily.select(*MOMENTS.fieldNames()), path, ingest.DAY)
-        written = read_or_empty(spark, path, MOMENTS).where(F.col(ingest.DAY).isin(days))
-        filled = {str(r[0]) for r in written.select(ingest.DAY).distinct().collect()}
+        # A row per store, slot and day.
+        daily = daily.select(*MOMENTS.fieldNames()).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            replace_partitions(daily, path, ingest.DAY)
+            filled = {str(r[0]) for r in daily.select(ingest.DAY).distinct().collect()}
+        finally:
+            daily.unpersist()
         emptied |= set(changed) - filled
     for day in emptied:
         drop_staged(spark, f"{path}/{ingest.DAY}={day}")

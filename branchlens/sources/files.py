@@ -68,3 +68,19 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def swap_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder ``new`` where ``path`` is; the old one goes only after that.
+
+    A run that dies in between leaves the old folder beside it as ``<path>.old``.
+    """
+    files, place = located(spark, path)
+    before = located(spark, f"{path}.old")[1]
+    files.delete(before, True)
+    if files.exists(place) and not files.rename(place, before):
+        raise OSError(f"cannot rename {path}")
+    files.mkdirs(place.getParent())
+    if not files.rename(located(spark, new)[1], place):
+        raise OSError(f"cannot rename {new} to {path}")
+    files.delete(before, True)

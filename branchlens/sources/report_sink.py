@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from branchlens.functions.clock import instant_to_utc, second_text
+from branchlens.sources.files import drop_staged, swap_folder
 
 # Presentation order per report.
 SORT_KEYS = {
@@ -39,6 +42,7 @@ def report_path(folder: str, name: str) -> str:
 def write_report(df: DataFrame, folder: str, name: str) -> bool:
     """Replace the report's CSV files; an empty report leaves the old ones alone.
 
+    The new files are written beside the old ones and then take their place.
     Sort keys that start with an underscore are not written.
     """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
@@ -48,9 +52,13 @@ def write_report(df: DataFrame, folder: str, name: str) -> bool:
         keys = [k for k in SORT_KEYS.get(name, ()) if k in kept.columns]
         ordered = kept.orderBy(*[F.col(f"`{k}`") for k in keys]) if keys else kept
         written = ordered.drop(*[k for k in keys if k.startswith("_")])
-        report_text(written).write.mode("overwrite").option("header", True).csv(
-            report_path(folder, name)
-        )
+        path = report_path(folder, name)
+        new = f"{path}.new-{uuid.uuid4().hex}"
+        try:
+            report_text(written).write.option("header", True).csv(new)
+            swap_folder(df.sparkSession, new, path)
+        finally:
+            drop_staged(df.sparkSession, new)
         return True
     finally:
         kept.unpersist()

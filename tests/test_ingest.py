@@ -7,7 +7,7 @@ from helpers import at, bag, plan
 from pyspark.sql import functions as F
 
 from branchlens import fixtures as fx
-from branchlens import schemas
+from branchlens import jobs, schemas
 from branchlens.plans import ingest
 from branchlens.sources import tables
 from branchlens.sources.landing import read_envelopes
@@ -269,3 +269,50 @@ def test_window_is_pushed_to_the_scan(spark, small):
     got = ingest.window_filter(events, (at("2024-01-02 00:00:00"), at("2024-01-03 00:00:00")), "ts")
     assert "GreaterThanOrEqual(ts" in plan(got.select("event_id"))
     assert got.where(F.col("ts") < F.expr("TIMESTAMP_NTZ '2024-01-02 00:00:00'")).count() == 0
+
+
+# --- shards whose days differ in type -------------------------------------
+
+
+def mixed_days(spark, small, path):
+    for part in fx.mixed_shards(spark, small):
+        part.write.mode("append").partitionBy("ds").parquet(path)
+    return path
+
+
+def test_days_of_each_type_are_read_together(spark, small, tmp_path):
+    path = mixed_days(spark, small, str(tmp_path / "shards"))
+    frames = ingest.shard_frames(spark, path, "ds", "2024-01-03", "2024-01-09")
+    assert sorted(f.schema["taxes"].dataType.simpleString() for f in frames) == [
+        "array<bigint>", "array<string>", "array<struct<rate:bigint>>",
+    ]
+    days = {str(r.ds) for f in frames for r in f.select("ds").distinct().collect()}
+    assert days == {f"2024-01-0{i}" for i in range(3, 10)}
+    union = ingest.shard_union(spark, path, "ds", "2024-01-03", "2024-01-09", schemas.SHIFTS_WIDE)
+    assert union.count() == sum(f.count() for f in frames)
+    assert union.schema["taxes"].dataType.simpleString() == "array<string>"
+    # A column that some days lack is null there.
+    assert {r.ds.day % 3 for r in union.where("tip is null").select("ds").distinct().collect()} == {1}
+    assert ingest.shard_frames(spark, path, "ds", "2023-01-01", "2023-02-01") == []
+    with pytest.raises(FileNotFoundError):
+        ingest.shard_frames(spark, str(tmp_path / "none"), "ds", "2024-01-01", "2024-01-02")
+
+
+def test_backfill_and_fix_of_mixed_days(spark, small, tmp_path):
+    path = mixed_days(spark, small, str(tmp_path / "shards"))
+    for _ in range(2):
+        jobs.run_backfill(spark, path, "2024-01-01", "2024-01-31", str(tmp_path / "shifts"))
+    rows = ingest.read_days(spark, "shifts", str(tmp_path / "shifts")).collect()
+    assert {r.id for r in rows} == {r.id for r in fx.shards(spark, small).select("id").distinct().collect()}
+    assert any(r.taxes[0].startswith('{"rate":') for r in rows)
+    jobs.run_fix_shards(spark, path, "2024-01-02", "2024-01-04", str(tmp_path / "fixed"))
+    fixed = spark.read.parquet(str(tmp_path / "fixed"))
+    assert {r.ds.day for r in fixed.select("ds").distinct().collect()} == {2, 3, 4}
+    assert fixed.schema["cash_movements"].dataType.simpleString() == "array<string>"
+    assert fixed.where("cash_movements[0] not like '%money_amount%'").count() == 0
+
+
+def test_an_empty_range_adds_nothing(spark, small, tmp_path):
+    path = mixed_days(spark, small, str(tmp_path / "shards"))
+    jobs.run_backfill(spark, path, "2023-01-01", "2023-01-31", str(tmp_path / "shifts"))
+    assert ingest.read_days(spark, "shifts", str(tmp_path / "shifts")).count() == 0

@@ -4,6 +4,7 @@ import json
 
 import pytest
 from helpers import at, bag
+from pyspark.sql import functions as F
 
 from branchlens import fixtures as fx
 from branchlens import jobs, schemas
@@ -188,6 +189,24 @@ def test_every_job_in_order_on_one_set_of_folders(spark, tmp_path):
     (tmp_path / "stores.csv").write_text("store_id,store_name\n1,Main\n")
     run("reports", shifts="shifts", receipts="receipts", stores="stores.csv", out="out")
     assert (tmp_path / "out" / "summary_sales").exists()
+    jobs.main(["--as-of", "2024-01-20T00:00:00", "kept-reports", "--shifts", str(tmp_path / "shifts"),
+               "--kept", str(tmp_path / "kept"), "--stores", str(tmp_path / "stores.csv"), "--out",
+               str(tmp_path / "kept-out")])
+    both = [
+        sorted({x for f in (tmp_path / out / "summary_sales").glob("*.csv") for x in f.read_text().splitlines()})
+        for out in ("out", "kept-out")
+    ]
+    assert both[0] == both[1] and len(both[0]) == 2
+
+
+def test_a_report_that_fails_leaves_the_old_one(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "Branch string, x double")
+    assert write_report(df, str(tmp_path), reports.SUMMARY) and write_report(df, str(tmp_path), reports.SUMMARY)
+    broken = df.withColumn("x", F.when(F.col("Branch") == "b", F.raise_error(F.lit("lost"))).otherwise(1.0))
+    with pytest.raises(Exception, match="lost"):
+        write_report(broken, str(tmp_path), reports.SUMMARY)
+    assert [p.name for p in tmp_path.iterdir()] == ["summary_sales"]
+    assert len(list((tmp_path / "summary_sales").glob("*.csv"))) >= 1
 
 
 def test_repeated_store_ids_are_refused(spark, small, tmp_path):

@@ -1,7 +1,11 @@
 from __future__ import annotations
 
+import hashlib
+import random
+from collections import Counter
+
 import pytest
-from helpers import bag, final_plan
+from helpers import at, bag, final_plan
 from pyspark.sql import functions as F
 
 from branchlens.operators import merge, skew
@@ -152,3 +156,42 @@ def test_upsert_without_broadcast(spark, target):
         assert bag(merged) == want
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+# --- the latest row of a key ----------------------------------------------
+
+
+def plain_tie(values):
+    text = "\x1f".join("\x1e" if v is None else str(v) for v in values)
+    return int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
+
+
+def test_latest_row_by_time_then_tie_number(spark):
+    """Times before 1970, equal times, null times, exact copies and null values."""
+    rng = random.Random(3)
+    times = [None, at("1969-12-31 23:59:59.999999"), at("1970-01-01 00:00:00"), at("2024-05-06 07:08:09.000001"), at("9999-12-31 00:00:00")]
+    rows = [(f"k{rng.randrange(25)}", rng.choice(times), rng.choice(["p", "q", None]), rng.randrange(3)) for _ in range(300)]
+    rows += rows[:40]
+    want = {}
+    for key, time, word, number in rows:
+        rank = (time is not None, time or 0, plain_tie([word, number]))
+        if key not in want or rank > want[key][0]:
+            want[key] = (rank, (key, time, word, number))
+    for kind in ("timestamp_ntz", "timestamp"):
+        df = spark.createDataFrame(rows, "id string, t timestamp_ntz, w string, n int").withColumn("t", F.col("t").cast(kind))
+        latest = merge.latest_per_key(df, "id", "t")
+        got = bag(latest.withColumn("t", F.col("t").cast("timestamp_ntz")))
+        assert got == Counter(row for _, row in want.values())
+
+
+def test_latest_row_by_other_types(spark):
+    rows = [("a", "2024-01-05", 2, 1.5, [1]), ("a", "2024-01-04", 9, 2.5, [2]), ("b", None, None, None, None), (None, "2024-01-01", 1, 1.0, [])]
+    df = spark.createDataFrame(rows, "id string, d string, n long, x double, l array<int>").withColumn("d", F.to_date("d"))
+    for order, value in (("d", 2), ("n", 9), ("x", 9)):
+        got = {(r.id, r.n) for r in merge.latest_per_key(df, "id", order).collect()}
+        assert got == {("a", value), ("b", None), (None, 1)}
+
+
+def test_latest_row_needs_no_sorted_aggregate(spark):
+    df = frame(spark, [("b", 20, "q"), ("b", 21, "n"), (None, 1, "m")])
+    assert "SortAggregate" not in final_plan(merge.upsert(df, df, "id", "latest", "v"))
