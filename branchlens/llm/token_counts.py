@@ -1,67 +1,102 @@
 """Operator 1: token counts, by dynamic programming over a trie of pre-tokens.
 
-Method: the distinct pre-tokens that a task meets are put into a trie. Each node holds the
-best unigram score of the text from the root to it and that segmentation's number of
-tokens, computed once from its ancestors, however many pre-tokens share it; a pre-token's
-count is read off at its terminal node. Texts never leave their task, so nothing is shuffled.
+Method: the distinct pre-tokens that a chunk of the corpus adds make a trie, walked depth first.
+Each node holds the best unigram score of the text from the root to it, that segmentation's number of
+tokens, and the pieces that have begun and may go on; all of it is computed once from
+the parent, however many pre-tokens share the prefix. A pre-token's count is read off at its
+terminal node and remembered. Texts never leave their task, so nothing is shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from branchlens.llm.common import chunks, per_process, read
+from branchlens.llm.common import chunks, per_process, read, small_batches
 from branchlens.llm.pieces import MODEL, Pieces, load_pieces, pre_tokens
 
-NODES = 400_000  # a task starts a new trie beyond this, so its memory is bounded
+REMEMBERED = 300_000  # pre-tokens whose counts a worker keeps; beyond it only those of the chunk at hand
+PART = 4 << 20  # bytes of text in a chunk, or one longer text
+_WORST = float("-inf")
+
+
+class PieceTrie:
+    """All pieces by their characters: a node is a dict of its children, its score under None if it ends a piece."""
+
+    def __init__(self, scores: dict[str, float]):
+        self.root: dict = {}
+        for piece, score in scores.items():
+            node = self.root
+            for char in piece:
+                node = node.setdefault(char, {})
+            node[None] = score
 
 
 class CountTrie:
-    """Trie of pre-tokens; ``count`` gives the tokens of the best-scoring segmentation.
+    """Counts the tokens of the best-scoring segmentation of pre-tokens.
 
     Of equal scores, the segmentation whose last piece is longest wins, at every prefix.
     """
 
     def __init__(self, pieces: Pieces):
-        self.scores, self.longest = pieces.scores, pieces.longest
+        self.pieces = PieceTrie(pieces.scores).root
         self.unknown_score, self.bytes = pieces.unknown_score, pieces.bytes_from is not None
-        self.clear()
-
-    def clear(self) -> None:
-        self.child: dict[tuple[int, str], int] = {}
-        self.best, self.tokens = [0.0], [0]
-        self.terminal: dict[str, int] = {}
+        self.known: dict[str, int] = {}
+
+    def _unknown(self, char: str) -> int:
+        return len(char.encode("utf-8", "surrogatepass")) if self.bytes else 1
+
+    def walk(self, words: Iterable[str]) -> Iterator[tuple[str, int]]:
+        """Each word with its count. The words in order make a depth-first walk of their trie.
+
+        The lists hold the nodes of the path: score, count and begun pieces by depth. A step
+        to the next word goes back to the last common node.
+        """
+        pieces = self.pieces
+        best, tokens, begun = [0.0], [0], [[]]
+        before = ""
+        for word in sorted(words):
+            depth, most = 0, min(len(before), len(word))
+            while depth < most and before[depth] == word[depth]:
+                depth += 1
+            del best[depth + 1 :], tokens[depth + 1 :], begun[depth + 1 :]
+            for char in word[depth:]:
+                score, count, on = best[-1], tokens[-1], []
+                top, least = _WORST, 0
+                # Pieces that began earlier, hence longer ones, come first.
+                for node, base, n in begun[-1]:
+                    node = node.get(char)
+                    if node is not None:
+                        on.append((node, base, n))
+                        end = node.get(None)
+                        if end is not None and base + end > top:
+                            top, least = base + end, n + 1
+                node = pieces.get(char)
+                if node is not None:
+                    on.append((node, score, count))
+                    end = node.get(None)
+                    if end is not None and score + end > top:
+                        top, least = score + end, count + 1
+                if (node is None or None not in node) and score + self.unknown_score > top:
+                    top, least = score + self.unknown_score, count + self._unknown(char)
+                best.append(top)
+                tokens.append(least)
+                begun.append(on)
+            yield word, tokens[-1]
+            before = word
+
+    def __call__(self, words: set[str]) -> dict[str, int]:
+        """Counts of the words and others."""
+        new = [w for w in words if w not in self.known]
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known = {w: self.known[w] for w in words if w in self.known}
+        self.known.update(self.walk(new))
+        return self.known
 
     def count(self, word: str) -> int:
-        known = self.terminal.get(word)
-        if known is not None:
-            return known
-        if len(self.best) > NODES:
-            self.clear()
-        node, path = 0, [0]
-        child, best, tokens, scores, longest = self.child, self.best, self.tokens, self.scores, self.longest
-        for end, char in enumerate(word, 1):
-            at = child.get((node, char))
-            if at is None:
-                top, count = float("-inf"), 0
-                for start in range(max(0, end - longest), end):  # longest piece first
-                    score = scores.get(word[start:end])
-                    if score is not None and best[path[start]] + score > top:
-                        top, count = best[path[start]] + score, tokens[path[start]] + 1
-                if char not in scores and best[path[-1]] + self.unknown_score > top:
-                    top = best[path[-1]] + self.unknown_score
-                    count = tokens[path[-1]] + (len(char.encode("utf-8", "surrogatepass")) if self.bytes else 1)
-                at = len(best)
-                child[(node, char)] = at
-                best.append(top)
-                tokens.append(count)
-            path.append(at)
-            node = at
-        self.terminal[word] = tokens[node]
-        return tokens[node]
+        return self({word})[word]
 
 
 def token_counts(docs: DataFrame, model: str = MODEL) -> DataFrame:
@@ -72,16 +107,16 @@ def token_counts(docs: DataFrame, model: str = MODEL) -> DataFrame:
     tokens. One row per input row, repeated rows and null ids included; other columns are not
     looked at; an empty table gives an empty table.
     """
+    small_batches(docs.sparkSession)
     pieces = docs.sparkSession.sparkContext.broadcast(load_pieces(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces.value
         trie = per_process("count trie", model.digest, lambda: CountTrie(model))
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, size=PART):
                 words = [pre_tokens(t) for t in part.column("text").to_pylist()]
-                # Sorted, so that neighbours share prefixes before a full trie is dropped.
-                counts = {w: trie.count(w) for w in sorted({w for ws in words for w in ws})}
+                counts = trie(set().union(*words))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
