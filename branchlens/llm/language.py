@@ -235,7 +235,7 @@ def identify_documents(docs: DataFrame, pages: DataFrame | None = None) -> DataF
         F.xxhash64("text").alias("th"),
         "text",
         "source",
-        F.lower(F.regexp_extract(F.substring("text", 1, 1000), MARKUP, 1)).alias("own"),
+        F.lower(F.regexp_extract(F.coalesce("text", F.lit("")), MARKUP, 1)).alias("own"),
     )
     scored = likelihoods(rows, model, ["doc_id", "th", "source", "own"])
     if pages is None:
