@@ -18,7 +18,7 @@ from branchlens.llm.common import ascii_lower, read, small, staged
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
-END, END_TERM = "\u0000", -1  # closes each document's words; cannot be a word itself
+END, END_TERM, ENDS = "\u0000", -1, 1024  # closes each document's words; cannot be a word itself
 
 
 @dataclass(frozen=True)
@@ -56,15 +56,14 @@ def build_index(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) ->
         # Numbered within 256 parts: term = number * 256 + part.
         terms.withColumn("part", F.pmod(F.hash("word"), F.lit(256)))
         .select("word", (numbered * 256 + F.col("part")).cast("int").alias("term"))
-        .union(docs.sparkSession.createDataFrame([(END, END_TERM)], "word string, term int")),
+        .union(docs.sparkSession.createDataFrame([(f"{END}{i}", END_TERM) for i in range(ENDS)], "word string, term int")),
         "vocabulary",
     )
+    # Every document has an end; ends are of many kinds, so that no join sees them as one key.
+    end = F.concat(F.lit(END), F.pmod(F.col("row"), F.lit(ENDS)).cast("string"))
     rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        "doc_id",
-        F.xxhash64("text").alias("th"),
-        F.concat(words(F.col("text")), F.array(F.lit(END))).alias("words"),
-    )
+        F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("th"), words(F.col("text")).alias("words")
+    ).withColumn("words", F.concat("words", F.array(end)))
     tokens = rows.select("row", "doc_id", "th", F.posexplode("words").alias("pos", "word"))
     is_end = F.col("term") == END_TERM
     index = staged(
