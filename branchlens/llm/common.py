@@ -19,6 +19,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # Broadcast at most so many rows of a few numbers or short strings each.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 50_000_000
 # At most so many keys count as hot: those with over one in HOT_KEYS of all rows.
 HOT_KEYS = 1_000
 BATCH = "8m"  # of Arrow data
@@ -45,8 +46,12 @@ def ascii_lower(text: Column) -> Column:
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark for broadcast if the rows, counted first, stay below the bound."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    """Mark for broadcast if the rows and their bytes as text, counted first, stay below the bounds."""
+    size = F.lit(0).cast("long")
+    for name in df.columns:
+        size = size + F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0))
+    found, held = df.limit(rows + 1).agg(F.count("*"), F.sum(size)).first()
+    return F.broadcast(df) if found <= rows and (held or 0) <= BROADCAST_BYTES else df
 
 
 def join_hot(
