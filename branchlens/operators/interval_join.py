@@ -109,6 +109,8 @@ def interval_totals(
     wanted = points.where(F.col(key).isNotNull() & F.col(at).isNotNull() & F.col(group).isin(*groups))
     moments = (
         wanted.withColumn(_BUCKET, time_bucket(F.col(at), bucket_seconds))
+        # Said here, since the planner would say it for one of the two uses only and then read the points twice.
+        .where(F.col(_BUCKET).isNotNull())
         .groupBy(key, _BUCKET, F.col(at).alias(_AT))
         .agg(
             *[F.sum(F.when(F.col(group) == g, F.col(value))).alias(c) for c, g in zip(sums, groups, strict=True)],
@@ -140,7 +142,8 @@ def interval_totals(
         summed = {c: F.sum(c).over(window).cast("bigint" if c == _N else EXACT) for c in totals}
         return rows.withColumns(summed).where(F.col(_KIND) != 1)
 
-    inside = moments.join(marked, [key, _BUCKET], "left_semi").withColumn(_KIND, F.lit(1))
+    # A semi-join would be moved below the sums, away from those of the other use.
+    inside = moments.join(marked, [key, _BUCKET]).withColumn(_KIND, F.lit(1))
     within = running(
         inside.unionByName(marks.select("*", *zeros)), [key, _BUCKET], [_AT, _KIND]
     )

@@ -118,7 +118,7 @@ def test_plan_reads_the_points_once_and_joins_no_pairs(spark, tmp_path):
     )
     text = final_plan(got)
     assert "NestedLoop" not in text and "Cartesian" not in text and "Python" not in text
-    scans = [line for line in text.splitlines() if "FileScan" in line and "/points" in line]
+    scans = [line for line in text.splitlines() if "FileScan" in line and "item#" in line]
     assert len(scans) == 1
 
 
