@@ -5,113 +5,124 @@ samples, a term of weight S draws r and c from Gamma(2, 1) and b from U(0, 1), a
 term and sample, and takes t = floor(ln S / r + b), y = exp(r (t - b)), a = c / (y exp(r)); the
 term with the least a and its t are the sample. Two texts share a sample with the
 probability of their generalised Jaccard similarity (sum of minima over sum of maxima).
-All draws come from a 64-bit hash of the word itself; a worker keeps those of the first KEPT words.
+All draws come from a 64-bit hash of the word itself; a worker keeps those of the words met lately.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from branchlens.llm.common import mix, read, shuffle_partitions, staged
+from branchlens.llm.jaccard import word_hashes
 
 SAMPLES = 64
-KEPT = 1 << 15  # words whose draws a worker keeps
-TERMS = 1024  # other words drawn for at once
+KEPT = 1 << 16  # words whose draws a worker remembers
+TERMS = 1024  # terms worked on at once
 STEP = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _hash(word: str) -> int:
-    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+_LOW, _NAME = np.uint64((1 << 32) - 1), np.uint64(32)
+_SIGN, _DRAWN = np.uint32(1 << 31), np.uint64((1 << 25) - 1)
 
 
 def _draws(hashes: np.ndarray, samples: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """r, ln c and b for each word and sample, from hashes of (word, sample, use)."""
+    """r, ln c and b for each word and sample, from two 64-bit hashes of (word, sample): five numbers of 25 bits."""
     with np.errstate(over="ignore"):
-        base = mix(hashes[:, None] + mix(np.arange(samples, dtype=np.uint64) + np.uint64(1)))
+        one = mix(hashes[:, None] + mix(np.arange(samples, dtype=np.uint64) + np.uint64(1)))
+        two = mix(one + STEP)
+
+    def uniform(bits: np.ndarray) -> np.ndarray:
+        return ((bits & _DRAWN).astype(np.float64) + 0.5) * (1.0 / (1 << 25))
 
-        def uniform(use: int) -> np.ndarray:
-            h = mix(base + np.uint64(use) * STEP)
-            return ((h >> np.uint64(11)).astype(np.float64) + 0.5) / float(1 << 53)
+    r = -np.log(uniform(one) * uniform(one >> np.uint64(25)))
+    log_c = np.log(-np.log(uniform(two) * uniform(two >> np.uint64(25))))
+    b = uniform((one >> np.uint64(50) << np.uint64(11)) ^ (two >> np.uint64(50)))
+    # Below 1, also as a short float: its floor must be 0.
+    return r.astype(np.float32), log_c.astype(np.float32), np.minimum(b, 1 - 2.0**-24).astype(np.float32)
 
-        r = -np.log(uniform(1) * uniform(2))
-        log_c = np.log(-np.log(uniform(3) * uniform(4)))
-        return tuple(x.astype(np.float32) for x in (r, log_c, uniform(5)))
 
+def _keys(a: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """One number for ln a and the name of (term, t): numbers sort as the ln a do, then by name."""
+    bits = a.view(np.uint32)
+    ordered = np.where(bits & _SIGN, ~bits, bits | _SIGN)
+    return ordered.astype(np.uint64) << _NAME | names & _LOW
 
-class Kept:
-    """Hashes, draws and, for weight 1, ln a of the first KEPT words that a worker met."""
+
+class Memory:
+    """Draws of the words met lately: a word has one place, by its hash, and takes it from the word before.
+
+    A text, the edited one before it and its own share most of their words, so few words
+    are drawn for twice.
+    """
 
     def __init__(self, samples: int):
-        self.rows: dict[str, int] = {}
-        self.hashes = np.empty(KEPT, np.uint64)
-        self.r, self.log_c, self.b, self.one_a = (np.empty((KEPT, samples), np.float32) for _ in range(4))
+        self.hashes = np.full(KEPT, ~np.uint64(0))
+        self.one = np.empty((KEPT, samples), np.uint64)  # keys for weight 1
+        self.draws = np.empty((KEPT, 3, samples), np.float32)  # r, ln c, b
+
+    def place(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes % np.uint64(KEPT)).astype(np.int64)
+
+    def keep(self, hashes: np.ndarray, one: np.ndarray, draws: np.ndarray) -> None:
+        places, first = np.unique(self.place(hashes), return_index=True)
+        self.hashes[places], self.one[places], self.draws[places] = hashes[first], one[first], draws[first]
+
 
-    def add(self, words: list[str], hashes: np.ndarray, r: np.ndarray, log_c: np.ndarray, b: np.ndarray) -> None:
-        at = len(self.rows)
-        n = min(len(words), KEPT - at)
-        self.rows.update((w, at + i) for i, w in enumerate(words[:n]))
-        to = slice(at, at + n)
-        self.hashes[to], self.r[to], self.log_c[to], self.b[to] = hashes[:n], r[:n], log_c[:n], b[:n]
-        self.one_a[to] = log_c[:n] - r[:n] * (np.floor(b[:n]) - b[:n] + 1)
+_kept = lru_cache(maxsize=1)(Memory)
 
 
-_kept = lru_cache(maxsize=1)(Kept)
+def _least(hashes: np.ndarray, one: np.ndarray, draws: np.ndarray, counts: np.ndarray, best: np.ndarray) -> np.ndarray:
+    """The least keys of some terms, given their counts; ``one`` holds them for a count of 1, where t = 0."""
+    if len(one):
+        best = np.minimum(best, one.min(axis=0))
+    if len(counts):
+        r, log_c, b = draws.swapaxes(0, 1)
+        t = np.floor(np.log(counts).astype(np.float32)[:, None] / r + b)
+        with np.errstate(over="ignore"):
+            names = mix(hashes[:, None] + t.astype(np.int64).astype(np.uint64) * STEP)
+        best = np.minimum(best, _keys(log_c - r * (t - b + 1), names).min(axis=0))
+    return best
 
 
 class Sampler:
     def __init__(self, samples: int):
         self.samples = samples
-        self.kept = _kept(samples)
+        self.memory = _kept(samples)
 
     def __call__(self, text: str | None) -> np.ndarray:
         """One number per sample; all zero only for a text without characters."""
         if not text:
             return np.zeros(self.samples, np.uint16)
-        kept, columns = self.kept, np.arange(self.samples)
-        best = np.full(self.samples, np.inf, np.float32)
-        code = np.zeros(self.samples, np.uint64)
-
-        def take(hashes: np.ndarray, a: np.ndarray, t: np.ndarray | None = None) -> None:
-            nonlocal best, code
-            i = a.argmin(axis=0)
-            least = a[i, columns]
-            mine = hashes[i]
-            if t is not None:
-                mine = mine + t[i, columns].astype(np.int64).astype(np.uint64) * STEP
-            code, best = np.where(least < best, mine, code), np.minimum(least, best)
-
-        def weighted(hashes: np.ndarray, r: np.ndarray, log_c: np.ndarray, b: np.ndarray, counts: np.ndarray) -> None:
-            t = np.floor(np.log(counts).astype(np.float32)[:, None] / r + b)
-            take(hashes, log_c - r * (t - b + 1), t)
-
-        counted = Counter(text.split() or [text])
-        find = kept.rows.get
-        known = [(i, n) for w, n in counted.items() if (i := find(w)) is not None]
-        new = [w for w in counted if w not in kept.rows] if len(known) < len(counted) else []
-        if known:
-            at, counts = np.array(known, np.int64).T
-            # Weight 1 is the common case: ln a ready made, t = 0.
-            single, many = at[counts == 1], at[counts > 1]
-            if len(single):
-                take(kept.hashes[single], kept.one_a[single])
-            if len(many):
-                weighted(kept.hashes[many], kept.r[many], kept.log_c[many], kept.b[many], counts[counts > 1])
-        for start in range(0, len(new), TERMS):
-            words = new[start : start + TERMS]
-            hashes = np.array([_hash(w) for w in words], np.uint64)
-            draws = _draws(hashes, self.samples)
-            weighted(hashes, *draws, np.array([counted[w] for w in words]))
-            if len(kept.rows) < KEPT:
-                kept.add(words, hashes, *draws)
-        return (mix(code + np.uint64(1)) % np.uint64(65535)).astype(np.uint16) + np.uint16(1)
+        data = text.encode("utf-8", "surrogatepass")
+        words, _ = word_hashes(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+        if not len(words):
+            words = np.array([xxhash.xxh3_64_intdigest(data)], np.uint64)
+        terms, counts = np.unique(words, return_counts=True)
+        best = np.full(self.samples, ~np.uint64(0))
+        for start in range(0, len(terms), TERMS):
+            best = self._less(terms[start : start + TERMS], counts[start : start + TERMS], best)
+        return (mix((best & _LOW) + np.uint64(1)) % np.uint64(65535)).astype(np.uint16) + np.uint16(1)
+
+    def _less(self, h: np.ndarray, counts: np.ndarray, best: np.ndarray) -> np.ndarray:
+        memory = self.memory
+        at = memory.place(h)
+        known, many = memory.hashes[at] == h, counts > 1
+        some = known & many
+        best = _least(h[some], memory.one[at[known & ~many]], memory.draws[at[some]], counts[some], best)
+        if known.all():
+            return best
+        new, n = h[~known], counts[~known]
+        r, log_c, b = _draws(new, self.samples)
+        draws = np.stack((r, log_c, b), axis=1)
+        one = _keys(log_c - r * (np.float32(1) - b), mix(new)[:, None])
+        memory.keep(new, one, draws)
+        return _least(new[n > 1], one[n == 1], draws[n > 1], n[n > 1], best)
 
 
 def likeness(x: np.ndarray, y: np.ndarray) -> float:
@@ -198,9 +209,9 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """Each whole text's fingerprint, and how like it is to the edited text's and the next one's.
 
     doc_id, n_chars (code points), edited_sha256, fingerprint and edited_fingerprint (four hex
-    digits per sample), near_edited, near_next (share of equal samples). Words are separated by
-    white space; a text without words is one term; the empty text (or null) is like
-    another empty one alone. The next document is the next by doc_id (equal ids: by text;
+    digits per sample), near_edited, near_next (share of equal samples). Words are runs without
+    blanks (0x20, 0x09-0x0D), A-Z lowered; a text without words is one term; the empty text (or null) is like
+    another empty one alone. The next document is the next by doc_id (equal ids: by a hash of the text, then by text;
     null ids first), after the last comes the first; a lone document is its own next. One
     row per input row; other columns are not looked at; an empty table gives an empty table.
 
@@ -211,8 +222,9 @@ def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     ranges = 2 * shuffle_partitions(spark)
     done = staged(
-        rows.repartitionByRange(ranges, "doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        # The text's hash splits rows of equal or no id over the ranges.
+        rows.repartitionByRange(ranges, "doc_id", F.xxhash64("text"))
+        .sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
         .select(F.spark_partition_id().alias("part"), "doc_id", "text")
         .mapInArrow(_neighbours(samples), f"part int, role int, text string, {ROW}"),
         "neighbours",
