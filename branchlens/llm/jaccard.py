@@ -32,6 +32,7 @@ U64 = np.uint64
 BASE = U64(0x9E3779B97F4A7C15)  # odd, hence invertible modulo 2^64
 UNBASE = U64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 TURNS = 8  # see Partitions
+WIDE = 85  # percent from which bands of two steps give fewer signatures
 PART = 1 << 19  # bytes of text worked on at once, or one longer text
 SIGNATURES = 1 << 20  # grouped at once in a task
 RUN = 4096  # sets of one signature that one task compares; larger runs are cut finer
@@ -120,16 +121,18 @@ def fold(x: np.ndarray, m: int) -> np.ndarray:
 class Bands:
     """Size bands for a similarity in percent, and each band's partitions.
 
-    A band spans two steps of the similarity, so partners are in the same or the next one.
+    A band spans one or two steps of the similarity, so partners are in the same or the next one. Wide
+    bands give sets fewer roles, narrow ones fewer signatures a role; which is better depends on the similarity.
     """
 
     def __init__(self, percent: int):
         self.percent, self.low = percent, [1]
+        self.steps = 2 if percent >= WIDE else 1
 
     def _grow(self, n: int) -> None:
         while self.low[-1] <= n:
             top = self.low[-1]
-            for _ in range(2):  # the smallest size out of reach of all sizes below top
+            for _ in range(self.steps):  # the smallest size out of reach of all sizes below top
                 top = max(top + 1, (top - 1) * 100 // self.percent + 1)
             self.low.append(top)
 
@@ -152,19 +155,21 @@ class Bands:
         if k == 0:
             return None
         smallest = max(1, -(-self.percent * self.low[band] // 100))
-        return Partitions(band, k // 2 + 1, smallest)
+        largest = self.low[band + 1] - 1
+        usual = int(smallest * (largest / smallest) ** 0.25)
+        return Partitions(band, k // 2 + 1, usual)
 
     def signatures(self, s: np.ndarray) -> np.ndarray:
         plans = filter(None, map(self.plan, self.roles(len(s))))
         return np.concatenate([np.zeros(0, U64), *(x for plan in plans for x in plan.signatures(s))])
 
 
-def _spare(need: int, smallest: int) -> int:
-    """Spare groups that make the signatures of a band's smallest sets fewest, further turns included."""
+def _spare(need: int, size: int) -> int:
+    """Spare groups that make the signatures of sets of a size fewest, further turns included."""
 
     def cost(spare: int) -> float:
         groups = need + spare
-        hollow = min(1 - 1e-9, 3 * (1 - 2 / (3 * groups)) ** smallest)  # a group shows an empty pair
+        hollow = min(1 - 1e-9, 3 * (1 - 2 / (3 * groups)) ** size)  # a group shows an empty pair
         # At most ``spare`` of the groups do: a binomial distribution.
         few = sum(
             exp(lgamma(groups + 1) - lgamma(i + 1) - lgamma(groups - i + 1) + i * log(hollow) + (groups - i) * log1p(-hollow))
@@ -188,8 +193,8 @@ class Partitions:
     and which hardly any set reaches.
     """
 
-    def __init__(self, band: int, need: int, smallest: int):
-        self.spare = _spare(need, smallest)
+    def __init__(self, band: int, need: int, size: int):
+        self.spare = _spare(need, size)
         self.groups = need + self.spare
         self.band = band
 
@@ -392,8 +397,10 @@ def _compatible(percent: int):
 def _open_pairs(percent: int, every: bool):
     """Rows sorted by signature with labels and sketches: (sig, a, b) of different labels that may link.
 
-    Of each signature only a forest of the closest pairs that joins its labels; or, where
-    ``every`` is set, all pairs, each at the least of the signatures that both sets have in ``sigs``.
+    Of each signature only a forest of the closest pairs that joins its labels, and as (sig, a, null) each
+    set that may link to one of another label there: the others will not later, since labels
+    only join. Or, where ``every`` is set, all pairs, each at the least of the signatures that
+    both sets have in ``sigs``.
     """
 
     def forest(pairs: list[tuple]) -> list[tuple[int, int]]:
@@ -411,7 +418,7 @@ def _open_pairs(percent: int, every: bool):
                 out.append((a, b))
         return out
 
-    def compare(sig: int, rows: pa.Table) -> list[tuple[int, int]]:
+    def compare(sig: int, rows: pa.Table) -> list[tuple[int, int | None]]:
         keys, labels, sizes = (rows.column(c).to_numpy() for c in ("key", "label", "n"))
         if (labels == labels[0]).all():
             return []
@@ -422,7 +429,7 @@ def _open_pairs(percent: int, every: bool):
         m = min(map(len, sketches))
         x = np.stack([fold(np.frombuffer(sketches[i], np.uint8), m) for i in order])
         tops = np.searchsorted(sizes, sizes * 100 // percent, side="right")
-        found, closest = [], {}
+        found, closest, open_ = [], {}, np.zeros(len(keys), dtype=bool)
         for i in range(len(keys) - 1):
             near = slice(i + 1, tops[i])
             other = labels[near] != labels[i]
@@ -430,6 +437,8 @@ def _open_pairs(percent: int, every: bool):
                 continue
             differ = (x[near] != x[i]).sum(axis=1)
             fit = np.flatnonzero(other & (differ <= (100 - percent) * (sizes[near] + sizes[i]) // (100 + percent)))
+            if len(fit):
+                open_[i] = open_[i + 1 + fit] = True
             for j in fit:
                 a, b = sorted((int(keys[i]), int(keys[i + 1 + j])))
                 if every:
@@ -439,17 +448,19 @@ def _open_pairs(percent: int, every: bool):
                     one, two = sorted((int(labels[i]), int(labels[i + 1 + j])))
                     new = (int(differ[j]), a, b, one, two)
                     closest[one, two] = min(closest.get((one, two), new), new)
-        return found if every else forest(list(closest.values()))
+        if every:
+            return found
+        return forest(list(closest.values())) + [(int(k), None) for k in np.unique(keys[open_])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, parts = None, []  # the run that is being read
 
-        def done() -> list[tuple[int, int, int]]:
+        def done() -> list[tuple[int, int, int | None]]:
             rows = pa.Table.from_batches(parts)
             return [(now, a, b) for a, b in compare(now, rows)] if len(rows) > 1 else []
 
         for batch in batches:
-            pairs: list[tuple[int, int, int]] = []
+            pairs: list[tuple[int, int, int | None]] = []
             sig = batch.column("sig").to_numpy()
             edges = [0, *(np.flatnonzero(sig[1:] != sig[:-1]) + 1), len(sig)]
             for a, b in zip(edges[:-1], edges[1:], strict=True):
@@ -467,7 +478,7 @@ def _open_pairs(percent: int, every: bool):
     return run
 
 
-def _pairs(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
+def _pairs(rows: list[tuple[int, int, int | None]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[i] for p in rows], pa.int64()) for i in range(3)], names=["sig", "a", "b"])
 
 
@@ -594,9 +605,8 @@ def linked_groups(
         if every:
             wanted = wanted.join(rows.groupBy("key").agg(F.collect_set("sig").alias("sigs")), "key")
         found = staged(in_order(wanted).mapInArrow(_open_pairs(percent, every), "sig long, a long, b long"), "near-pairs")
-        # Signatures without such a pair now will not have one later.
-        rows = staged(rows.join(found.select("sig").distinct(), "sig", "left_semi"), "open-sets")
-        pairs = found.select("a", "b")
+        rows = found.where("b is null").select("sig", F.col("a").alias("key"))
+        pairs = found.where("b is not null").select("a", "b")
         if every:
             labelled_as = lambda c, of=labels: of.select(F.col("key").alias(c), F.col("label").alias(f"l{c}"))
             others = stars.join(labelled_as("a"), "a", "left").join(labelled_as("b"), "b", "left")
