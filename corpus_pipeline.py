@@ -32,31 +32,50 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the lines that an earlier document holds; every document stays."""
+    """Texts without the lines that an earlier document holds; a text of which nothing is left goes."""
     kept = dedup_lines(docs, keep=("lang", "source"))
+    kept = kept.where((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(*DOCUMENT_COLUMNS)
 
 
 def jaccard_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: that with the smallest id.
+    """One document of each group of near copies: that with the smallest id, of equal ids that with the smallest hash.
 
     Near copies have at least 80 % of their five-word shingles in common (Jaccard similarity).
-    Repeated rows of an id count as one document. Without ids, one of each equal text stays.
+    A document is its id and its text: repeated rows are one document, an id with two texts is
+    two. Documents without id stay only where no other of their group has one. Texts without words are
+    in no group.
     """
-    groups = linked_groups(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
-    named = F.col("doc_id").isNotNull()
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("_doc"), named.alias("_named")
+    groups = linked_groups(docs, words=NEAR_WORDS, percent=NEAR_PERCENT, detail=True)
+    keys = ["_nameless", "_doc", "_th"]
+    name = [
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("_doc"),
+        F.col("doc_id").isNull().alias("_nameless"),
+        F.col("th").alias("_th"),
+    ]
+    documents = staged(groups.groupBy(*name, "root").agg(F.count("*").alias("_rows")), "near-groups")
+    first = documents.where(F.col("root").isNotNull()).groupBy("root").agg(
+        F.min(F.struct(*keys, "_rows")).alias("_first")
     )
-    counted = staged(stay.groupBy("_doc", "_named").agg(F.count("*").alias("_n")), "kept-ids")
-    rows = docs.select(*DOCUMENT_COLUMNS, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_doc"))
-    once, more = counted.where("_n = 1 and _named"), counted.where("_n > 1 or not _named")
-    single = rows.join(small(once.select("_doc")), "_doc", "left_semi")
-    repeated = rows.join(small(more.select("_doc", "_named")), "_doc")
-    repeated = repeated.withColumn("_text", F.when(F.col("_named"), F.lit(None)).otherwise(F.xxhash64("text")))
-    return single.select(*DOCUMENT_COLUMNS).union(
-        repeated.dropDuplicates(["_doc", "_text"]).select(*DOCUMENT_COLUMNS)
+    stay = staged(
+        first.select("_first.*").unionByName(
+            documents.where(F.col("root").isNull()).select(*keys, "_rows")
+        ),
+        "kept-documents",
     )
+    rows = docs.select(
+        *DOCUMENT_COLUMNS,
+        F.col("doc_id").isNull().alias("_nameless"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_doc"),
+        F.xxhash64("text").alias("_th"),
+    )
+    once, more = (stay.where(c).select(*keys) for c in ("_rows = 1", "_rows > 1"))
+    single = rows.join(small(once), keys, "left_semi").select(*DOCUMENT_COLUMNS)
+    # Repeated rows may differ in the other columns; the least of them stays, whatever the order of rows.
+    repeated = rows.join(small(more), keys, "left_semi").groupBy(*keys).agg(
+        F.min(F.struct(*DOCUMENT_COLUMNS)).alias("_row")
+    )
+    return single.union(repeated.select("_row.*"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
