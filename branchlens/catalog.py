@@ -874,7 +874,7 @@ def attendance_upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fx.payloads(spark, sf_dir)
     again = raw.withColumn(
         "payload",
-        F.regexp_replace("payload", '"Activity":"Shift"', '"Activity":"Again"'),
+        F.replace("payload", F.lit('"Activity":"Shift"'), F.lit('"Activity":"Again"')),
     )
     target = attendance.stage_payloads(
         raw.where(F.col("load_dt") < F.expr("TIMESTAMP_NTZ '2024-01-20 00:00:00'"))

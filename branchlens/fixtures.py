@@ -320,20 +320,21 @@ def payload_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw attendance rows: JSON payload and load time."""
+    payload = F.to_json(
+        F.struct(
+            F.col("date_text").alias("Date"),
+            F.col("full_name").alias("Full Name"),
+            F.lit("Floor").alias("Group"),
+            F.col("entry_type").alias("EntryType"),
+            F.col("time_text").alias("Time"),
+            F.col("duration_text").alias("Duration"),
+            F.lit("Shift").alias("Activity"),
+            F.col("kiosk").alias("Kiosk Name"),
+            F.col("created").alias("Created On"),
+            F.col("edited").alias("Last Edited On"),
+        )
+    )
+    # Never null; said so, a test for null does not write the text a second time.
     return payload_texts(spark, sf_dir).select(
-        F.to_json(
-            F.struct(
-                F.col("date_text").alias("Date"),
-                F.col("full_name").alias("Full Name"),
-                F.lit("Floor").alias("Group"),
-                F.col("entry_type").alias("EntryType"),
-                F.col("time_text").alias("Time"),
-                F.col("duration_text").alias("Duration"),
-                F.lit("Shift").alias("Activity"),
-                F.col("kiosk").alias("Kiosk Name"),
-                F.col("created").alias("Created On"),
-                F.col("edited").alias("Last Edited On"),
-            )
-        ).alias("payload"),
-        F.col("ts").alias("load_dt"),
+        F.coalesce(payload, F.lit("")).alias("payload"), F.col("ts").alias("load_dt")
     )

@@ -29,21 +29,29 @@ def json_texts(rows: DataFrame, payload: str, keys: tuple[str, ...]) -> DataFram
     """The scalar texts under top-level keys of a JSON column, which they replace.
 
     Keys may contain spaces; a missing key, an object or list under it, or a
-    malformed payload gives null. The payload is parsed in one go; only a text
-    that looks like an object or list is looked up again, to tell it from a string.
+    malformed payload gives null. The payload is parsed in one go; only where a text
+    looks like an object or list they are looked up again, to tell it from a string.
+    That rare step is one column of its own: written out per key next to what uses the
+    texts, it makes a method too long for the JVM to compile.
     """
     schema = T.StructType([T.StructField(key, T.StringType()) for key in keys])
     read = rows.withColumn("_texts", F.from_json(payload, schema))
 
+    def looks_nested(text: Column) -> Column:
+        return text.startswith("{") | text.startswith("[")
+
     def scalar(key: str) -> Column:
         text = F.col("_texts").getField(key)
         value = F.try_variant_get(F.try_parse_json(payload), f"$['{key}']", "variant")
         nested = F.schema_of_variant(value).rlike("^(OBJECT|ARRAY)")
-        looks = text.startswith("{") | text.startswith("[")
-        return F.when(looks, F.when(~nested, text)).otherwise(text).alias(key)
+        return F.when(looks_nested(text), F.when(~nested, text)).otherwise(text).alias(key)
 
+    texts = F.array(*[F.col("_texts").getField(key) for key in keys])
+    scalars = F.struct(*[scalar(key) for key in keys])
+    checked = F.when(F.exists(texts, looks_nested), scalars).otherwise(F.col("_texts"))
     others = [c for c in rows.columns if c != payload]
-    return read.select(*others, *[scalar(key) for key in keys])
+    found = [F.col("_scalars").getField(key).alias(key) for key in keys]
+    return read.withColumn("_scalars", checked).select(*others, *found)
 
 
 def attendance_key(
@@ -64,16 +72,21 @@ def multi_format_date(text: Column) -> Column:
     """ISO first, then day/month/year, else null.
 
     Both layouts go through one cast: date patterns would throw and catch an
-    exception for every text that does not match.
+    exception for every text that does not match. Only a text with a slash is rewritten.
     """
-    iso = F.regexp_replace(text, _DAY_FIRST, "$3-$2-$1")
+    iso = F.when(text.contains("/"), F.regexp_replace(text, _DAY_FIRST, "$3-$2-$1")).otherwise(text)
     return F.when(iso.rlike(_ISO_DATE), iso.try_cast("date"))
 
 
 def local_text_timestamp(date_text: Column, time_text: Column, tz: str = LOCAL_TZ) -> Column:
     """Local date and time texts to a UTC instant; malformed gives null."""
-    day = multi_format_date(date_text).cast("string")
-    return to_utc(F.concat(day, F.lit(" "), time_text).try_cast("timestamp_ntz"), tz)
+    return local_day_timestamp(multi_format_date(date_text), time_text, tz)
+
+
+def local_day_timestamp(day: Column, time_text: Column, tz: str = LOCAL_TZ) -> Column:
+    """As :func:`local_text_timestamp`, of a date that is read already."""
+    wall = F.concat(day.cast("string"), F.lit(" "), time_text)
+    return to_utc(wall.try_cast("timestamp_ntz"), tz)
 
 
 def hms_to_seconds(text: Column) -> Column:
@@ -110,9 +123,7 @@ def coerce_timestamp(text: Column) -> Column:
 
 def strict_timestamp(text: Column) -> Column:
     """As :func:`coerce_timestamp`, but malformed text raises under ANSI mode."""
-    parsed = coerce_timestamp(text)
-    failed = text.isNotNull() & parsed.isNull()
-    return F.when(failed, text.cast("timestamp_ntz")).otherwise(parsed)
+    return F.coalesce(coerce_timestamp(text), text.cast("timestamp_ntz"))
 
 
 def first_filled(*texts: Column) -> Column:

@@ -11,18 +11,15 @@ when it is costly to compute.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from branchlens.functions.clock import EPOCH_NTZ
 from branchlens.operators.skew import join_repeated, join_unique
 
-_COPIES, _FIRST, _RANK, _BEST = "_copies", "_first", "_rank", "_best"
-# A rank is the order number times _TIES plus the tie number, 38 digits at most.
-_TIES, _EARLIEST = Decimal(10**19), -(1 << 63)
+_COPIES, _FIRST, _RANK = "_copies", "_first", "_rank"
+_EARLIEST = -(1 << 63)
 
 
 def _order_number(df: DataFrame, name: str) -> Column | None:
@@ -52,9 +49,9 @@ def latest_per_key(source: DataFrame, key: str, order_by: str) -> DataFrame:
     """One row per non-null key, the greatest by ``order_by``; null keys all stay.
 
     A null counts as the earliest. Of equally late rows that with the greatest :func:`tie_number` of the
-    remaining columns wins. Time and tie make one number of fixed width, whose maximum a hash aggregate
-    finds with a combine on the map side, so the copies of a hot key shrink before
-    the shuffle; a join then picks the row. For an order that is neither time, date nor whole
+    remaining columns wins. Rows are numbered per key, and each task that reads the source passes on
+    only its first of a key, so the copies of a hot key shrink before the shuffle and a key never has
+    more rows after it than there were tasks. For an order that is neither time, date nor whole
     number, the remaining columns settle ties in their order instead.
     """
     others = [c for c in source.columns if c not in (key, order_by)]
@@ -68,17 +65,10 @@ def latest_per_key(source: DataFrame, key: str, order_by: str) -> DataFrame:
             .select(*source.columns)
         )
     else:
-        moment = F.coalesce(number, F.lit(_EARLIEST)).cast("decimal(19,0)")
-        rank = moment * F.lit(_TIES) + tie_number(others).cast("decimal(19,0)")
-        ranked = keyed.withColumn(_RANK, rank.cast("decimal(38,0)"))
-        greatest = ranked.groupBy(key).agg(F.max(_RANK).alias(_BEST), F.count("*").alias(_COPIES))
-        # Exact copies of the row are left together; the last step makes them one.
-        best = (
-            join_repeated(ranked, greatest, key, "inner", _COPIES)
-            .where(F.col(_RANK) == F.col(_BEST))
-            .select(*source.columns)
-            .distinct()
-        )
+        moment = F.coalesce(number, F.lit(_EARLIEST))
+        first = Window.partitionBy(key).orderBy(moment.desc(), tie_number(others).cast("bigint").desc())
+        ranked = keyed.withColumn(_RANK, F.row_number().over(first))
+        best = ranked.where(F.col(_RANK) == 1).select(*source.columns)
     return best.unionByName(source.where(F.col(key).isNull()))
 
 

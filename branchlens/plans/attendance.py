@@ -137,14 +137,16 @@ def parse_payloads(raw: DataFrame, tz: str = clock.LOCAL_TZ) -> DataFrame:
     )
     read = parsing.json_texts(loads, "payload", PAYLOAD_KEYS)
     date_text, time_text = F.col("Date"), F.col("Time")
+    # A step of its own, since two columns need the date.
+    read = read.withColumn("_day", parsing.multi_format_date(date_text))
     name, kind, kiosk = F.col("Full Name"), F.col("EntryType"), F.col("Kiosk Name")
     return read.select(
         parsing.attendance_key(date_text, name, kind, time_text, kiosk).alias("attn_id"),
-        parsing.multi_format_date(date_text).alias("date"),
+        F.col("_day").alias("date"),
         name.alias("full_name"),
         F.col("Group").alias("group"),
         kind.alias("entry_type"),
-        parsing.local_text_timestamp(date_text, time_text, tz).alias("time_ts"),
+        parsing.local_day_timestamp(F.col("_day"), time_text, tz).alias("time_ts"),
         parsing.hms_to_seconds(F.col("Duration")).alias("duration_sec"),
         F.col("Activity").alias("activity"),
         kiosk.alias("kiosk_name"),

@@ -23,3 +23,12 @@ def plan(df) -> str:
 def final_plan(df) -> str:
     df.collect()
     return plan(df).split("Initial Plan")[0]
+
+
+def largest_method(df) -> int:
+    """Bytes of the longest method Spark generates for a query; the JVM does not compile those of over 8000."""
+    debug = df.sparkSession._jvm.org.apache.spark.sql.execution.debug
+    stages = debug.__getattr__("package$").__getattr__("MODULE$").codegenStringSeq(
+        df._jdf.queryExecution().executedPlan()
+    )
+    return max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size()))

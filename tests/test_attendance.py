@@ -3,7 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
-from helpers import at, bag
+from helpers import at, bag, largest_method
 
 from branchlens import schemas
 from branchlens.plans import attendance
@@ -33,6 +33,25 @@ def test_parse(spark):
     assert r.updated_at == at("2025-05-31 21:31:00")
 
 
+def test_parsing_is_compiled(spark):
+    """All columns at once, from a table; such a method runs some times slower if it is too long."""
+    rows = spark.range(4).selectExpr(
+        f"concat('{json.dumps(ROW)}', '') AS payload", "TIMESTAMP_NTZ '2024-02-01 00:00:00' AS load_dt"
+    ).localCheckpoint()
+    assert largest_method(attendance.parse_payloads(rows)) < 8000
+
+
+def test_dates_in_both_layouts(spark):
+    """Each date text with the day and the instant it gives."""
+    days = {
+        "2025-06-01": "2025-06-01", "2025-6-1": "2025-06-01", "1/6/2025": "2025-06-01", "01/06/2025": "2025-06-01",
+        "31/02/2025": None, "2025/06/01": None, "a/b": None, "1/6/2025 ": None, "/": None, "": None,
+    }
+    parsed = attendance.parse_payloads(raw(spark, [dict(ROW, Date=d, Activity=d) for d in days]))
+    got = {r.activity: (r.date and str(r.date), r.time_ts) for r in parsed.collect()}
+    assert got == {d: (day, day and at("2025-05-31 21:30:00")) for d, day in days.items()}
+
+
 def test_updated_at_falls_back(spark):
     edited = dict(ROW, **{"Last Edited On": "2025-06-02T00:00:00Z"})
     bare = {k: v for k, v in ROW.items() if k != "Created On"}

@@ -192,6 +192,20 @@ def test_latest_row_by_other_types(spark):
         assert got == {("a", value), ("b", None), (None, 1)}
 
 
+def test_latest_row_reads_and_shuffles_the_source_once(spark, tmp_path):
+    """Each task passes on one row of a key, however many copies it has read."""
+    path = str(tmp_path / "source")
+    hot = spark.range(0, 3000, 1, 3).selectExpr("'hot' AS id", "CAST(id % 700 AS int) AS v", "'w' AS w")
+    hot.unionByName(frame(spark, [("a", None, "x"), ("a", None, "x")])).write.parquet(path)
+    latest = merge.latest_per_key(spark.read.parquet(path).where("id IS NOT NULL"), "id", "v")
+    assert bag(latest) == {("hot", 699, "w"): 1, ("a", None, "x"): 1}
+    text = final_plan(latest)
+    assert "Join" not in text and "Aggregate" not in text
+    assert text.count("Exchange hashpartitioning") == 1
+    # What is passed on is cut before the shuffle, which lies above it in the plan.
+    assert text.index("Exchange hashpartitioning") < text.index(", Partial")
+
+
 def test_latest_row_needs_no_sorted_aggregate(spark):
     df = frame(spark, [("b", 20, "q"), ("b", 21, "n"), (None, 1, "m")])
     assert "SortAggregate" not in final_plan(merge.upsert(df, df, "id", "latest", "v"))
