@@ -169,6 +169,7 @@ def merge_days(
             DAY,
             merge_of(entity, mode, on_duplicate),
             staging,
+            replaces=mode == "upsert" and on_duplicate == "error",
         )
     finally:
         if work_path is None:

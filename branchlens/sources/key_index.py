@@ -12,7 +12,7 @@ from __future__ import annotations
 import operator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from branchlens.sources.files import drop_staged, folder_names, is_complete, read_text, write_text
@@ -20,7 +20,7 @@ from branchlens.sources.files import drop_staged, folder_names, is_complete, rea
 DELTAS = 16
 ROW_GROUP = 4 << 20  # bytes
 RANGES = 64  # of keys, that a look-up pushes down
-_FOLDER, _NUMBER, _BASE, _LAST = "_keys", "publish", "_base", "_last"
+_FOLDER, _NUMBER, _BASE, _RANK = "_keys", "publish", "_base", "_rank"
 
 
 def _folder(path: str, number: int) -> str:
@@ -55,9 +55,12 @@ def _entries(spark: SparkSession, path: str, numbers: list[int], like: DataFrame
 
 
 def _newest(entries: DataFrame, key: str, partition_by: str) -> DataFrame:
-    """Of each key the entries of its last publish."""
-    last = entries.groupBy(key).agg(F.max(_NUMBER).alias(_LAST))
-    kept = entries.join(last, key).where(F.col(_NUMBER) == F.col(_LAST))
+    """Of each key the entries of its last publish.
+
+    A key has few entries, one or some per publish; they are ranked in one pass over all.
+    """
+    latest = Window.partitionBy(key).orderBy(F.desc(_NUMBER))
+    kept = entries.withColumn(_RANK, F.rank().over(latest)).where(F.col(_RANK) == 1)
     return kept.select(key, partition_by).distinct()
 
 
@@ -87,10 +90,13 @@ def partitions_of_keys(
     spark: SparkSession, path: str, source: DataFrame, ranges: list[tuple], key: str, partition_by: str
 ) -> DataFrame:
     """Partitions that hold keys of the batch now, as one column."""
-    entries = _entries(spark, path, _numbers(spark, path), source, key, partition_by)
-    entries = entries.where(_in_ranges(key, ranges))
+    numbers = _numbers(spark, path)
+    entries = _entries(spark, path, numbers, source, key, partition_by).where(_in_ranges(key, ranges))
     wanted = source.where(F.col(key).isNotNull()).select(key).distinct()
-    return _newest(entries.join(wanted, key, "left_semi"), key, partition_by).select(partition_by).distinct()
+    found = entries.join(wanted, key, "left_semi")
+    if len(numbers) > 1:
+        found = _newest(found, key, partition_by)
+    return found.select(partition_by).distinct()
 
 
 def build_index(target: DataFrame, path: str, number: int, key: str, partition_by: str) -> None:

@@ -17,6 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from branchlens.schemas import empty_table
 from branchlens.sources import key_index
 from branchlens.sources.files import drop_staged, folder_names, located, path_exists, read_text, write_text
 from branchlens.sources.tables import read_or_empty, replace_partitions, replace_table, require_partitioned
@@ -73,18 +74,20 @@ def _in_partitions(target: DataFrame, partitions: set, partition_by: str) -> Dat
 
 
 def stage_merge(
-    spark: SparkSession, path: str, source: DataFrame, key: str, partition_by: str, merge: Merge, staged: str
+    spark: SparkSession, path: str, source: DataFrame, key: str, partition_by: str, merge: Merge, staged: str,
+    replaces: bool = False,
 ) -> None:
     """Merge a batch with the partitions it touches, and stage the rows to publish.
 
     Touched are the batch's own partitions and those its keys are in now, which the key
-    index tells. One value per touched partition comes to the driver.
+    index tells. One value per touched partition comes to the driver. ``replaces`` states that after the
+    merge the rows of the batch's keys are those of the batch, so the batch tells where its keys are.
     """
     drop_staged(spark, staged)
     version = table_version(spark, path)
-    target = read_or_empty(spark, path, source.schema)
-    own, ranges = key_index.batch_ranges(source, key, partition_by)
     there = path_exists(spark, path) and any("=" in n for n in folder_names(spark, path))
+    target = read_or_empty(spark, path, source.schema) if there else empty_table(spark, source.schema)
+    own, ranges = key_index.batch_ranges(source, key, partition_by)
     now = set()
     if there and ranges:
         if not key_index.is_indexed(spark, path):
@@ -93,9 +96,11 @@ def stage_merge(
         now = {r[0] for r in found.collect()}
     touched = _in_partitions(target, own | now, partition_by)
     rows = replace_table(merge(touched, source).select(*source.columns), f"{staged}/{_ROWS}")
-    keys = source.where(F.col(key).isNotNull()).select(key).distinct()
-    placed = rows.select(key, partition_by).join(keys, key, "left_semi").distinct()
-    replace_table(placed, f"{staged}/{_KEYS}")
+    placed = (source if replaces else rows).where(F.col(key).isNotNull()).select(key, partition_by)
+    if there and not replaces:  # in a new table all rows are the batch's
+        keys = source.where(F.col(key).isNotNull()).select(key).distinct()
+        placed = placed.join(keys, key, "left_semi")
+    replace_table(placed.distinct(), f"{staged}/{_KEYS}")
     about = {
         "version": version, "key": key, "partition_by": partition_by,
         # Only partitions that keys may have left can have lost all their rows.
@@ -154,6 +159,7 @@ def refresh_partitions(
     partition_by: str,
     merge: Merge,
     staged_path: str,
+    replaces: bool = False,
 ) -> None:
     """Merge a batch into a partitioned table, rewriting only touched partitions.
 
@@ -169,5 +175,5 @@ def refresh_partitions(
             return
         about = _about(spark, staged_path)
         if about is None or about["version"] != table_version(spark, target_path):
-            stage_merge(spark, target_path, source, key, partition_by, merge, staged_path)
+            stage_merge(spark, target_path, source, key, partition_by, merge, staged_path, replaces)
         claim_publish(spark, target_path, staged_path)

@@ -174,6 +174,52 @@ def test_look_ups_push_key_ranges_down(spark, tmp_path):
     assert "SortAggregate" not in final_plan(found)
 
 
+def test_look_ups_read_entries_once(spark, tmp_path):
+    """The last publish of a key counts, in one pass over the entries, also where it is in two partitions."""
+    path = str(tmp_path / "t")
+    for number, rows in enumerate([[("a", 0, 1), ("b", 0, 1), ("c", 0, 4)], [("a", 0, 2), ("a", 0, 3)]]):
+        key_index.add_entries(batch(spark, rows).select("k", "p"), path, number, "k", "p")
+    source = batch(spark, [("a", 5, 9), ("b", 5, 9), (None, 5, 9)])
+    own, ranges = key_index.batch_ranges(source, "k", "p")
+    found = key_index.partitions_of_keys(spark, path, source, ranges, "k", "p")
+    assert bag(found) == {(1,): 1, (2,): 1, (3,): 1}
+    text = final_plan(found)
+    assert text.count("Scan parquet") == 1 and text.count("LeftSemi") == 1 and "Inner" not in text
+
+
+def test_a_new_table_needs_no_join(table):
+    """Rows and keys of the first batch are written as they come."""
+    seen = []
+
+    def merge(target, source):
+        merged = upsert(target, source, "k")
+        seen.append(final_plan(merged))
+        return merged
+
+    rows = [("a", 1, 1), ("a", 2, 1), ("b", 3, 2), (None, 4, 2)]
+    publish.refresh_partitions(
+        table.spark, table.path, batch(table.spark, rows), "k", "p", merge, f"{table.work}/first"
+    )
+    assert "Join" not in seen[0] and "Aggregate" not in seen[0]
+    assert table.rows() == as_bag(rows)
+    index = table.spark.read.parquet(f"{table.path}/_keys/publish=1")
+    assert bag(index, "k", "p") == {("a", 1): 1, ("b", 2): 1}
+
+
+@pytest.mark.parametrize("replaces", [False, True])
+def test_index_after_keys_moved(table, replaces):
+    """The batch tells where its keys are as well as the merged rows do."""
+    table.refresh([("a", 1, 1), ("b", 1, 1), ("c", 1, 2)], "first")
+    rows = batch(table.spark, [("a", 2, 3), ("c", 2, 2), ("d", 2, 1), (None, 2, 1)])
+    publish.refresh_partitions(
+        table.spark, table.path, rows, "k", "p", merging(), f"{table.work}/second", replaces
+    )
+    index = table.spark.read.parquet(f"{table.path}/_keys/publish=2")
+    assert bag(index, "k", "p") == {("a", 3): 1, ("c", 2): 1, ("d", 1): 1}
+    table.refresh([("a", 3, 2)], "third")
+    assert table.rows() == as_bag([("a", 3, 2), ("b", 1, 1), ("c", 2, 2), ("d", 2, 1), (None, 2, 1)])
+
+
 def test_ranges_are_joined(spark, monkeypatch):
     monkeypatch.setattr(key_index, "RANGES", 2)
     rows = [("a", 0, 1), ("c", 0, 1), ("b", 0, 2), ("d", 0, 2), ("m", 0, 3), ("p", 0, 4), ("z", 0, 5), (None, 0, 6)]
